@@ -2,9 +2,8 @@
 
 Every regular expression, term, score, confidence and reason text below is a
 fixed value: reviewed output depends on it character for character.  The
-`needs` of a pattern is ours: lower-case literals of which every match of the
-pattern holds at least one.  They let Spark skip the regular expression on the
-texts that hold none (see `operators.detect`).
+`needs` and `holds` of a pattern are ours.  They let Spark skip the regular
+expression on texts that cannot match (see `operators.detect`).
 """
 
 from __future__ import annotations
@@ -14,8 +13,14 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Pattern:
+    """A regular expression and, to save time, what any match of it contains:
+    one of the lower-case words in `needs` (runs of a-z and 0-9, whole) or one
+    of the lower-case substrings in `holds`.  With neither, it is always tried.
+    """
+
     regex: str
     needs: tuple[str, ...] = ()
+    holds: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -38,7 +43,7 @@ class Rule:
 INTERNAL = "internal_policy"
 USAGE = "usage_policy"
 
-# A `needs` entry standing for "any decimal digit".
+# A `holds` entry standing for "any decimal digit".
 DIGIT = "\\digit"
 
 # --- Fixed values: personal data and secrets, in reporting order -------------
@@ -48,7 +53,7 @@ PERSONAL_DATA_RULES = (
         "pii_ssn", 95, "high",
         "Prompt contains an SSN-like value.",
         INTERNAL,
-        (Pattern(r"\b\d{3}-\d{2}-\d{4}\b", (DIGIT,)),),
+        (Pattern(r"\b\d{3}-\d{2}-\d{4}\b", holds=(DIGIT,)),),
     ),
     Rule(
         "pii_ein", 90, "high",
@@ -57,16 +62,16 @@ PERSONAL_DATA_RULES = (
         (
             Pattern(
                 r"\b(?:ein|employer identification number)\b.{0,40}\b\d{2}-\d{7}\b",
-                (DIGIT,),
+                holds=(DIGIT,),
             ),
-            Pattern(r"\b\d{2}-\d{7}\b", (DIGIT,)),
+            Pattern(r"\b\d{2}-\d{7}\b", holds=(DIGIT,)),
         ),
     ),
     Rule(
         "pii_credit_card", 95, "high",
         "Prompt contains a credit-card-like number that passes a Luhn check.",
         INTERNAL,
-        (Pattern(r"\b(?:\d[ -]*?){13,19}\b", (DIGIT,)),),
+        (Pattern(r"\b(?:\d[ -]*?){13,19}\b", holds=(DIGIT,)),),
         kind="card",
     ),
     Rule(
@@ -74,10 +79,10 @@ PERSONAL_DATA_RULES = (
         "Prompt appears to contain a bank account or routing number.",
         INTERNAL,
         (
-            Pattern(r"\b(routing number|aba)\b.{0,40}\b\d{9}\b", ("routing number", "aba")),
+            Pattern(r"\b(routing number|aba)\b.{0,40}\b\d{9}\b", ("routing", "aba")),
             Pattern(
                 r"\b(account number|acct number|bank account)\b.{0,40}\b\d{6,17}\b",
-                ("account number", "acct number", "bank account"),
+                ("account", "acct"),
             ),
         ),
     ),
@@ -88,15 +93,16 @@ PERSONAL_DATA_RULES = (
         (
             Pattern(
                 r"\b(api[_ -]?key|secret|password|passwd|token|private key)\b.{0,60}\b[^\s]{8,}\b",
-                ("key", "secret", "password", "passwd", "token"),
+                ("key", "apikey", "secret", "password", "passwd", "token"),
             ),
             Pattern(
                 r"\b(sk-[A-Za-z0-9_-]{20,}|ghp_[A-Za-z0-9_]{20,}|AKIA[0-9A-Z]{16})\b",
-                ("sk-", "ghp_", "akia"),
+                ("sk", "ghp"),
+                holds=("akia",),
             ),
             Pattern(
                 r"-----BEGIN (?:RSA |OPENSSH |EC )?PRIVATE KEY-----",
-                ("private key-----",),
+                ("private",),
             ),
         ),
     ),
@@ -107,11 +113,11 @@ PERSONAL_DATA_RULES = (
         (
             Pattern(
                 r"\b(?:date of birth|dob)\b.{0,40}\b\d{1,2}[/-]\d{1,2}[/-]\d{2,4}\b",
-                ("date of birth", "dob"),
+                ("birth", "dob"),
             ),
             Pattern(
                 r"\b(?:date of birth|dob)\b.{0,40}\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?\s+\d{1,2},?\s+\d{4}\b",
-                ("date of birth", "dob"),
+                ("birth", "dob"),
             ),
         ),
     ),
@@ -119,14 +125,14 @@ PERSONAL_DATA_RULES = (
         "pii_email_with_sensitive_context", 82, "high",
         "Prompt contains an email address paired with client, tax, medical, financial, or other sensitive context.",
         INTERNAL,
-        (Pattern(r"\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b", ("@",)),),
+        (Pattern(r"\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b", holds=("@",)),),
         kind="contact",
     ),
     Rule(
         "pii_phone_with_sensitive_context", 82, "high",
         "Prompt contains a phone number paired with client, tax, medical, financial, or other sensitive context.",
         INTERNAL,
-        (Pattern(r"\b(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]\d{3}[-.\s]\d{4}\b", (DIGIT,)),),
+        (Pattern(r"\b(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]\d{3}[-.\s]\d{4}\b", holds=(DIGIT,)),),
         kind="contact",
     ),
 )
@@ -193,11 +199,11 @@ INTERNAL_POLICY_RULES = (
         (
             Pattern(
                 r"\b(generate|create|validate|verify|provide|support)\b.{0,90}\b(audit evidence|audit support|evidence for audit)\b",
-                ("audit evidence", "audit support", "evidence for audit"),
+                ("audit",),
             ),
             Pattern(
                 r"\b(substantive testing|substantive audit procedure|risk assessment|gaas|workpaper support)\b",
-                ("substantive testing", "substantive audit procedure", "risk assessment", "gaas", "workpaper support"),
+                ("substantive", "assessment", "gaas", "workpaper"),
             ),
         ),
     ),
@@ -208,11 +214,11 @@ INTERNAL_POLICY_RULES = (
         (
             Pattern(
                 r"\b(calculate|compute|determine|prepare|finalize)\b.{0,90}\b(tax liability|tax due|tax calculation|reconciliation|substantive audit)\b",
-                ("tax liability", "tax due", "tax calculation", "reconciliation", "substantive audit"),
+                ("tax", "reconciliation", "substantive"),
             ),
             Pattern(
                 r"\b(reconcile|reconciliation)\b.{0,90}\b(bank|ledger|trial balance|financial statement|tax)\b",
-                ("reconcil",),
+                ("reconcile", "reconciliation"),
             ),
         ),
     ),
@@ -223,11 +229,11 @@ INTERNAL_POLICY_RULES = (
         (
             Pattern(
                 r"\b(final|finalize|ready to send|send to client)\b.{0,120}\b(without|no need for|skip)\b.{0,90}\b(review|sign[- ]?off|approval)\b",
-                ("without", "no need for", "skip"),
+                ("without", "need", "skip"),
             ),
             Pattern(
                 r"\b(final deliverable|client deliverable|final report|opinion letter)\b.{0,120}\b(without review|no review)\b",
-                ("without review", "no review"),
+                ("review",),
             ),
         ),
     ),
@@ -238,11 +244,11 @@ INTERNAL_POLICY_RULES = (
         (
             Pattern(
                 r"\b(replace|bypass|skip|avoid|work around)\b.{0,90}\b(professional judgment|human review|qc|quality control|approval|gaas|professional standards)\b",
-                ("replace", "bypass", "skip", "avoid", "work around"),
+                ("professional", "human", "qc", "quality", "approval", "gaas"),
             ),
             Pattern(
                 r"\b(do not tell|hide from|avoid logging|avoid audit trail)\b",
-                ("do not tell", "hide from", "avoid logging", "avoid audit trail"),
+                ("tell", "hide", "avoid"),
             ),
         ),
     ),
@@ -258,7 +264,7 @@ USAGE_POLICY_RULES = (
         (
             Pattern(
                 r"\b(phishing|credential theft|steal credentials|keylogger|ransomware|malware|exploit kit|botnet)\b",
-                ("phishing", "credential theft", "steal credentials", "keylogger", "ransomware", "malware", "exploit kit", "botnet"),
+                ("phishing", "credential", "credentials", "keylogger", "ransomware", "malware", "exploit", "botnet"),
             ),
             Pattern(
                 r"\b(bypass|evade)\b.{0,90}\b(edr|antivirus|detection|mfa|authentication)\b",
@@ -266,7 +272,7 @@ USAGE_POLICY_RULES = (
             ),
             Pattern(
                 r"\b(sql injection|xss|privilege escalation)\b.{0,90}\b(without permission|unauthorized|stealth)\b",
-                ("without permission", "unauthorized", "stealth"),
+                ("permission", "unauthorized", "stealth"),
             ),
         ),
     ),
@@ -277,7 +283,7 @@ USAGE_POLICY_RULES = (
         (
             Pattern(
                 r"\b(scam|fraud|impersonate|fake identity|spam campaign|money laundering|forge|forgery)\b",
-                ("scam", "fraud", "impersonate", "fake identity", "spam campaign", "money laundering", "forge"),
+                ("scam", "fraud", "impersonate", "fake", "spam", "laundering", "forge", "forgery"),
             ),
             Pattern(
                 r"\b(trick|deceive|manipulate)\b.{0,90}\b(user|customer|voter|employee|person)\b",
@@ -296,11 +302,11 @@ USAGE_POLICY_RULES = (
             ),
             Pattern(
                 r"\b(terrorism|terrorist|violent attack|mass casualty)\b",
-                ("terroris", "violent attack", "mass casualty"),
+                ("terrorism", "terrorist", "attack", "casualty"),
             ),
             Pattern(
                 r"\b(hate speech|racial slur|dehumanize)\b",
-                ("hate speech", "racial slur", "dehumanize"),
+                ("hate", "racial", "dehumanize"),
             ),
         ),
     ),
@@ -322,9 +328,9 @@ USAGE_POLICY_RULES = (
         (
             Pattern(
                 r"\b(minor|child|teen|under\s*18|underage)\b.{0,120}\b(sexual|nude|groom|explicit|violent roleplay)\b",
-                ("sexual", "nude", "groom", "explicit", "violent roleplay"),
+                ("sexual", "nude", "groom", "explicit", "violent"),
             ),
-            Pattern(r"\b(csam|child sexual abuse)\b", ("csam", "child sexual abuse")),
+            Pattern(r"\b(csam|child sexual abuse)\b", ("csam", "abuse")),
         ),
     ),
     Rule(
@@ -334,9 +340,9 @@ USAGE_POLICY_RULES = (
         (
             Pattern(
                 r"\b(best|painless|effective|how to)\b.{0,90}\b(die|suicide|kill myself|self[- ]?harm|cut myself|starve myself|purge)\b",
-                ("best", "painless", "effective", "how to"),
+                ("best", "painless", "effective", "how"),
             ),
-            Pattern(r"\b(pro[- ]?ana|thinspo)\b", ("ana", "thinspo")),
+            Pattern(r"\b(pro[- ]?ana|thinspo)\b", ("ana", "proana", "thinspo")),
         ),
     ),
     Rule(
@@ -346,11 +352,11 @@ USAGE_POLICY_RULES = (
         (
             Pattern(
                 r"\b(jailbreak|ignore previous instructions|bypass safety|bypass safeguards|developer mode)\b",
-                ("jailbreak", "ignore previous instructions", "bypass safe", "developer mode"),
+                ("jailbreak", "ignore", "bypass", "developer"),
             ),
             Pattern(
                 r"\b(reveal|show|print|extract)\b.{0,90}\b(system prompt|hidden instructions|developer message|private data|confidential data)\b",
-                ("system prompt", "hidden instructions", "developer message", "private data", "confidential data"),
+                ("system", "hidden", "developer", "private", "confidential"),
             ),
         ),
     ),
@@ -361,11 +367,11 @@ USAGE_POLICY_RULES = (
         (
             Pattern(
                 r"\b(auto[- ]?approve|auto[- ]?deny|automatically decide|make the final decision)\b.{0,120}\b(loan|credit|employment|hiring|insurance|housing|medical|legal|education|benefits)\b",
-                ("auto", "make the final decision"),
+                ("auto", "autoapprove", "autodeny", "automatically", "decision"),
             ),
             Pattern(
                 r"\b(without human review|no human review)\b.{0,120}\b(loan|credit|employment|hiring|insurance|housing|medical|legal|education|benefits)\b",
-                ("without human review", "no human review"),
+                ("human",),
             ),
         ),
     ),

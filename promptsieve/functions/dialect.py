@@ -8,9 +8,9 @@ Unicode mode, so the classes are spelled out here.
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -61,13 +61,27 @@ def fold(text: Column) -> Column:
     return F.lower(text)
 
 
-def contains_any(folded: Column, literals) -> Column:
-    return reduce(lambda a, b: a | b, [folded.contains(s) for s in literals])
+def folded_words(folded: Column) -> Column:
+    """Runs of ASCII letters and digits of a folded text.  A whole-word match of
+    an ASCII word, case ignored, shows up here as that word."""
+    return F.split(folded, "[^a-z0-9]+")
 
 
-def has_term(text: Column, folded: Column, terms) -> Column:
-    """Whole-word test for any of `terms`; the cheap substring test comes first."""
-    return contains_any(folded, terms) & text.rlike(term_regex(*terms))
+def key_word(term: str) -> str:
+    """The longest word of a term: in a text with the term, a folded word."""
+    return max(re.findall("[a-z0-9]+", term), key=len)
+
+
+def literal(text: str | None) -> str:
+    """A SQL string literal."""
+    if text is None:
+        return "cast(null AS string)"
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def array_literal(texts) -> str:
+    return f"array({', '.join(literal(t) for t in dict.fromkeys(texts))})"
 
 
 def luhn_valid(number: Column) -> Column:

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from promptsieve.functions.dialect import literal
+
 _STRICT = {"allowSingleQuotes": "false"}
 
 
@@ -81,15 +83,10 @@ def elements(array_text: Column) -> Column:
     )
 
 
-def _literal(text: str) -> str:
-    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
-
-
 # In compact JSON: everything up to the next comma or colon outside a string.
 _TO_SEPARATOR = r'((?:"(?:[^"\\]++|\\.)*+"|[^",:])*+)([,:])'
 
 
 def spaced_json(raw: str) -> str:
     """SQL: JSON text with sorted keys and a space after each comma and colon."""
-    return f"regexp_replace(to_json(parse_json({raw})), {_literal(_TO_SEPARATOR)}, '$1$2 ')"
+    return f"regexp_replace(to_json(parse_json({raw})), {literal(_TO_SEPARATOR)}, '$1$2 ')"

@@ -4,8 +4,9 @@ Every pattern is a literal regular expression, which Spark compiles once per
 task.  Two projections follow one another, so that work is only done where the
 first left something to do:
 
-1. `_hits`: the rules that match, with their matches.  A pattern is tried only
-   on texts holding one of its literals.
+1. `_hits`: the rules that match, with their matches.  The words of a text
+   that occur in the catalogue are looked up first, in one pass, and a pattern
+   is tried only on texts with one of its words.
 2. `_placed`: where those matches are, on texts that have any.
 
 Findings are then read off `_placed`.  Nothing is shuffled and nothing leaves
@@ -14,21 +15,23 @@ the JVM.
 
 from __future__ import annotations
 
-from dataclasses import astuple, dataclass
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptsieve.functions import catalogue as C
 from promptsieve.functions.dialect import (
-    contains_any,
+    array_literal,
     fold,
-    has_term,
+    folded_words,
     java_regex,
+    key_word,
+    literal,
     luhn_valid,
     term_regex,
 )
-from promptsieve.functions.spans import SPAN, match_spans, matches, window, windows, words
+from promptsieve.functions.spans import SPAN, match_spans, window, windows, words
 
 FINDING = (
     "struct<rule_no:int,category:string,reason:string,score:int,confidence:string,"
@@ -40,9 +43,6 @@ DETECTION = (
 )
 
 
-_HIT = "struct<entry:int,regex:string,found:array<string>,given:string>"
-
-
 @dataclass(frozen=True)
 class Entry:
     """What one pattern or term rule reports; the fields of a finding."""
@@ -90,118 +90,133 @@ def _entries(rules: C.Catalogue) -> list[tuple[Entry, C.Pattern | None]]:
     return listed
 
 
-def _gate(pattern: C.Pattern, has_digit: Column, folded: Column) -> Column:
-    if not pattern.needs:
-        return F.lit(True)
-    if C.DIGIT in pattern.needs:
-        return has_digit
-    return contains_any(folded, pattern.needs)
+def _key_words(rules: C.Catalogue) -> list[str]:
+    """Every word a pattern or term of the catalogue asks for."""
+    terms = (
+        rules.phi_terms + rules.client_terms + rules.document_terms
+        + rules.data_terms + rules.action_terms
+    )
+    needs = [w for _, pattern in _entries(rules) if pattern for w in pattern.needs]
+    return list(dict.fromkeys(needs + [key_word(t) for t in terms]))
+
+
+def _overlaps(wanted) -> str:
+    return f"arrays_overlap(_keys, {array_literal(wanted)})"
+
 
+def _gate(pattern: C.Pattern) -> str:
+    """SQL: whether a text can match."""
+    tests = [_overlaps(pattern.needs)] if pattern.needs else []
+    for part in pattern.holds:
+        tests.append("_digit" if part == C.DIGIT else f"contains(_folded, {literal(part)})")
+    return " OR ".join(tests) or "true"
 
-def _regex_for(value: Column, terms) -> Column:
-    regex = F
-    for term in terms:
-        regex = regex.when(value == term, F.lit(term_regex(term)))
-    return regex.otherwise(F.lit(None).cast("string"))
 
+def _has_term(text: str, terms) -> str:
+    found = f"rlike({text}, {literal(term_regex(*terms))})"
+    return f"({_overlaps(map(key_word, terms))} AND {found})"
 
-def _phi_terms(text: Column, folded: Column, rules: C.Catalogue) -> Column:
-    """Health-information terms of the text, in catalogue order."""
-    found = [F.when(has_term(text, folded, (t,)), F.lit(t)) for t in rules.phi_terms]
-    return F.when(contains_any(folded, rules.phi_terms), F.array_compact(F.array(*found)))
 
+def _named_if_present(text: str, named_terms, gate: str) -> str:
+    """SQL: the names whose terms the text has, in order; null unless `gate`."""
+    found = [f"if({_has_term(text, terms)}, {literal(name)}, null)" for name, terms in named_terms]
+    return f"if({gate}, array_compact(array({', '.join(found)})), null)"
 
-def _client_groups(text: Column, folded: Column, rules: C.Catalogue) -> Column:
-    """Labels of the client-data term groups of the text; null without a client."""
+
+def _phi_terms(text: str, rules: C.Catalogue) -> str:
+    """SQL: health-information terms of the text, in catalogue order."""
+    return _named_if_present(
+        text, [(t, (t,)) for t in rules.phi_terms], _has_term(text, rules.phi_terms)
+    )
+
+
+def _client_groups(text: str, rules: C.Catalogue) -> str:
+    """SQL: labels of the client-data groups of the text; null without a client."""
     groups = zip(
         C.CLIENT_GROUP_LABELS,
         (rules.client_terms, rules.document_terms, rules.data_terms, rules.action_terms),
     )
-    found = [F.when(has_term(text, folded, terms), F.lit(label)) for label, terms in groups]
-    return F.when(has_term(text, folded, rules.client_terms), F.array_compact(F.array(*found)))
+    return _named_if_present(text, groups, _has_term(text, rules.client_terms))
 
 
-def _hit(entry: Column, regex: Column, found: Column, given: Column) -> Column:
-    return F.struct(
-        entry.cast("int").alias("entry"),
-        regex.cast("string").alias("regex"),
-        found.cast("array<string>").alias("found"),
-        given.cast("string").alias("given"),
+def _hit(entry, regex: str, found: str, given: str = "cast(null AS string)") -> str:
+    return (
+        f"named_struct('entry', {entry}, 'regex', {regex}, 'found', {found}, 'given', {given})"
     )
 
 
-def _nothing() -> Column:
-    return F.lit(None)
+def _regex_for(value: str, terms) -> str:
+    cases = " ".join(f"WHEN {literal(t)} THEN {literal(term_regex(t))}" for t in terms)
+    return f"CASE {value} {cases} END"
 
 
-def _phi_hit(text: Column, entry: int, rules: C.Catalogue) -> Column:
+def _phi_hit(text: str, entry: int, rules: C.Catalogue) -> str:
     """Evidence is the first match of the first term in catalogue order."""
-    terms = F.col("_phi")
-    strong = (F.size(terms) >= 2) | F.arrays_overlap(
-        terms, F.array(*(F.lit(t) for t in rules.phi_strong_terms))
-    )
-    regex = _regex_for(F.get(terms, F.lit(0)), rules.phi_terms)
+    strong = f"size(_phi) >= 2 OR arrays_overlap(_phi, {array_literal(rules.phi_strong_terms)})"
+    regex = _regex_for("_phi[0]", rules.phi_terms)
     hit = _hit(
-        F.when(strong, entry).otherwise(entry + 1), regex, F.array(F.regexp_substr(text, regex)), _nothing()
+        f"if({strong}, {entry}, {entry + 1})", regex, f"array(regexp_substr({text}, {regex}))"
     )
-    return F.when(F.size(terms) > 0, hit)
+    return f"if(size(_phi) > 0, {hit}, null)"
 
 
-def _client_hit(text: Column, entry: int) -> Column:
+def _client_hit(text: str, entry: int) -> str:
     """Evidence is round the first group label that is itself a word of the
     text; failing that, the start of the text."""
-    groups = F.col("_groups")
-    strong = F.array_contains(groups, "sensitive_data") | F.array_contains(
-        groups, "sensitive_document"
+    strong = f"arrays_overlap(_groups, {array_literal(('sensitive_data', 'sensitive_document'))})"
+    labels = ", ".join(
+        f"if(array_contains(_groups, {literal(name)}) AND "
+        f"rlike({text}, {literal(term_regex(name))}), {literal(name)}, null)"
+        for name in C.CLIENT_GROUP_LABELS
     )
-    label = F.coalesce(
-        *(
-            F.when(F.array_contains(groups, name) & text.rlike(term_regex(name)), F.lit(name))
-            for name in C.CLIENT_GROUP_LABELS
-        )
-    )
-    regex = _regex_for(label, C.CLIENT_GROUP_LABELS)
-    found = F.regexp_substr(text, regex)
+    regex = _regex_for(f"coalesce({labels})", C.CLIENT_GROUP_LABELS)
+    found = f"regexp_substr({text}, {regex})"
     hit = _hit(
-        F.when(strong, entry).otherwise(entry + 1),
+        f"if({strong}, {entry}, {entry + 1})",
         regex,
-        F.when(found.isNotNull(), F.array(found)),
-        F.when(found.isNull(), F.substring(text, 1, C.EXCERPT_CHARS)),
+        f"if({found} IS NULL, null, array({found}))",
+        f"if({found} IS NULL, substring({text}, 1, {C.EXCERPT_CHARS}), null)",
     )
-    return F.when(F.size(groups) >= 2, hit)
+    return f"if(size(_groups) >= 2, {hit}, null)"
 
 
 def _with_hits(df: DataFrame, text_col: str, rules: C.Catalogue) -> DataFrame:
-    text, folded, has_digit = F.col(text_col), F.col("_folded"), F.col("_digit")
-    df = df.withColumns({"_folded": fold(text), "_digit": text.rlike(r"\p{Nd}")}).withColumns(
-        {
-            "_phi": _phi_terms(text, folded, rules),
-            "_groups": _client_groups(text, folded, rules),
-        }
-    )
+    text = f"`{text_col}`"
     hits = []
     for i, (entry, pattern) in enumerate(_entries(rules)):
         if pattern is not None:
-            found = F.when(_gate(pattern, has_digit, folded), matches(text, entry.regex))
-            hits.append(_hit(F.lit(i), F.lit(entry.regex), found, _nothing()))
-        elif entry.score == C.PHI_STRONG[0] and entry.category == C.PHI_CATEGORY:
+            regex = literal(entry.regex)
+            found = f"if({_gate(pattern)}, regexp_extract_all({text}, {regex}, 0), null)"
+            hits.append(_hit(i, regex, found))
+        elif entry.category == C.PHI_CATEGORY and entry.score == C.PHI_STRONG[0]:
             hits.append(_phi_hit(text, i, rules))
         elif entry.category == C.CLIENT_STRONG[0]:
             hits.append(_client_hit(text, i))
-    kept = F.filter(
-        F.array(*hits), lambda h: (F.size(h["found"]) > 0) | h["given"].isNotNull()
+    kept = f"filter(array({', '.join(hits)}), h -> size(h.found) > 0 OR h.given IS NOT NULL)"
+    return (
+        df.withColumns({"_folded": fold(F.col(text_col)), "_digit": F.col(text_col).rlike(r"\p{Nd}")})
+        .withColumn("_found_words", folded_words(F.col("_folded")))
+        .withColumn("_keys", F.expr(f"array_intersect(_found_words, {array_literal(_key_words(rules))})"))
+        .withColumns(
+            {
+                "_phi": F.expr(_phi_terms(text, rules)),
+                "_groups": F.expr(_client_groups(text, rules)),
+            }
+        )
+        .withColumn("_hits", F.expr(kept))
+        .drop("_folded", "_digit", "_found_words", "_keys", "_phi", "_groups")
     )
-    return df.withColumn("_hits", kept).drop("_folded", "_digit", "_phi", "_groups")
 
 
 def _table(rules: C.Catalogue) -> Column:
     """The entries as a constant array, looked up by a hit's entry number."""
     fields = ("rule_no", "pattern_no", "category", "reason", "score", "confidence", "source", "kind")
-    rows = [
-        F.struct(*(F.lit(value).alias(name) for name, value in zip(fields, astuple(entry))))
-        for entry, _ in _entries(rules)
-    ]
-    return F.array(*rows)
+    rows = []
+    for entry, _ in _entries(rules):
+        values = ((f, getattr(entry, f)) for f in fields)
+        pairs = (f"'{f}', {v if isinstance(v, int) else literal(v)}" for f, v in values)
+        rows.append(f"named_struct({', '.join(pairs)})")
+    return F.expr(f"array({', '.join(rows)})")
 
 
 def _with_places(df: DataFrame, text_col: str, rules: C.Catalogue) -> DataFrame:
