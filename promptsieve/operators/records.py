@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from promptsieve.functions.dialect import strip
 from promptsieve.functions.jsontext import elements, present, strict_parse, truthy
+from promptsieve.functions.rows import settle
 
 # Fixed values.
 RESPONSE_ROLES = ("assistant", "model")
@@ -49,7 +50,7 @@ def with_record_facts(records: DataFrame, json: str = "record_json") -> DataFram
         WHEN {truthy('_head.source_log_id')} THEN _head.source_log_id
         WHEN {truthy('_head.log_id')} THEN _head.log_id
         ELSE _head.id END, '$', 'string')"""
-    return (
+    return settle(
         records.withColumn("_head", F.expr(head))
         .withColumns(
             {

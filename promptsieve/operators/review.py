@@ -9,7 +9,7 @@ from promptsieve.functions import catalogue as C
 from promptsieve.functions import scoring
 from promptsieve.functions.redaction import excerpt
 from promptsieve.functions.rows import settle
-from promptsieve.operators.detect import FINDING, detect
+from promptsieve.operators.detect import detect
 
 REVIEWED_COLUMNS = (
     "risk_level", "risk_score", "confidence", "needs_human_review", "categories", "reasons",
@@ -17,7 +17,6 @@ REVIEWED_COLUMNS = (
     "user_email", "created_at", "prompt",
 )
 _TYPES = {"risk_score": "int", "needs_human_review": "boolean", "line_number": "bigint"}
-_IDS = ("event_id", "conversation_id", "message_id", "user_id", "user_email", "created_at")
 
 
 def _typed(df: DataFrame, name: str) -> Column:
@@ -69,30 +68,27 @@ def classify(
     )
 
 
-def invalid_lines(lines: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Findings for input lines that are not JSON, shaped like reviewed prompts.
-
-    `lines` has line_number and the stripped `line`.  The line is kept whole,
-    never redacted.
-    """
+def invalid_line_values(line: Column) -> dict[str, Column]:
+    """Reviewed values of an input line that is not JSON.  The line is kept
+    whole, never redacted."""
     category, score, level, confidence = C.INVALID_LINE
-    values = {
+    return {
         "risk_level": F.lit(level),
         "risk_score": F.lit(score),
         "confidence": F.lit(confidence),
         "needs_human_review": F.lit(True),
         "categories": F.lit(category),
         "reasons": F.lit(C.INVALID_LINE_REASON),
-        "matched_evidence": F.substring("line", 1, C.EXCERPT_CHARS),
-        "line_number": F.col("line_number"),
-        "prompt": F.col("line"),
-        **{name: F.lit(None) for name in _IDS},
+        "matched_evidence": F.substring(line, 1, C.EXCERPT_CHARS),
+        "prompt": line,
     }
-    return lines.select(
-        *(values[c].cast(_TYPES.get(c, "string")).alias(c) for c in REVIEWED_COLUMNS),
-        F.array().cast(f"array<{FINDING}>").alias("findings"),
-        *keep,
-    )
+
+
+def invalid_lines(lines: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Reviewed rows for lines (line_number, line) that are not JSON."""
+    values = invalid_line_values(F.col("line"))
+    with_values = lines.select("line_number", *(v.alias(c) for c, v in values.items()), *keep)
+    return with_values.select(*(_typed(with_values, c) for c in REVIEWED_COLUMNS), *keep)
 
 
 def flagged(reviewed: DataFrame) -> DataFrame:
