@@ -1,11 +1,12 @@
 """User prompts out of nested records.
 
 The walk goes down a record one nesting level at a time, inside the record's
-own row: `_level` holds the objects and lists of the current level, each with
-the ids inherited from above and its place in the document.  Nothing is joined,
-grouped or shuffled, and the source is read once, however deep records go.
-Parts of a record that hold no field naming a role are left out, since no
-prompt can come from them.
+own row.  It is a fold whose state holds the objects and lists of the current
+level, each with the ids inherited from above and its place in the document,
+and the prompts found so far.  Nothing is joined, grouped or shuffled, and the
+source is read once, however deep records go.  Parts of a record without a
+field naming a role and a field for content are left out, since no prompt can
+come from them.
 """
 
 from __future__ import annotations
@@ -44,7 +45,8 @@ TEXT_PARTS = ("value", "text", "parts")
 CONTEXT_FIELDS = ("event_id", "conversation_id", "message_id", "user_id", "user_email", "created_at")
 PROMPT_FIELDS = CONTEXT_FIELDS + ("content_kind", "content", "raw")
 
-DEFAULT_DEPTH = 12
+# JSON nested deeper than this is not read at all.
+MAX_NESTING = 1000
 TEXT_DEPTH = 6
 
 
@@ -112,7 +114,10 @@ def _own_or_inherited(node: str, name: str) -> str:
 
 
 def _relevant(text: str) -> str:
-    return "(" + " OR ".join(f"contains({text}, '\"{k}\"')" for k in ROLE_KEYS) + ")"
+    def any_key(keys) -> str:
+        return "(" + " OR ".join(f"contains({text}, '\"{k}\"')" for k in keys) + ")"
+
+    return f"({any_key(ROLE_KEYS)} AND {any_key(CONTENT_KEYS + ('message',))})"
 
 
 def _open_nodes(level: str) -> str:
@@ -188,35 +193,32 @@ def _same(field: str) -> str:
     return f"p.{field} <=> get(_sorted, i - 1).{field}"
 
 
-def extract_prompts(
-    records: DataFrame, json: str = "record_json", *, max_depth: int = DEFAULT_DEPTH
-) -> DataFrame:
+def _walk(json: str) -> str:
+    """SQL: the nodes of a record that speak for a user, with their context."""
+    no_ids = ", ".join(f"'{f}', cast(null AS string)" for f in CONTEXT_FIELDS)
+    root = f"""array(named_struct('t', {json}, 'o', cast(array() AS array<int>),
+        'c', named_struct({no_ids})))"""
+    state = f"""named_struct('nodes', {_open_nodes(root)}, 'found',
+        filter(array(named_struct('t', {json}, 'o', cast(array() AS array<int>), 'c', named_struct({no_ids}))), n -> false))"""
+    # No record has more levels than it has opening brackets.
+    brackets = f"2 * length({json}) - length(replace({json}, '{{')) - length(replace({json}, '['))"
+    levels = f"sequence(1, least({MAX_NESTING}, {brackets}))"
+    down = f"""named_struct('nodes', {_open_nodes(_children('s.nodes'))},
+        'found', concat(s.found, {_users('s.nodes')}))"""
+    is_open = f"(startswith({json}, '{{') OR startswith({json}, '[')) AND {_relevant(json)}"
+    return f"""if({is_open},
+        aggregate({levels}, {state}, (s, i) -> if(size(s.nodes) = 0, s, {down}), s -> s.found), null)"""
+
+
+def extract_prompts(records: DataFrame, json: str = "record_json") -> DataFrame:
     """Add `prompts`, the array of user prompts of each record in document order.
 
     Each prompt has `PROMPT_FIELDS`: ids and times as text, the content as
     `content` (plain text if `content_kind` is STRING, else JSON text) and
     the object it came from as `raw`.  A prompt whose message id and content
-    repeat an earlier one of the same record is left out.  A record with
-    relevant parts nested deeper than `max_depth` fails the job.
+    repeat an earlier one of the same record is left out.
     """
     kept = records.columns
-    context = ", ".join(f"'{f}', cast(null AS string)" for f in CONTEXT_FIELDS)
-    root = f"""if((startswith({json}, '{{') OR startswith({json}, '[')) AND {_relevant(json)},
-        array(named_struct('t', {json}, 'o', cast(array() AS array<int>), 'c', named_struct({context}))),
-        cast(array() AS array<struct<t:string,o:array<int>,c:struct<{', '.join(f'{f}:string' for f in CONTEXT_FIELDS)}>>>))"""
-    frame = records.select("*", F.expr(root).alias("_level"))
-    found: list[str] = []
-    for depth in range(max_depth):
-        frame = frame.select(*kept, *found, F.expr(_open_nodes("_level")).alias("_nodes")).select(
-            *kept,
-            *found,
-            F.expr(_users("_nodes")).alias(f"_found_{depth}"),
-            F.expr(_children("_nodes")).alias("_level"),
-        )
-        found.append(f"_found_{depth}")
-    too_deep = f"""if(size(_level) > 0,
-        raise_error('record nested deeper than {max_depth} levels; raise max_depth'),
-        concat({', '.join(found)}))"""
     rest = ", ".join(f"'{f}', p.{f}" for f in PROMPT_FIELDS if f not in ("message_id", "content_kind", "content"))
     by_content = f"""array_sort(transform(_all, p -> named_struct('message_id', p.message_id,
         'content_kind', p.content_kind, 'content', p.content, 'o', p.o, {rest})))"""
@@ -224,11 +226,12 @@ def extract_prompts(
         OR NOT ({_same('message_id')} AND {_same('content_kind')} AND {_same('content')}))"""
     fields = ", ".join(f"'{f}', p.{f}" for f in PROMPT_FIELDS)
     in_order = f"array_sort(transform({unique}, p -> named_struct('o', p.o, {fields})))"
+    nothing = f"cast(array() AS array<struct<o:array<int>,{','.join(f'{f}:string' for f in PROMPT_FIELDS)}>>)"
     return (
-        frame.select(*kept, F.expr(too_deep).alias("_users"))
+        records.select("*", F.expr(_walk(json)).alias("_users"))
         .select(*kept, F.expr(_prompts("_users")).alias("_all"))
         .select(*kept, F.expr(by_content).alias("_sorted"))
-        .select(*kept, F.expr(in_order).alias("prompts"))
+        .select(*kept, F.expr(f"coalesce({in_order}, {nothing})").alias("prompts"))
     )
 
 

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptsieve.operators.prompts import DEFAULT_DEPTH, extract_prompts, prompt_rows
+from promptsieve.operators.prompts import extract_prompts, prompt_rows
 from promptsieve.operators.records import decode_payload, with_record_facts
 from promptsieve.operators.summary import merge_rows
 from promptsieve.sources import listing
@@ -50,14 +50,14 @@ def scope_type(principal_id: Column) -> Column:
     return F.when(principal_id.startswith("org-"), "organization").otherwise("workspace")
 
 
-def decoded_units(fetched: DataFrame, *, max_depth: int = DEFAULT_DEPTH) -> DataFrame:
+def decoded_units(fetched: DataFrame) -> DataFrame:
     """One row per record of the fetched bodies, model responses included, with
     its prompts; an empty body gives one row with a null record_no."""
     decoded = decode_payload(fetched, keep=("page_no", "entry_no"))
     facts = with_record_facts(decoded).withColumn(
         "_kept", F.when(~F.col("is_response"), F.col("record_json"))
     )
-    return extract_prompts(facts, "_kept", max_depth=max_depth).drop("_kept")
+    return extract_prompts(facts, "_kept").drop("_kept")
 
 
 def kept_records(units: DataFrame) -> DataFrame:
@@ -177,7 +177,6 @@ def export_logs(
     *,
     out_path: str,
     now: datetime | None = None,
-    max_depth: int = DEFAULT_DEPTH,
 ) -> Export:
     """Run an export over landed listing responses and log bodies.
 
@@ -188,7 +187,7 @@ def export_logs(
     pages = listing.read_pages(responses)
     entries = listing.entries(pages)
     fetched = listing.fetch_bodies(entries, bodies)
-    units = stage(decoded_units(fetched, max_depth=max_depth), f"{out_path}/units")
+    units = stage(decoded_units(fetched), f"{out_path}/units")
     records = kept_records(units)
     prompts = prompt_rows(records)
     warned = in_order(warnings(entries, units))

@@ -12,7 +12,6 @@ from promptsieve.functions.jsontext import strict_parse
 from promptsieve.functions.rows import settle
 from promptsieve.operators.prompts import (
     CONTEXT_FIELDS,
-    DEFAULT_DEPTH,
     extract_prompts,
     prompt_text,
 )
@@ -43,7 +42,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     return with_record_facts(kept.withColumn("record_json", strict_parse(F.col("line"))))
 
 
-def prompts_of_lines(parsed: DataFrame, *, max_depth: int = DEFAULT_DEPTH) -> DataFrame:
+def prompts_of_lines(parsed: DataFrame) -> DataFrame:
     """One row per prompt, and one per line that is not JSON (`is_invalid`),
     whose `prompt` is the line itself."""
     place = [c for c in ("file", "line_number") if c in parsed.columns]
@@ -54,7 +53,7 @@ def prompts_of_lines(parsed: DataFrame, *, max_depth: int = DEFAULT_DEPTH) -> Da
         F.col("record_json").isNull().alias("is_invalid"),
         F.when(~F.col("is_response"), F.col("record_json")).alias("record_json"),
     )
-    walked = extract_prompts(source, max_depth=max_depth)
+    walked = extract_prompts(source)
     # An invalid line has no prompts, and keeps its row through the explode.
     rows = walked.select(
         *place, "line", "own_log_id", "is_invalid",
