@@ -21,6 +21,35 @@ def arriving_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines_of_files(files)
 
 
+def append_reviewed(
+    reviewed: DataFrame, out_path: str, checkpoint: str, *, available_now: bool = True
+) -> StreamingQuery:
+    """Append a stream of reviewed prompts to a parquet table.  Rows are
+    independent of one another, so the query keeps no state; the file and
+    offset logs in `checkpoint` make the output exactly-once."""
+    writer = (
+        reviewed.writeStream.format("parquet").outputMode("append")
+        .option("path", out_path).option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def replace_user_totals(
+    reviewed: DataFrame, out_path: str, checkpoint: str, *, available_now: bool = True
+) -> StreamingQuery:
+    """Keep the by-user summary up to date.  State is one row of counts per
+    user; each batch replaces the table with the totals so far."""
+
+    def replace(totals: DataFrame, batch: int) -> None:
+        totals.write.mode("overwrite").parquet(out_path)
+
+    writer = (
+        by_user(reviewed, ordered=False).writeStream.outputMode("complete")
+        .foreachBatch(replace).option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 def start_review(
     lines: DataFrame,
     out_path: str,
@@ -31,15 +60,9 @@ def start_review(
     excerpt_chars: int = C.EXCERPT_CHARS,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Append reviewed prompts to a parquet table.  Rows are independent of one
-    another, so the query keeps no state; file and offset logs in `checkpoint`
-    make the output exactly-once."""
+    """Review arriving lines of raw records into a parquet table."""
     reviewed = review_lines(lines, rules, redact_prompt=redact_prompt, excerpt_chars=excerpt_chars)
-    writer = (
-        reviewed.writeStream.format("parquet").outputMode("append")
-        .option("path", out_path).option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    return append_reviewed(reviewed, out_path, checkpoint, available_now=available_now)
 
 
 def start_user_totals(
@@ -50,16 +73,6 @@ def start_user_totals(
     *,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Keep the by-user summary up to date.  State is one row of counts per
-    user; each batch replaces the table with the totals so far."""
-
-    def replace(totals: DataFrame, batch: int) -> None:
-        totals.write.mode("overwrite").parquet(out_path)
-
-    writer = (
-        by_user(review_lines(lines, rules), ordered=False)
-        .writeStream.outputMode("complete")
-        .foreachBatch(replace)
-        .option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    """Review arriving lines of raw records into totals per user."""
+    reviewed = review_lines(lines, rules)
+    return replace_user_totals(reviewed, out_path, checkpoint, available_now=available_now)

@@ -93,9 +93,13 @@ def _planted_text() -> Column:
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns as prompts, with a rule sentence each and ids."""
+    return prompts_of(table(spark, sf_dir, "conversations"))
+
+
+def prompts_of(turns: DataFrame) -> DataFrame:
     user = F.col("conv_id") % 10
     return (
-        table(spark, sf_dir, "conversations")
+        turns
         .where(F.col("role") == "user")
         .select(
             "conv_id",
@@ -231,7 +235,7 @@ def write_lines(spark: SparkSession, sf_dir: str) -> str:
         table(spark, sf_dir, "conversations")
         .select("conv_id", "turn", envelope(_planted_text()).alias("record_json"))
         .select("conv_id", "turn", F.floor(F.col("conv_id") / LINES_PER_FILE_KEY).alias("part"), text.alias("value"))
-        .repartitionByRange("part", "conv_id", "turn")
+        .repartition("part")
         .sortWithinPartitions("part", "conv_id", "turn")
         .select("part", "value")
         .write.partitionBy("part").text(path)
