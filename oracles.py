@@ -237,18 +237,27 @@ EXTRACTED = f"""extracted AS (
 PAGE = "conv_id * 100 + turn"
 LOG = "'log_' || conv_id || '_' || turn"
 UNPARSED = f"""CAST(json_object('_unparsed_log_line', line, 'source_log_id', {LOG}, 'line_number', line_number) AS VARCHAR)"""
+NO_UNIT = "{'record_no': CAST(NULL AS BIGINT), 'line_number': CAST(NULL AS BIGINT), 'parse_ok': CAST(NULL AS BOOLEAN), 'item': false, 'line': CAST(NULL AS VARCHAR)}"
+
+
+def unit(no: int, line: str, line_number: str = "NULL", ok: str = "true", item: str = "false") -> str:
+    return f"{{'record_no': {no}, 'line_number': {line_number}, 'parse_ok': {ok}, 'item': {item}, 'line': {line}}}"
+
+
+# A body that is a list is taken apart: each message is a record of its own.
+ITEMS = ", ".join(unit(i, f"CAST(json_extract(record_json, '$[{i}]') AS VARCHAR)", item="true") for i in range(3))
 UNITS = f"""units AS (SELECT *, {PAGE} AS page_no, CASE WHEN conv_id % 4 = 1 THEN 1 ELSE 0 END AS entry_no, {LOG} AS log_id,
     u.record_no AS record_no, u.line_number AS line_number, u.parse_ok AS parse_ok, u.line AS line,
-    u.parse_ok AND u.record_no = 0 AND {IS_RESPONSE} AS is_response,
-    CASE WHEN u.record_no = 0 AND role = 'user' THEN CASE WHEN shape >= 3 THEN 2 ELSE 1 END ELSE 0 END AS n_prompts
-  FROM (SELECT *, unnest(CASE (conv_id * 3 + turn) % 7
-      WHEN 0 THEN [{{'record_no': CAST(NULL AS BIGINT), 'line_number': CAST(NULL AS BIGINT), 'parse_ok': CAST(NULL AS BOOLEAN), 'line': CAST(NULL AS VARCHAR)}}]
-      WHEN 1 THEN [{{'record_no': 0, 'line_number': NULL, 'parse_ok': true, 'line': record_json}},
-                   {{'record_no': 1, 'line_number': NULL, 'parse_ok': true, 'line': '1'}}]
-      WHEN 2 THEN [{{'record_no': 0, 'line_number': 1, 'parse_ok': true, 'line': record_json}},
-                   {{'record_no': 1, 'line_number': 3, 'parse_ok': false, 'line': '{{"broken":'}},
-                   {{'record_no': 2, 'line_number': 4, 'parse_ok': false, 'line': record_json || ' x'}}]
-      ELSE [{{'record_no': 0, 'line_number': NULL, 'parse_ok': true, 'line': record_json}}] END) AS u FROM records))"""
+    CASE WHEN u.item THEN role = 'assistant' ELSE u.parse_ok AND u.record_no = 0 AND {IS_RESPONSE} END AS is_response,
+    CASE WHEN role <> 'user' THEN 0 WHEN u.item THEN 1 WHEN u.record_no = 0 AND shape >= 3 THEN 2
+      WHEN u.record_no = 0 THEN 1 ELSE 0 END AS n_prompts
+  FROM (SELECT *, unnest(CASE
+      WHEN (conv_id * 3 + turn) % 7 = 0 THEN [{NO_UNIT}]
+      WHEN (conv_id * 3 + turn) % 7 = 1 THEN [{unit(0, 'record_json')}, {unit(1, "'1'")}]
+      WHEN (conv_id * 3 + turn) % 7 = 2 THEN [{unit(0, 'record_json', '1')},
+        {unit(1, """'{"broken":'""", '3', 'false')}, {unit(2, "record_json || ' x'", '4', 'false')}]
+      WHEN shape = 3 THEN [{ITEMS}]
+      ELSE [{unit(0, 'record_json')}] END) AS u FROM records))"""
 
 LINES = f"""line_records AS (SELECT conv_id, turn, role, {SHAPE} AS shape, conv_id // {LINES_PER_FILE_KEY} AS part,
     {envelope(PLANT)} AS record_json FROM conversations),
