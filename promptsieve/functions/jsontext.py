@@ -83,8 +83,9 @@ def elements(array_text: Column) -> Column:
     )
 
 
-# In compact JSON: everything up to the next comma or colon outside a string.
-_TO_SEPARATOR = r'((?:"(?:[^"\\]++|\\.)*+"|[^",:])*+)([,:])'
+# In compact JSON, from the last match on: everything up to the next comma or
+# colon outside a string.
+_TO_SEPARATOR = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^",:])*+)([,:])'
 
 
 def spaced_json(raw: str) -> str:
