@@ -102,7 +102,7 @@ def dedup_prompts(spark, sf):
 
 def prompt_text(spark, sf):
     """Content of every kind: lists, wrapped values, other objects, numbers."""
-    turns = w.table(spark, sf, "conversations")
+    turns = w.conversations(spark, sf)
     text, role = F.to_json(F.array("text")), F.col("role")
     bare = F.expr("substring(to_json(array(text)), 2, length(to_json(array(text))) - 2)")
     content = (
@@ -183,7 +183,7 @@ def rule_hits(spark, sf):
 
 
 def pii_hits(spark, sf):
-    detected = ps.detect(w.table(spark, sf, "documents"), "text")
+    detected = ps.detect(w.documents(spark, sf), "text")
     return _counts(detected, ("doc_id",), _categories(C.PERSONAL_DATA_RULES))
 
 
@@ -205,8 +205,7 @@ def card_hits(spark, sf):
         personal_data=tuple(r for r in C.PERSONAL_DATA_RULES if r.kind == "card"),
         internal_policy=(), usage_policy=(),
     )
-    documents = w.table(spark, sf, "documents")
-    return _places(documents, ("doc_id",), "text", ["pii_credit_card"], cards).drop("category")
+    return _places(w.documents(spark, sf), ("doc_id",), "text", ["pii_credit_card"], cards).drop("category")
 
 
 def contact_hits(spark, sf):
@@ -237,7 +236,7 @@ def evidence_windows(spark, sf):
         C.Rule(name, 1, "low", name, C.INTERNAL, (pattern,)) for name, pattern in wanted.items()
     )
     own = C.Catalogue(personal_data=rules, internal_policy=(), usage_policy=())
-    return _places(w.table(spark, sf, "documents"), ("doc_id",), "text", list(wanted), own)
+    return _places(w.documents(spark, sf), ("doc_id",), "text", list(wanted), own)
 
 
 # --- Scores, summaries, tables -----------------------------------------------
@@ -259,7 +258,7 @@ def flagged(spark, sf):
 
 
 def redact(spark, sf):
-    return w.table(spark, sf, "documents").select("doc_id", excerpt(F.col("text")).alias("excerpt"))
+    return w.documents(spark, sf).select("doc_id", excerpt(F.col("text")).alias("excerpt"))
 
 
 def by_user(spark, sf):

@@ -3,8 +3,9 @@ Spark plans.
 
 The SQL engine's regular expressions have no look-around and an ASCII word
 boundary.  Whether a pattern matches is therefore asked with a boundary that
-takes up a character; counts and places of matches use the ASCII one, which is
-the same on these texts.
+takes up a character; for counts and places of matches, letters and digits
+beyond ASCII are first replaced by an underscore each, which is a word
+character to the ASCII boundary too.
 """
 
 from __future__ import annotations
@@ -37,6 +38,10 @@ def unicode_bounds(pattern: str) -> str:
     return "(?is)" + out
 
 
+def ascii_words(text: str) -> str:
+    return rf"regexp_replace({text}, '[^\x00-\x7F\P{{L}}]|[^\x00-\x7F\P{{N}}]', '_', 'g')"
+
+
 def term_bounds(*terms: str) -> str:
     return f"(?i)(?:^|{N})(?:{'|'.join(map(re.escape, terms))})(?:$|{N})"
 
@@ -60,8 +65,8 @@ def match_rows(source: str, keys: str, text: str, pattern: str) -> str:
         FROM (SELECT *, CAST(list_sum(list_transform(g[1:i], lambda x: length(x)))
             + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS INT) AS start_at
           FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i
-            FROM (SELECT {keys}, {text} AS t, string_split_regex({text}, {pat}) AS g,
-                regexp_extract_all({text}, {pat}) AS m,
+            FROM (SELECT {keys}, {text} AS t, string_split_regex({ascii_words(text)}, {pat}) AS g,
+                regexp_extract_all({ascii_words(text)}, {pat}) AS m,
                 list_filter(string_split_regex({text}, {sp}), {real}) AS w
               FROM {source}) WHERE len(m) > 0))))"""
 
@@ -167,11 +172,12 @@ def pattern_counts(source: str, keys: str, text: str, rules) -> str:
     parts = []
     for rule in rules:
         counts = " + ".join(
-            f"len(regexp_extract_all({text}, {q('(?is)' + p.regex)}))" for p in rule.patterns
+            f"len(regexp_extract_all(t, {q('(?is)' + p.regex)}))" for p in rule.patterns
         )
         parts.append(f"{{'category': {q(rule.category)}, 'matches': CAST({counts} AS BIGINT)}}")
     return f"""SELECT {keys}, c.category AS category, c.matches AS matches
-      FROM (SELECT {keys}, unnest([{', '.join(parts)}]) AS c FROM {source}) WHERE c.matches > 0"""
+      FROM (SELECT {keys}, unnest([{', '.join(parts)}]) AS c
+        FROM (SELECT {keys}, {ascii_words(text)} AS t FROM {source})) WHERE c.matches > 0"""
 
 
 SHAPE = "(conv_id + turn) % 5"

@@ -16,8 +16,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"[\p{L}\p{N}_]"
-_SPACES = r"\p{IsWhite_Space}\x1C-\x1F"
+# The Unicode spaces, and the four separators counted among them.
+_WIDE_SPACES = r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_SPACES = r"\t-\r\x1C-\x20" + _WIDE_SPACES
 SPACE = f"[{_SPACES}]"
+# A run of spaces that is not a single plain one.
+UNEVEN_SPACES = rf" *[\t-\r\x1C-\x1F{_WIDE_SPACES}]{SPACE}*| {{2,}}"
 NOT_SPACE = f"[^{_SPACES}]"
 _BOUNDARY = f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))"
 

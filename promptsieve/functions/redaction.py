@@ -9,20 +9,24 @@ from promptsieve.functions.catalogue import EXCERPT_CHARS
 from promptsieve.functions.dialect import java_regex
 from promptsieve.functions.spans import collapse_spaces
 
-# What is replaced, in this order, and by what.
+# What is replaced, in this order, by what, and whether letter
+# case is ignored.
 REDACTIONS = (
     (r"\b\d{3}-\d{2}-\d{4}\b", "[SSN]", False),
     (r"\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b", "[EMAIL]", True),
     (r"\b(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]\d{3}[-.\s]\d{4}\b", "[PHONE]", False),
     (r"\b(?:\d[ -]*?){13,19}\b", "[CARD_OR_LONG_NUMBER]", False),
 )
+# Every pattern asks for a digit or for this sign; most texts have neither.
+REDACTABLE = r"[@\p{Nd}]"
 CONTROL_CHARS = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"
 
 
 def redact(text: Column) -> Column:
+    redacted = text
     for pattern, label, ignore_case in REDACTIONS:
-        text = F.regexp_replace(text, java_regex(pattern, ignore_case=ignore_case), label)
-    return text
+        redacted = F.regexp_replace(redacted, java_regex(pattern, ignore_case=ignore_case), label)
+    return F.when(text.rlike(REDACTABLE), redacted).otherwise(text)
 
 
 def shorten(text: Column, max_chars: int) -> Column:
@@ -32,7 +36,9 @@ def shorten(text: Column, max_chars: int) -> Column:
 
 def excerpt(text: Column, max_chars: int = EXCERPT_CHARS) -> Column:
     """Redacted text on one line, at most `max_chars` long (never under 3)."""
-    return shorten(collapse_spaces(redact(text)), max_chars)
+    # One-element array: the line is computed once, then looked at three times.
+    line = F.array(collapse_spaces(redact(text)))
+    return F.get(F.transform(line, lambda t: shorten(t, max_chars)), F.lit(0))
 
 
 def clean_cell(value: Column) -> Column:

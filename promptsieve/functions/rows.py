@@ -16,3 +16,13 @@ def settle(df: DataFrame) -> DataFrame:
     here.
     """
     return df.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows over all cores, if the input comes in fewer splits.
+
+    Matching rules costs far more than moving the text, so a small input is
+    dealt out first.  An input with a split for every core is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

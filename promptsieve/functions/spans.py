@@ -14,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from promptsieve.functions.catalogue import WINDOW_WORDS
-from promptsieve.functions.dialect import NOT_SPACE, SPACE
+from promptsieve.functions.dialect import NOT_SPACE, UNEVEN_SPACES
 
 SPAN = "struct<start:int,end:int,first:int,last:int>"
 
@@ -100,4 +100,4 @@ def windows(all_words: Column, spans: Column) -> Column:
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(text, UNEVEN_SPACES, " "))

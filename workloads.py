@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from promptsieve.functions.rows import spread
 from promptsieve.session import shared_dir
 
 # One sentence per rule that it should match, and near misses.  A space ends
@@ -85,6 +86,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of documents, and no other columns, over all cores."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "conversations"))
+
+
 def _planted_text() -> Column:
     sentences = F.array(*(F.lit(s) for s in SENTENCES))
     pick = (F.col("conv_id") * 7 + F.col("turn")) % len(SENTENCES)
@@ -93,7 +103,7 @@ def _planted_text() -> Column:
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns as prompts, with a rule sentence each and ids."""
-    return prompts_of(table(spark, sf_dir, "conversations"))
+    return prompts_of(conversations(spark, sf_dir))
 
 
 def prompts_of(turns: DataFrame) -> DataFrame:
@@ -171,7 +181,7 @@ def envelope(content: Column | str = "text") -> Column:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").select(
+    return conversations(spark, sf_dir).select(
         "conv_id", "turn", envelope().alias("record_json")
     )
 
