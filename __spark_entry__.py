@@ -52,12 +52,10 @@ def log_cursor(spark, sf):
         F.collect_list(F.struct(F.col("event_id").cast("string").alias("id"))).alias("data"),
         F.date_format(F.max("end_time"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_end_time"),
     )
-    last = pages.agg(F.max("page_no").alias("last_page"))
-    responses = pages.join(F.broadcast(last), F.lit(True)).select(
+    has_more = F.col("page_no") < pages.agg(F.max("page_no")).scalar()
+    responses = pages.select(
         "page_no",
-        F.to_json(
-            F.struct("data", (F.col("page_no") < F.col("last_page")).alias("has_more"), "last_end_time")
-        ).alias("page_json"),
+        F.to_json(F.struct("data", has_more.alias("has_more"), "last_end_time")).alias("page_json"),
     )
     reached = listing.cursor(listing.read_pages(responses), after)
     now = F.to_timestamp_ntz(F.lit("2024-02-09 00:00:00"))
@@ -70,9 +68,9 @@ def decode_payload(spark, sf):
 
 
 def _export(spark, sf):
-    """(pages, entries, units); units come from a written table, as in an export."""
+    """(pages, entries, units) from written tables, as in an export."""
     pages = listing.read_pages(w.listing_pages(spark, sf))
-    entries = listing.entries(pages)
+    entries = stage(listing.entries(pages), shared_dir(spark, "entries"))
     fetched = listing.fetch_bodies(entries, w.bodies(spark, sf))
     units = stage(export.decoded_units(fetched), shared_dir(spark, "units"))
     return pages, entries, units

@@ -180,12 +180,13 @@ def export_logs(
 ) -> Export:
     """Run an export over landed listing responses and log bodies.
 
+    The listing is read once and its entries written to `out_path/entries`.
     Bodies are decoded and walked once; the outcome is written to
-    `out_path/units` and all outputs are read off that table.
+    `out_path/units`, and all outputs are read off these two tables.
     """
     now = now or datetime.now(timezone.utc)
     pages = listing.read_pages(responses)
-    entries = listing.entries(pages)
+    entries = stage(listing.entries(pages), f"{out_path}/entries")
     fetched = listing.fetch_bodies(entries, bodies)
     units = stage(decoded_units(fetched), f"{out_path}/units")
     records = kept_records(units)
