@@ -208,32 +208,28 @@ def _with_hits(df: DataFrame, text_col: str, rules: C.Catalogue) -> DataFrame:
     )
 
 
-def _table(rules: C.Catalogue) -> Column:
-    """The entries as a constant array, looked up by a hit's entry number."""
+def _table(rules: C.Catalogue) -> str:
+    """SQL: the entries as a constant array, looked up by a hit's entry number."""
     fields = ("rule_no", "pattern_no", "category", "reason", "score", "confidence", "source", "kind")
     rows = []
     for entry, _ in _entries(rules):
         values = ((f, getattr(entry, f)) for f in fields)
         pairs = (f"'{f}', {v if isinstance(v, int) else literal(v)}" for f, v in values)
         rows.append(f"named_struct({', '.join(pairs)})")
-    return F.expr(f"array({', '.join(rows)})")
+    return f"array({', '.join(rows)})"
 
 
 def _with_places(df: DataFrame, text_col: str, rules: C.Catalogue) -> DataFrame:
     """Add `_placed`, the hits with their spans, and the text's `_words`."""
     text, all_words = F.col(text_col), F.col("_words")
-    table = _table(rules)
     sensitive = term_regex(*rules.contact_terms)
     df = df.withColumn("_words", F.when(F.size("_hits") > 0, words(text)))
 
-    def place(hit: Column) -> Column:
-        spans = F.when(hit["found"].isNotNull(), match_spans(text, hit["regex"], hit["found"]))
-        return F.struct(
-            F.get(table, hit["entry"]).alias("rule"),
-            hit["found"].alias("found"),
-            hit["given"].alias("given"),
-            spans.alias("spans"),
-        )
+    spans = match_spans(f"`{text_col}`", "h.regex", "h.found")
+    placed = F.expr(
+        f"""transform(_hits, h -> named_struct('rule', {_table(rules)}[h.entry],
+        'found', h.found, 'given', h.given, 'spans', if(h.found IS NULL, null, {spans})))"""
+    )
 
     def checked(hit: Column) -> Column:
         kind, spans, found = hit["rule"]["kind"], hit["spans"], hit["found"]
@@ -244,8 +240,7 @@ def _with_places(df: DataFrame, text_col: str, rules: C.Catalogue) -> DataFrame:
             hit["rule"].alias("rule"), hit["given"].alias("given"), kept.alias("spans")
         )
 
-    placed = F.transform(F.transform(F.col("_hits"), place), checked)
-    real = F.filter(placed, lambda h: h["given"].isNotNull() | (F.size(h["spans"]) > 0))
+    real = F.filter(F.transform(placed, checked), lambda h: h["given"].isNotNull() | (F.size(h["spans"]) > 0))
     return df.withColumn("_placed", real)
 
 

@@ -29,7 +29,7 @@ from promptsieve.operators.summary import (
     result_tables,
     scan_counters,
 )
-from promptsieve.sources.lines import non_blank, numbered_lines
+from promptsieve.sources.lines import non_blank, numbered_lines, unnumbered_lines
 from promptsieve.sources.sinks import stage, write_jsonl, write_table
 
 REVIEW_ORDER = ("file", "line_number", "prompt_no")
@@ -145,7 +145,7 @@ def run_review(
         by_user(reviewed),
         by_category(findings),
         by_risk_level(reviewed),
-        scan_counters(parse_lines(lines), reviewed),
+        scan_counters(parse_lines(unnumbered_lines(spark, in_path)), reviewed),
     )
     write_jsonl(reviewed.select(*REVIEWED_COLUMNS), f"{out_path}/compliance_reviewed_prompts")
     write_jsonl(findings.select(*REVIEWED_COLUMNS), f"{out_path}/compliance_findings")

@@ -45,6 +45,11 @@ def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
+def unnumbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The lines alone, for counting; needs no pass of its own over the files."""
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 def lines_of_files(files: DataFrame) -> DataFrame:
     """The same from whole files (file, text), one row each, as a stream reads
     them: a file must fit in memory, but no other file has to be looked at."""

@@ -134,3 +134,13 @@ def test_redaction_leaves_evidence_unless_asked(spark):
 def test_clean_cell(spark):
     df = spark.createDataFrame([("a\x00b\tc\nd\x1f",), (None,)], "t string")
     assert [r[0] for r in df.select(ps.clean_cell(F.col("t"))).collect()] == ["ab\tc\nd", ""]
+
+
+def test_text_full_of_matches(spark):
+    text = "number 123-45-6789 " * 20_000
+    df = spark.createDataFrame([(text,)], "prompt string").repartition(1)
+    found = ps.detections(df).where("category = 'pii_ssn'").select("detection_no", "start", "end")
+    ssn = found.orderBy("detection_no").collect()
+    assert len(ssn) == 20_000
+    assert (ssn[-1].start, ssn[-1].end) == (19 * 19_999 + 7, 19 * 20_000 - 1)
+    assert ps.classify(df).collect()[0].risk_level == "critical"
