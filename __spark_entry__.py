@@ -26,6 +26,12 @@ from promptsieve.sources.lines import numbered_lines
 from promptsieve.sources.sinks import stage
 from promptsieve.streaming import review as streaming
 
+try:  # the training-data operators come as a part that can be taken out
+    import corpus_pipeline
+    from promptsieve.llm import queries as llm
+except ImportError:
+    llm = corpus_pipeline = None
+
 ENTRY_DIR = "/root/testdata/sf0.001"
 NOW = datetime(2026, 5, 7)
 CONFIG = export.ExportConfig("org-1", "CONVERSATION_MESSAGE")
@@ -338,8 +344,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_cells": clean,
         "stream_classify": stream_classify,
         "stream_by_user": stream_by_user,
+        **({} if llm is None else {**llm.QUERIES, "pipeline": corpus_pipeline.run}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.build()
+    sql = oracles.build()
+    if llm is not None:
+        sql |= llm.SQL
+    return sql
