@@ -39,10 +39,11 @@ def frequent_digests(rows: DataFrame, tracked: int = TRACKED) -> DataFrame:
     merged = (
         short.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)))
         .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("sketch"))
+        # A group of its own, as an empty partition has no sketch to merge.
+        .groupBy(F.lit(True).alias("all"))
         .agg(F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"))
     )
-    # An empty table has no sketch to estimate from.
-    named = merged.where(F.col("sketch").isNotNull()).select(
+    named = merged.select(
         F.explode(F.expr(f"approx_top_k_estimate(sketch, {tracked})")).alias("item")
     )
     suspects = named.where(F.col("item.count") > 1).select(F.col("item.item").alias("h"))

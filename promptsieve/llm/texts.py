@@ -3,7 +3,9 @@ identity and Arrow batches of whole texts."""
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,9 +29,21 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def in_arrow(df: DataFrame, job: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it; a
+    cluster that installs it or ships it has no such folder and ignores it."""
+    root, places = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = [p for p in places.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        places["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
+def in_arrow(
+    df: DataFrame, job: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = ROWS_PER_BATCH
+) -> DataFrame:
     """`mapInArrow` with batches small enough for whole texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    importable(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     return df.mapInArrow(job, schema)
 
 
