@@ -3,8 +3,33 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from promptsieve.llm import exact_dedup, mixing
+from promptsieve.llm import exact_dedup, mixing, packing, token_counts, token_files
 from promptsieve.llm.texts import table
+from promptsieve.session import shared_dir
+
+WORD_TOKENIZER = "word_bpe_49k.json"
+PIECE_VOCABULARY = "piece_bpe_32k.model"
+
+
+def vocabulary(name: str) -> str:
+    """Where the installed public vocabulary files are."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(PIECE_VOCABULARY))
+
+
+def op5_token_files(spark, sf_dir):
+    path = shared_dir(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path, vocabulary(WORD_TOKENIZER), end_id=1)
+    return token_files.digests(spark, path)
+
+
+def op7_pack(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORD_TOKENIZER), end_id=0)
 
 
 def op8_exact_dedup(spark, sf_dir):
@@ -16,6 +41,9 @@ def op10_mix_sources(spark, sf_dir):
 
 
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
+    "op5_token_files": op5_token_files,
+    "op7_pack": op7_pack,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
