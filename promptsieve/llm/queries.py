@@ -3,7 +3,7 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from promptsieve.llm import exact_dedup, mixing, packing, token_counts, token_files
+from promptsieve.llm import exact_dedup, language, mixing, packing, quality, token_counts, token_files
 from promptsieve.llm.texts import table
 from promptsieve.session import shared_dir
 
@@ -22,6 +22,17 @@ def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(PIECE_VOCABULARY))
 
 
+def op4_identify_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    labelled = quality.sample(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, quality.train(labelled))
+
+
 def op5_token_files(spark, sf_dir):
     path = shared_dir(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), path, vocabulary(WORD_TOKENIZER), end_id=1)
@@ -42,7 +53,9 @@ def op10_mix_sources(spark, sf_dir):
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
+    "op4_identify_language": op4_identify_language,
     "op5_token_files": op5_token_files,
+    "op6_quality": op6_quality,
     "op7_pack": op7_pack,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
