@@ -3,7 +3,7 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from promptsieve.llm import exact_dedup, language, mixing, packing, quality, token_counts, token_files
+from promptsieve.llm import exact_dedup, language, mixing, packing, quality, token_counts, token_files, topk
 from promptsieve.llm.texts import table
 from promptsieve.session import shared_dir
 
@@ -47,6 +47,10 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
+def op9_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mix_sources(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -58,10 +62,24 @@ QUERIES = {
     "op6_quality": op6_quality,
     "op7_pack": op7_pack,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_top_k": op9_top_k,
     "op10_mix_sources": op10_mix_sources,
 }
 
 SQL = {
+    "op9_top_k": r"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ), ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+                   vec_id, score
+            FROM scored
+        )
+        SELECT * FROM ranked WHERE rank <= 5""",
     "op8_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id,
