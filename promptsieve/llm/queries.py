@@ -3,12 +3,14 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from promptsieve.llm import exact_dedup, language, mixing, packing, quality, token_counts, token_files, topk
+from promptsieve.llm import exact_dedup, language, mixing, packing, pii, quality, token_counts, token_files, topk
 from promptsieve.llm.texts import table
 from promptsieve.session import shared_dir
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
+# Only where the session has no spark.promptsieve.pii.key.
+PII_KEY = "not-a-secret"
 
 
 def vocabulary(name: str) -> str:
@@ -18,6 +20,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pseudonyms(spark, sf_dir):
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), key=spark.conf.get("spark.promptsieve.pii.key", PII_KEY))
+
+
 def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(PIECE_VOCABULARY))
 
@@ -56,6 +62,7 @@ def op10_mix_sources(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_pseudonyms": op1_pseudonyms,
     "op3_token_counts": op3_token_counts,
     "op4_identify_language": op4_identify_language,
     "op5_token_files": op5_token_files,
