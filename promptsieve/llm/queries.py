@@ -3,7 +3,7 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from promptsieve.llm import exact_dedup, language, mixing, packing, pii, quality, token_counts, token_files, topk
+from promptsieve.llm import exact_dedup, language, mixing, ngram_join, packing, pii, quality, token_counts, token_files, topk
 from promptsieve.llm.texts import table
 from promptsieve.session import shared_dir
 
@@ -24,6 +24,10 @@ def op1_pseudonyms(spark, sf_dir):
     return pii.pseudonymise(table(spark, sf_dir, "documents"), key=spark.conf.get("spark.promptsieve.pii.key", PII_KEY))
 
 
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 def op3_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(PIECE_VOCABULARY))
 
@@ -63,6 +67,7 @@ def op10_mix_sources(spark, sf_dir):
 
 QUERIES = {
     "op1_pseudonyms": op1_pseudonyms,
+    "op2_ngram_join": op2_ngram_join,
     "op3_token_counts": op3_token_counts,
     "op4_identify_language": op4_identify_language,
     "op5_token_files": op5_token_files,

@@ -16,8 +16,8 @@ import numpy as np
 from tokenizers import Tokenizer
 
 # Words and pieces a worker remembers; beyond that it begins anew.
-WORDS_KEPT = 1_200_000
-PIECES_KEPT = 300_000
+WORDS_KEPT = 800_000
+PIECES_KEPT = 250_000
 LONGEST_KEPT = 64
 
 # Letters that are lower-cased and composed one by one, and how
@@ -26,21 +26,23 @@ _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
-def _byte_characters() -> list[str]:
+def _byte_characters() -> dict[int, int]:
     """A printable character for every byte: itself where it is printable, the
     next free one from 256 on otherwise."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
     others = iter(range(256, 512))
-    return [chr(b) if b in set(shown) else chr(next(others)) for b in range(256)]
+    return {b: b if b in shown else next(others) for b in range(256)}
 
 
 class _Pieces(dict):
-    def __init__(self, model):
-        self.model, self.characters = model, _byte_characters()
+    def __init__(self, model, size: int):
+        self.tokenize, self.characters = model.tokenize, _byte_characters()
+        self.coded = [i.to_bytes(4, "little") for i in range(size)]
 
     def __missing__(self, piece: str) -> bytes:
-        spelt = "".join(self.characters[b] for b in piece.encode())
-        ids = np.array([t.id for t in self.model.tokenize(spelt)], dtype="<u4").tobytes()
+        spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.characters)
+        coded = self.coded
+        ids = b"".join([coded[t.id] for t in self.tokenize(spelt)])
         if len(self) >= PIECES_KEPT:
             self.clear()
         self[piece] = ids
@@ -54,13 +56,15 @@ class Words(dict):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.pieces = _Pieces(self.tokenizer.model)
+        self.pieces = _Pieces(self.tokenizer.model, self.tokenizer.get_vocab_size(with_added_tokens=True))
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.marked = not any(s.isalnum() for s in self.special)
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if _PLAIN.fullmatch(text) and not any(s in text for s in self.special):
-            ids = b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
+        if _PLAIN.fullmatch(text) and (self.marked and text.isalnum() or not any(s in text for s in self.special)):
+            pieces = _PIECE.findall(text.lower())
+            ids = self.pieces[pieces[0]] if len(pieces) == 1 else b"".join([self.pieces[p] for p in pieces])
         else:
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(word) <= LONGEST_KEPT:
