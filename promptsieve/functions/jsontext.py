@@ -8,12 +8,32 @@ VARIANT.  The snippets are SQL strings because most are used inside lambdas.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from promptsieve.functions.dialect import literal
 
-_STRICT = {"allowSingleQuotes": "false"}
+# The reader's own limit, 20 million characters, is below what a prompt may be.
+_LONGEST = str((1 << 31) - 1)
+_STRICT = {"allowSingleQuotes": "false", "maxStringLen": _LONGEST}
+
+
+def last_key_wins(spark: SparkSession) -> None:
+    """Of repeated keys in an object the last value counts, in the first one's
+    place, and no reader rejects them.  Every plan that takes JSON apart asks
+    for this; it stays set in the session, as plans are run later."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
+
+
+def read_json(text: str, schema: str) -> str:
+    """SQL: `from_json` without a limit on the length of strings."""
+    return f"from_json({text}, '{schema}', map('maxStringLen', '{_LONGEST}'))"
+
+
+def members(text: str, leaf: str) -> str:
+    """SQL: the values of an object in text order, one per key."""
+    return f"map_values(map_from_entries(map_entries({read_json(text, f'map<string,{leaf}>')})))"
 
 
 def strict_parse(text: Column) -> Column:
@@ -52,35 +72,46 @@ def kind(variant: str) -> str:
     return f"schema_of_variant({variant})"
 
 
-def is_container(text: str, variant: str) -> str:
-    return (
-        f"((startswith({text}, '{{') OR startswith({text}, '[')) "
-        f"AND {kind(variant)} <> 'STRING')"
-    )
+def _with_strings(text: str, pattern: str, replacement: str) -> str:
+    """SQL: JSON text with every string token rewritten.  Escaped backslashes and
+    quotes are put aside meanwhile, as control characters, which JSON text has
+    none of; every quote that is left begins or ends a string."""
+    aside = rf"""replace(replace({text}, '\\\\', '\u0001'), '\\"', '\u0002')"""
+    rewritten = f"regexp_replace({aside}, {literal(pattern)}, {literal(replacement)})"
+    return rf"""replace(replace({rewritten}, '\u0001', '\\\\'), '\u0002', '\\"')"""
+
+
+def tagged(text: str) -> str:
+    """SQL: JSON text whose strings, keys included, have an s in front, so that
+    a value read as text shows by its first character what it is."""
+    return _with_strings(text, '"([^"]*+)"', '"s$1"')
+
+
+def untagged(text: str) -> str:
+    return _with_strings(text, '"s([^"]*+)"', '"$1"')
+
+
+def tagged_elements(text: str) -> str:
+    """SQL: the children of a container in text order, as tagged text."""
+    marked = tagged(text)
+    return f"if(startswith({text}, '{{'), {members(marked, 'string')}, {read_json(marked, 'array<string>')})"
 
 
 def element_pairs(text: str) -> str:
     """SQL: array of (raw, typed) for the children of a container, in text order."""
     pair = "(raw, typed) -> named_struct('raw', raw, 'typed', typed)"
     return f"""if(startswith({text}, '{{'),
-        zip_with(map_values(from_json({text}, 'map<string,string>')),
-                 map_values(from_json({text}, 'map<string,variant>')), {pair}),
-        zip_with(from_json({text}, 'array<string>'),
-                 from_json({text}, 'array<variant>'), {pair}))"""
+        zip_with({members(text, 'string')}, {members(text, 'variant')}, {pair}),
+        zip_with({read_json(text, 'array<string>')}, {read_json(text, 'array<variant>')}, {pair}))"""
 
 
-def elements(array_text: Column) -> Column:
+def elements(array_text: str) -> Column:
     """Compact JSON text of each element of a JSON array."""
-    pairs = F.arrays_zip(
-        F.from_json(array_text, "array<string>").alias("raw"),
-        F.from_json(array_text, "array<variant>").alias("typed"),
-    )
-    return F.transform(
-        pairs,
-        lambda p: F.when(
-            p["raw"].rlike(r"^[\[{]") & (F.schema_of_variant(p["typed"]) != "STRING"), p["raw"]
-        ).otherwise(F.to_json(p["typed"])),
-    )
+    return F.expr(f"""transform({tagged_elements(array_text)}, e -> CASE
+        WHEN e IS NULL THEN 'null'
+        WHEN startswith(e, 's') THEN substring(to_json(array(substring(e, 2))), 2, length(to_json(array(substring(e, 2)))) - 2)
+        WHEN startswith(e, '{{') OR startswith(e, '[') THEN {untagged('e')}
+        ELSE e END)""")
 
 
 # In compact JSON, from the last match on: everything up to the next comma or
@@ -90,4 +121,4 @@ _TO_SEPARATOR = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^",:])*+)([,:])'
 
 def spaced_json(raw: str) -> str:
     """SQL: JSON text with sorted keys and a space after each comma and colon."""
-    return f"regexp_replace(to_json(parse_json({raw})), {literal(_TO_SEPARATOR)}, '$1$2 ')"
+    return f"regexp_replace(to_json({read_json(raw, 'variant')}), {literal(_TO_SEPARATOR)}, '$1$2 ')"

@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 from promptsieve.functions.jsontext import (
     element_pairs,
     first_present,
-    is_container,
     kind,
+    last_key_wins,
+    read_json,
     spaced_json,
+    tagged_elements,
     truthy,
+    untagged,
 )
 from promptsieve.operators.records import ROLE_FIELDS, role_sql
 
@@ -96,7 +99,7 @@ def _inherit(node: str) -> str:
     """SQL: context for what lies below `node`; what is set further out stays."""
     conversation = f"""CASE WHEN {kind(f'{node}.v.conversation')} = 'STRING' THEN {node}.s.conversation
         WHEN startswith({node}.s.conversation, '{{')
-        THEN coalesce({', '.join(f"get_json_object({node}.s.conversation, '$.{k}')" for k in NESTED_CONVERSATION_KEYS)})
+        THEN coalesce({', '.join(f"{read_json(f'{node}.s.conversation', _struct('string', *NESTED_CONVERSATION_KEYS))}.{k}" for k in NESTED_CONVERSATION_KEYS)})
         END"""
     fields = []
     for name, spec in _OWN.items():
@@ -126,8 +129,8 @@ def _open_nodes(level: str) -> str:
     roles = ", ".join(f"'{r}'" for r in USER_ROLES)
     is_object = "startswith(n.t, '{')"
     read = f"""transform({level}, n -> named_struct('t', n.t, 'o', n.o, 'c', n.c,
-        's', if({is_object}, from_json(n.t, '{_WALK_TEXT}'), null),
-        'v', if({is_object}, from_json(n.t, '{_WALK_TYPED}'), null)))"""
+        's', if({is_object}, {read_json('n.t', _WALK_TEXT)}, null),
+        'v', if({is_object}, {read_json('n.t', _WALK_TYPED)}, null)))"""
     return f"""transform({read}, n -> named_struct('t', n.t, 'o', n.o, 'c', {_inherit('n')},
         'is_user', coalesce({role_sql('n.v')} IN ({roles}), false)))"""
 
@@ -139,10 +142,11 @@ def _users(nodes: str) -> str:
 
 def _children(nodes: str) -> str:
     """SQL: the next level, in document order."""
-    pairs = element_pairs("n.t")
+    containers = f"""filter(
+        transform({tagged_elements('n.t')}, (t, i) -> named_struct('t', t, 'i', i)),
+        p -> startswith(p.t, '{{') OR startswith(p.t, '['))"""
     below = f"""filter(
-        transform({pairs}, (p, i) -> named_struct('t', p.raw, 'typed', p.typed, 'i', i)),
-        p -> {is_container('p.t', 'p.typed')} AND {_relevant('p.t')})"""
+        transform({containers}, p -> named_struct('t', {untagged('p.t')}, 'i', p.i)), p -> {_relevant('p.t')})"""
     return f"""flatten(transform({nodes}, n -> transform({below},
         p -> named_struct('t', p.t, 'o', concat(n.o, array(p.i)), 'c', n.c))))"""
 
@@ -165,8 +169,8 @@ def _content_steps(nodes: str) -> str:
 
     is_object = "startswith(x.kind, 'OBJECT')"
     read = f"""transform({picked}, x -> named_struct('n', x.n, 'kind', x.kind, 'raw', x.raw,
-        's', if({is_object}, from_json(x.raw, '{schema('string')}'), null),
-        'v', if({is_object}, from_json(x.raw, '{schema('variant')}'), null)))"""
+        's', if({is_object}, {read_json('x.raw', schema('string'))}, null),
+        'v', if({is_object}, {read_json('x.raw', schema('variant'))}, null)))"""
     kinds = " ".join(f"WHEN x.v.{k} IS NOT NULL THEN {kind(f'x.v.{k}')}" for k in NORMAL_PARTS)
     raws = " ".join(f"WHEN x.v.{k} IS NOT NULL THEN x.s.{k}" for k in NORMAL_PARTS)
     normal = f"""transform({read}, x -> named_struct('n', x.n,
@@ -183,7 +187,7 @@ def _content_steps(nodes: str) -> str:
 def _prompts(users: str) -> str:
     """SQL: the prompts of the nodes that speak for a user and hold content."""
     read = f"""transform({users}, n -> named_struct('t', n.t, 'o', n.o, 'c', n.c,
-        's', from_json(n.t, '{_PROMPT_TEXT}'), 'v', from_json(n.t, '{_PROMPT_TYPED}')))"""
+        's', {read_json('n.t', _PROMPT_TEXT)}, 'v', {read_json('n.t', _PROMPT_TYPED)}))"""
     fields = ", ".join(f"'{f}', {_own_or_inherited('x.n', f)}" for f in CONTEXT_FIELDS)
     return f"""transform({_content_steps(read)}, x -> named_struct('o', x.n.o, {fields},
         'content_kind', x.kind, 'content', x.raw, 'raw', x.n.t))"""
@@ -218,6 +222,7 @@ def extract_prompts(records: DataFrame, json: str = "record_json") -> DataFrame:
     the object it came from as `raw`.  A prompt whose message id and content
     repeat an earlier one of the same record is left out.
     """
+    last_key_wins(records.sparkSession)
     kept = records.columns
     rest = ", ".join(f"'{f}', p.{f}" for f in PROMPT_FIELDS if f not in ("message_id", "content_kind", "content"))
     by_content = f"""array_sort(transform(_all, p -> named_struct('message_id', p.message_id,
@@ -248,8 +253,7 @@ def prompt_rows(extracted: DataFrame) -> DataFrame:
 def _text_of(kind_sql: str, raw: str, depth: int) -> str:
     if depth == 0:
         return "cast(raise_error('prompt content nested too deeply') AS string)"
-    typed = f"from_json({raw}, 'struct<{', '.join(f'{k}: variant' for k in TEXT_PARTS)}>')"
-    plain = f"from_json({raw}, 'struct<{', '.join(f'{k}: string' for k in TEXT_PARTS)}>')"
+    typed, plain = (read_json(raw, _struct(leaf, *TEXT_PARTS)) for leaf in ("variant", "string"))
     x, p = f"x{depth}", f"p{depth}"
     kinds = " ".join(f"WHEN {x}.v.{k} IS NOT NULL THEN {kind(f'{x}.v.{k}')}" for k in TEXT_PARTS)
     raws = " ".join(f"WHEN {x}.v.{k} IS NOT NULL THEN {x}.s.{k}" for k in TEXT_PARTS)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptsieve.functions.dialect import strip
-from promptsieve.functions.jsontext import elements, present, strict_parse, truthy
+from promptsieve.functions.jsontext import elements, last_key_wins, present, read_json, strict_parse, truthy
 from promptsieve.functions.rows import settle
 
 # Fixed values.
@@ -43,7 +43,8 @@ def role_sql(node: str) -> str:
 
 def with_record_facts(records: DataFrame, json: str = "record_json") -> DataFrame:
     """Add `is_response` and `own_log_id` to a frame of records."""
-    head = f"if(startswith({json}, '{{'), from_json({json}, '{_RECORD_SCHEMA}'), null)"
+    last_key_wins(records.sparkSession)
+    head = f"if(startswith({json}, '{{'), {read_json(json, _RECORD_SCHEMA)}, null)"
     listed = ", ".join(f"'{r}'" for r in RESPONSE_ROLES)
     role = f"if(_head.message IS NOT NULL, {role_sql('_head.message')}, {role_sql('_head')})"
     own_id = f"""try_variant_get(CASE
@@ -82,6 +83,7 @@ def decode_payload(bodies: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFram
     record_json and parse_ok.  Empty bodies give one row with a null
     record_no, so that they can be reported; `records_of` drops it.
     """
+    last_key_wins(bodies.sparkSession)
     body = strip(F.col("body"))
     whole = bodies.select(*keep, "log_id", body.alias("_body")).withColumn(
         "_whole", F.when(F.col("_body") != "", strict_parse(F.col("_body")))
@@ -92,7 +94,7 @@ def decode_payload(bodies: DataFrame, *, keep: tuple[str, ...] = ()) -> DataFram
         F.lit(True).alias("ok"),
     )
     array_units = F.transform(
-        elements(F.col("_whole")),
+        elements("_whole"),
         lambda text: F.struct(
             F.lit(None).cast("bigint").alias("line_number"), text.alias("text"), F.lit(True).alias("ok")
         ),

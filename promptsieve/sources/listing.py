@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptsieve.functions.jsontext import element_pairs, kind, truthy
+from promptsieve.functions.jsontext import element_pairs, kind, last_key_wins, read_json, truthy
 from promptsieve.functions.rows import settle
 
 # Entries of this many rows are sent to every task; more are joined by shuffle.
@@ -49,8 +49,8 @@ def listed_after(listing: DataFrame, event_type: str, after) -> DataFrame:
 def read_pages(responses: DataFrame) -> DataFrame:
     """Landed listing responses (page_no, page_json) as (page_no, data,
     has_more, last_end_time); `data` holds each entry as (raw, typed)."""
-    page = F.from_json("page_json", _PAGE)
-    text = F.from_json("page_json", _PAGE_TEXT)
+    last_key_wins(responses.sparkSession)
+    page, text = (F.expr(read_json("page_json", schema)) for schema in (_PAGE, _PAGE_TEXT))
     parsed = responses.select("page_no", page.alias("p"), text.alias("t"))
     data = f"""CASE WHEN NOT coalesce({truthy('p.data')}, false) THEN null
         WHEN startswith({kind('p.data')}, 'ARRAY') THEN {element_pairs('t.data')}
@@ -72,8 +72,8 @@ def entries(pages: DataFrame) -> DataFrame:
     that cannot be used, `problem`."""
     rows = pages.select("page_no", F.posexplode_outer("data").alias("entry_no", "e"))
     is_object = f"startswith({kind('e.typed')}, 'OBJECT')"
-    entry_id = f"from_json(e.raw, 'struct<id: variant>').id"
-    log_id = f"if({is_object} AND {truthy(entry_id)}, get_json_object(e.raw, '$.id'), null)"
+    entry_id, id_text = (f"{read_json('e.raw', f'struct<id: {leaf}>')}.id" for leaf in ("variant", "string"))
+    log_id = f"if({is_object} AND {truthy(entry_id)}, {id_text}, null)"
     problem = f"""CASE WHEN NOT {is_object} THEN '{NON_OBJECT}'
         WHEN log_id IS NULL THEN '{WITHOUT_ID}' END"""
     return settle(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from promptsieve.functions.jsontext import last_key_wins, read_json
 from promptsieve.operators.prompts import CONTEXT_FIELDS
 
 
@@ -30,16 +31,17 @@ def write_table(df: DataFrame, path: str) -> None:
 
 def json_value(kind: str, content: str) -> Column:
     """Content as a JSON value: text as a string, the rest as what it spells."""
-    value = f"if({kind} = 'STRING', cast({content} AS variant), parse_json(if({kind} = 'STRING', null, {content})))"
-    return F.expr(value)
+    read = read_json(f"if({kind} = 'STRING', null, {content})", "variant")
+    return F.expr(f"if({kind} = 'STRING', cast({content} AS variant), {read})")
 
 
 def prompt_records(prompts: DataFrame) -> DataFrame:
     """Prompts in the shape they are exported in, ready for `write_jsonl`."""
+    last_key_wins(prompts.sparkSession)
     return prompts.select(
         F.col("log_id").alias("source_log_id"),
         *CONTEXT_FIELDS,
         F.lit("user").alias("role"),
         json_value("content_kind", "content").alias("content"),
-        F.parse_json("raw").alias("raw"),
+        F.expr(read_json("raw", "variant")).alias("raw"),
     )

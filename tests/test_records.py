@@ -131,3 +131,30 @@ def test_decode_payload(spark):
         (2, 4, stand_in('{"b":2} x', "broken", 4), False), (3, 5, "3", True),
     ]
     assert [g[1] for g in got["blank line"]] == [1, 3]
+
+
+REPEATED_KEYS = {
+    '{"meta":{"a":1,"a":2},"message":{"role":"user","content":"x","id":"m"}}': ["x"],
+    '{"items":[{"role":"user","content":"x","k":{"a":1,"a":2}},{"role":"user","content":"y"}]}': ["x", "y"],
+    '{"role":"user","content":{"kind":"image","k":1,"k":2}}': ['{"k": 2, "kind": "image"}'],
+    '{"message":{"role":"user","content":"a"},"message":{"role":"user","content":"b"}}': ["b"],
+    '{"role":"user","content":"x","k":1,"k":2}': ["x"],
+    '{"role":"user","content":"1","content":"2"}': ["2"],
+    '{"items":[{"role":"user","content":"a \\"q\\" {\\\\\\\\}"},"{\\"role\\":\\"user\\",\\"content\\":\\"no\\"}"]}': ['a "q" {\\\\}'],
+}
+
+
+def test_of_repeated_keys_the_last_counts(spark):
+    df = spark.createDataFrame(list(enumerate(REPEATED_KEYS)), "i int, record_json string")
+    rows = ps.prompt_rows(ps.extract_prompts(df)).select("i", "prompt_no", ps.prompt_text().alias("t")).orderBy("i", "prompt_no").collect()
+    assert [[r.t for r in rows if r.i == i] for i in range(len(REPEATED_KEYS))] == list(REPEATED_KEYS.values())
+    body = '[{"role":"user","content":"x","m":{"a":1,"a":2}},{"role":"user","content":"y"}]'
+    decoded = ps.decode_payload(spark.createDataFrame([("l", body)], "log_id string, body string")).collect()
+    assert [r.record_no for r in decoded] == [0, 1] and all(r.parse_ok for r in decoded)
+
+
+def test_long_prompts_are_whole(spark):
+    """One string beyond the reader's default limit."""
+    df = spark.createDataFrame([(json.dumps({"role": "user", "content": "y" * 21_000_000}),)], "line string")
+    walked = ps.extract_prompts(df.withColumn("record_json", strict_parse(F.col("line"))))
+    assert ps.prompt_rows(walked).select(F.length("content")).first()[0] == 21_000_000
