@@ -183,33 +183,29 @@ KEYS = ("conv_id", "turn")
 
 def rule_hits(spark, sf):
     plain = _categories(C.PERSONAL_DATA_RULES, C.INTERNAL_POLICY_RULES, C.USAGE_POLICY_RULES)
-    return _counts(ps.detect(w.prompts(spark, sf)), KEYS, plain)
+    return _counts(ps.detect(w.prompts(spark, sf), rules=C.DEFAULT.only(*plain)), KEYS, plain)
 
 
 def pii_hits(spark, sf):
-    detected = ps.detect(w.documents(spark, sf), "text")
-    return _counts(detected, ("doc_id",), _categories(C.PERSONAL_DATA_RULES))
+    asked = _categories(C.PERSONAL_DATA_RULES)
+    return _counts(ps.detect(w.documents(spark, sf), "text", C.DEFAULT.only(*asked)), ("doc_id",), asked)
 
 
 def policy_hits(spark, sf):
-    families = (C.INTERNAL_POLICY_RULES, C.USAGE_POLICY_RULES)
-    return _counts(ps.detect(w.prompts(spark, sf)), KEYS, _categories(*families))
+    asked = _categories(C.INTERNAL_POLICY_RULES, C.USAGE_POLICY_RULES)
+    return _counts(ps.detect(w.prompts(spark, sf), rules=C.DEFAULT.only(*asked)), KEYS, asked)
 
 
 def _places(df: DataFrame, keys, text: str, categories, rules=C.DEFAULT) -> DataFrame:
     return (
-        ps.detections(df.select(*keys, text), text, rules)
+        ps.detections(df.select(*keys, text), text, rules.only(*categories))
         .where(F.col("category").isin(*categories))
         .select(*keys, "category", F.col("start").alias("start_at"), F.col("end").alias("end_at"), "evidence")
     )
 
 
 def card_hits(spark, sf):
-    cards = C.Catalogue(
-        personal_data=tuple(r for r in C.PERSONAL_DATA_RULES if r.kind == "card"),
-        internal_policy=(), usage_policy=(),
-    )
-    return _places(w.documents(spark, sf), ("doc_id",), "text", ["pii_credit_card"], cards).drop("category")
+    return _places(w.documents(spark, sf), ("doc_id",), "text", ["pii_credit_card"]).drop("category")
 
 
 def contact_hits(spark, sf):
@@ -217,13 +213,13 @@ def contact_hits(spark, sf):
 
 
 def phi_hits(spark, sf):
-    found = ps.detections(w.prompts(spark, sf))
+    found = ps.detections(w.prompts(spark, sf), rules=C.DEFAULT.only(C.PHI_CATEGORY))
     return found.where(F.col("category") == C.PHI_CATEGORY).select(*KEYS, "score", "confidence")
 
 
 def client_hits(spark, sf):
-    found = ps.detections(w.prompts(spark, sf))
     names = (C.CLIENT_STRONG[0], C.CLIENT_WEAK[0])
+    found = ps.detections(w.prompts(spark, sf), rules=C.DEFAULT.only(*names))
     return found.where(F.col("category").isin(*names)).select(*KEYS, "category", "score", "evidence")
 
 

@@ -8,7 +8,7 @@ expression on texts that cannot match (see `operators.detect`).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -410,5 +410,17 @@ class Catalogue:
     action_terms: tuple[str, ...] = ANALYSIS_TERMS
     contact_terms: tuple[str, ...] = CONTACT_CONTEXT_TERMS
 
+    def only(self, *categories: str) -> Catalogue:
+        """The rules of these categories; nothing else is looked for."""
+        kept = {
+            family: tuple(r for r in getattr(self, family) if r.category in categories)
+            for family in ("personal_data", "internal_policy", "usage_policy")
+        }
+        if PHI_CATEGORY not in categories:
+            kept["phi_terms"] = ()
+        if not {CLIENT_STRONG[0], CLIENT_WEAK[0]} & set(categories):
+            kept["client_terms"] = ()
+        return replace(self, **kept)
+
 
 DEFAULT = Catalogue()

@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """The same rows, with their columns computed at this point of the plan.
+def settle(df: DataFrame, *columns: str) -> DataFrame:
+    """The same rows, with some columns (or all) computed at this point of the plan.
 
     Spark moves a filter below the projections that define its columns, and
     copies their expressions into it.  Behind a long chain of costly columns
     the copies grow with every step and are evaluated once more each.  A filter
     on the output of a generator stays above it, so each row passes through one
-    here.
+    here.  Columns that are not named stay outside and can still be pruned.
     """
-    return df.select(F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in df.columns)))))
+    held = columns or df.columns
+    others = [F.col(f"`{c}`") for c in df.columns if c not in held]
+    settled = df.select(*others, F.inline(F.array(F.struct(*(F.col(f"`{c}`") for c in held)))))
+    return settled.select(*(F.col(f"`{c}`") for c in df.columns))
 
 
 def spread(df: DataFrame) -> DataFrame:

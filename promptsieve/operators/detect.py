@@ -125,6 +125,8 @@ def _named_if_present(text: str, named_terms, gate: str) -> str:
 
 def _phi_terms(text: str, rules: C.Catalogue) -> str:
     """SQL: health-information terms of the text, in catalogue order."""
+    if not rules.phi_terms:
+        return "cast(null AS array<string>)"
     return _named_if_present(
         text, [(t, (t,)) for t in rules.phi_terms], _has_term(text, rules.phi_terms)
     )
@@ -132,6 +134,8 @@ def _phi_terms(text: str, rules: C.Catalogue) -> str:
 
 def _client_groups(text: str, rules: C.Catalogue) -> str:
     """SQL: labels of the client-data groups of the text; null without a client."""
+    if not rules.client_terms:
+        return "cast(null AS array<string>)"
     groups = zip(
         C.CLIENT_GROUP_LABELS,
         (rules.client_terms, rules.document_terms, rules.data_terms, rules.action_terms),
@@ -188,9 +192,9 @@ def _with_hits(df: DataFrame, text_col: str, rules: C.Catalogue) -> DataFrame:
             regex = literal(entry.regex)
             found = f"if({_gate(pattern)}, regexp_extract_all({text}, {regex}, 0), null)"
             hits.append(_hit(i, regex, found))
-        elif entry.category == C.PHI_CATEGORY and entry.score == C.PHI_STRONG[0]:
+        elif entry.category == C.PHI_CATEGORY and entry.score == C.PHI_STRONG[0] and rules.phi_terms:
             hits.append(_phi_hit(text, i, rules))
-        elif entry.category == C.CLIENT_STRONG[0]:
+        elif entry.category == C.CLIENT_STRONG[0] and rules.client_terms:
             hits.append(_client_hit(text, i))
     kept = f"filter(array({', '.join(hits)}), h -> size(h.found) > 0 OR h.given IS NOT NULL)"
     return (

@@ -56,16 +56,15 @@ def classify(
     """
     assessed = assess(detect(prompts, "prompt", rules))
     if redact_evidence:
-        shown = F.transform(
-            F.filter(F.split("matched_evidence", r" \| "), lambda e: e != ""),
-            lambda e: excerpt(e, excerpt_chars),
+        hidden = F.transform(
+            "findings",
+            lambda f: f.withField("evidence", F.transform(f["evidence"], lambda e: excerpt(e, excerpt_chars))),
         )
-        assessed = assessed.withColumn("matched_evidence", F.array_join(shown, " | "))
+        assessed = assessed.withColumn("matched_evidence", scoring.matched_evidence(hidden))
     if redact_prompt:
         assessed = assessed.withColumn("prompt", excerpt(F.col("prompt"), excerpt_chars))
-    return settle(
-        assessed.select(*(_typed(assessed, c) for c in REVIEWED_COLUMNS), "findings", *keep)
-    )
+    reviewed = assessed.select(*(_typed(assessed, c) for c in REVIEWED_COLUMNS), "findings", *keep)
+    return settle(reviewed, "risk_level", "risk_score")
 
 
 def invalid_line_values(line: Column) -> dict[str, Column]:

@@ -53,7 +53,7 @@ def scope_type(principal_id: Column) -> Column:
 def decoded_units(fetched: DataFrame) -> DataFrame:
     """One row per record of the fetched bodies, model responses included, with
     its prompts; an empty body gives one row with a null record_no."""
-    decoded = decode_payload(fetched, keep=("page_no", "entry_no"))
+    decoded = decode_payload(fetched, keep=("page_no", "entry_no", "landed"))
     facts = with_record_facts(decoded).withColumn(
         "_kept", F.when(~F.col("is_response"), F.col("record_json"))
     )
@@ -70,6 +70,10 @@ def _empty_body(log_id: Column) -> Column:
     return F.format_string("Downloaded log id %s was empty", log_id)
 
 
+def _absent_body(log_id: Column) -> Column:
+    return F.format_string("Body of log id %s has not landed", log_id)
+
+
 def _unparsed_line(log_id: Column, line_number: Column) -> Column:
     return F.format_string(
         "Could not parse line %d from log id %s; stored as raw text", line_number, log_id
@@ -97,7 +101,8 @@ def warnings(entries: DataFrame, units: DataFrame) -> DataFrame:
     is_record = F.col("record_no").isNotNull()
     found = F.array_compact(
         F.array(
-            warning(~is_record, 0, "empty_body", _empty_body(log_id)),
+            warning(~is_record & F.col("landed"), 0, "empty_body", _empty_body(log_id)),
+            warning(~is_record & ~F.col("landed"), 0, "absent_body", _absent_body(log_id)),
             warning(is_record & ~F.col("parse_ok"), 0, "unparsed_line", _unparsed_line(log_id, F.col("line_number"))),
             warning(
                 is_record & ~F.col("is_response") & (F.size("prompts") == 0), 1, "no_prompt", _no_prompt(log_id)
@@ -133,12 +138,12 @@ def manifest(
     listed = F.count_if(F.col("problem").isNull())
     of_entries = entries.agg(
         listed.alias("log_files_listed"),
-        listed.alias("log_files_downloaded"),
         F.count_if(F.col("problem").isNotNull()).alias("_bad_entries"),
     )
     is_record = F.col("record_no").isNotNull()
     written = is_record & ~F.col("is_response")
     of_units = units.agg(
+        F.count_if(~F.col("landed")).alias("_absent"),
         F.count("record_no").alias("raw_records_downloaded"),
         F.count_if(is_record & F.col("is_response")).alias("gpt_response_records_filtered"),
         F.count_if(written).alias("raw_records_written"),
@@ -161,7 +166,7 @@ def manifest(
         F.lit(config.limit).alias("limit"),
         "pages_fetched",
         "log_files_listed",
-        "log_files_downloaded",
+        (F.col("log_files_listed") - F.coalesce("_absent", F.lit(0))).alias("log_files_downloaded"),
         "raw_records_downloaded",
         "gpt_response_records_filtered",
         "raw_records_written",
@@ -185,7 +190,8 @@ def export_logs(
     `out_path/units`, and all outputs are read off these two tables.
     """
     now = now or datetime.now(timezone.utc)
-    pages = listing.read_pages(responses)
+    after = listing.window_start(now, config.days, config.after)
+    pages = listing.read_pages(listing.requested(responses, config.event_type, after))
     entries = stage(listing.entries(pages), f"{out_path}/entries")
     fetched = listing.fetch_bodies(entries, bodies)
     units = stage(decoded_units(fetched), f"{out_path}/units")

@@ -99,7 +99,7 @@ def review_prompts(
         F.when(F.col("is_invalid"), fixed[c]).otherwise(F.col(c)).alias(c) if c in fixed else F.col(c)
         for c in REVIEWED_COLUMNS
     ]
-    return settle(reviewed.select(*columns, "findings", *place))
+    return settle(reviewed.select(*columns, "findings", *place), "risk_level", "risk_score")
 
 
 def review_lines(lines: DataFrame, rules: C.Catalogue = C.DEFAULT, **options) -> DataFrame:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from promptsieve.functions.jsontext import element_pairs, kind, last_key_wins, read_json, truthy
 from promptsieve.functions.rows import settle
 
-# Entries of this many rows are sent to every task; more are joined by shuffle.
-BROADCAST_ENTRIES = 100_000
+# Entries of so many bytes are sent to every task.  Beyond that, hashes of their
+# ids are, up to so many rows, so that only bodies that are listed are shuffled.
+BROADCAST_BYTES = 64 << 20
+BROADCAST_HASHES = 8_000_000
 
 # What is reported of a bad listing.
 DATA_NOT_A_LIST = "log list response field 'data' must be a list"
@@ -104,24 +106,40 @@ def cursor(pages: DataFrame, after: str) -> DataFrame:
     )
 
 
-def is_small(df: DataFrame, rows: int) -> bool:
-    """Whether `df` has at most `rows` rows; looks at no more than that many."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
-
-
 def fetch_bodies(
-    listed: DataFrame, bodies: DataFrame, *, broadcast_rows: int = BROADCAST_ENTRIES
+    listed: DataFrame, bodies: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES, broadcast_hashes: int = BROADCAST_HASHES
 ) -> DataFrame:
-    """The body of each usable entry, once per listing of it.
+    """The body of each usable entry, once per listing of it, and whether it has
+    `landed`: a body that has not is null, which is not an empty body.
 
-    `bodies` (log_id, body) is much the larger side.  It is not shuffled if
-    the entries are few enough to be sent to it.  Entries whose body has not
-    landed come out with a null body.
+    `bodies` (log_id, body) is much the larger side.  It is not shuffled if the
+    entries are small enough to be sent to it, and only as far as it is listed
+    if their hashes are.
     """
     usable = listed.where(F.col("problem").isNull()).select("page_no", "entry_no", "log_id")
-    side = F.broadcast(usable) if is_small(usable, broadcast_rows) else usable
-    columns = ("page_no", "entry_no", "log_id", "body")
-    found = bodies.select("log_id", "body").join(side, "log_id").select(*columns)
+    weight = F.coalesce(F.sum(F.octet_length("log_id") + 48), F.lit(0))
+    size, entries_no = usable.agg(weight, F.count("*")).first()
+    wanted = bodies.select("log_id", "body")
+    side = F.broadcast(usable) if size <= broadcast_bytes else usable
+    if size > broadcast_bytes and entries_no <= broadcast_hashes:
+        hashes = usable.select(F.xxhash64("log_id").alias("hash")).distinct()
+        wanted = wanted.withColumn("hash", F.xxhash64("log_id")).join(F.broadcast(hashes), "hash", "left_semi")
+    found = wanted.join(side, "log_id").select("page_no", "entry_no", "log_id", "body", F.lit(True).alias("landed"))
+    # Only the ids of the bodies are read for this.
     landed = bodies.select("log_id").join(side, "log_id", "left_semi")
     absent = usable.join(landed, "log_id", "left_anti")
-    return found.unionByName(absent.select(*columns[:3], F.lit(None).cast("string").alias("body")))
+    return found.unionByName(
+        absent.select("page_no", "entry_no", "log_id", F.lit(None).cast("string").alias("body"), F.lit(False).alias("landed"))
+    )
+
+
+def requested(responses: DataFrame, event_type: str, after: str) -> DataFrame:
+    """Landed listing responses of one event type past the cursor.  Where they
+    are kept with `event_type` and `end_time` columns, the scan is filtered by
+    them; a response without them is taken as what the service sent for it."""
+    if "event_type" in responses.columns:
+        responses = responses.where(F.col("event_type") == event_type)
+    if "end_time" in responses.columns:
+        kind = responses.schema["end_time"].dataType
+        responses = responses.where(F.col("end_time") > F.lit(after).cast(kind))
+    return responses

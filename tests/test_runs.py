@@ -154,14 +154,14 @@ def test_export(spark, tmp_path):
     assert run == {
         "generated_at": "2026-05-07T00:00:00Z", "principal_id": "workspace-123", "scope_type": "workspace",
         "event_type": "CONVERSATION", "after": "2026-04-07T00:00:00Z", "completed_through": "2026-05-01T02:00:00Z",
-        "days": 30, "limit": 100, "pages_fetched": 2, "log_files_listed": 5, "log_files_downloaded": 5,
+        "days": 30, "limit": 100, "pages_fetched": 2, "log_files_listed": 5, "log_files_downloaded": 4,
         "raw_records_downloaded": 5, "gpt_response_records_filtered": 1, "raw_records_written": 4,
         "prompt_records_written": 2, "warning_count": 6,
     }
     assert [r.warning for r in result.warnings.collect()] == [
         "Skipped non-object log listing entry", "Skipped log listing entry without an id",
         "Could not parse line 2 from log id 3; stored as raw text", "No user prompt extracted from log id 3",
-        "No user prompt extracted from log id 3", "Downloaded log id gone was empty",
+        "No user prompt extracted from log id 3", "Body of log id gone has not landed",
     ]
     prompts = read_json(f"{tmp_path}/prompts")
     assert len(prompts) == 2 and prompts[0]["content"] == "hello" and prompts[0]["role"] == "user"
@@ -175,8 +175,31 @@ def test_export(spark, tmp_path):
 def test_bodies_come_out_the_same_by_broadcast_and_by_shuffle(spark):
     bodies = spark.createDataFrame(list(BODIES.items()), "log_id string, body string")
     entries = listing.entries(listing.read_pages(pages(spark, *TWO_PAGES)))
-    small, large = (listing.fetch_bodies(entries, bodies, broadcast_rows=n) for n in (100, 0))
-    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    ways = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "broadcast_hashes": 0}]
+    rows = [sorted(map(str, listing.fetch_bodies(entries, bodies, **way).collect())) for way in ways]
+    assert rows[0] == rows[1] == rows[2] != []
+
+
+def test_absent_bodies_are_not_empty_ones(spark, tmp_path):
+    bodies = spark.createDataFrame([("a", " ")], "log_id string, body string")
+    listed = pages(spark, {"data": [{"id": "a"}, {"id": "b"}]})
+    run = ps.export_logs(ExportConfig("w", "E"), listed, bodies, out_path=str(tmp_path))
+    assert [(r.kind, r.warning) for r in run.warnings.collect()] == [
+        ("empty_body", "Downloaded log id a was empty"), ("absent_body", "Body of log id b has not landed"),
+    ]
+    counts = run.manifest.first()
+    assert (counts.log_files_listed, counts.log_files_downloaded, counts.warning_count) == (2, 1, 2)
+
+
+def test_an_export_takes_what_was_asked_for(spark, tmp_path):
+    answers = [("E", "2026-05-02T00:00:00Z", "a"), ("E", "2026-04-01T00:00:00Z", "b"), ("F", "2026-05-02T00:00:00Z", "c")]
+    responses = spark.createDataFrame(
+        [(n, json.dumps({"data": [{"id": log}], "last_end_time": end}), kind, end) for n, (kind, end, log) in enumerate(answers)],
+        "page_no long, page_json string, event_type string, end_time string",
+    )
+    bodies = spark.createDataFrame([(x, '{"role":"user","content":"hi"}') for x in "abc"], "log_id string, body string")
+    run = ps.export_logs(ExportConfig("w", "E", after="2026-05-01T00:00:00Z"), responses, bodies, out_path=str(tmp_path))
+    assert [r.log_id for r in run.records.collect()] == ["a"]
 
 
 def test_prompts_keep_their_json_content(spark, tmp_path):
