@@ -22,7 +22,7 @@ gives an empty one.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -285,10 +285,12 @@ def _code(spark: SparkSession, path: str) -> np.ndarray:
     return lengths
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(part, seq, doc_id, begin, n_tokens, ids): per document its ids as
-    little-endian unsigned 32-bit integers, and where it begins in its block."""
+def read(spark: SparkSession, path: str, value: Callable[[bytes], object] = bytes, kind: str = "binary") -> DataFrame:
+    """(part, seq, doc_id, begin, n_tokens, value): per document where it begins
+    in its block, and a value of its ids as little-endian unsigned 32-bit
+    integers, which are themselves the value if no other is asked for."""
     shared = spark.sparkContext.broadcast(_code(spark, path))
+    arrow_kind = {"binary": pa.binary(), "long": pa.int64()}[kind]
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, limit = decoding_table(shared.value)
@@ -304,14 +306,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     [
                         pa.array([part] * k, pa.int32()), pa.array([seq] * k, pa.int64()), pa.array(doc_ids, pa.int64()),
                         pa.array(begins, pa.int64()), pa.array(lengths, pa.int64()),
-                        pa.array([ids[a:b].tobytes() for a, b in zip(begins, ends)], pa.binary()),
+                        pa.array([value(ids[a:b].tobytes()) for a, b in zip(begins, ends)], arrow_kind),
                     ],
-                    names=["part", "seq", "doc_id", "begin", "n_tokens", "ids"],
+                    names=["part", "seq", "doc_id", "begin", "n_tokens", "value"],
                 )
 
     blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks")
     # A block has some hundred thousand ids.
-    return in_arrow(blocks, job, "part int, seq long, doc_id long, begin long, n_tokens long, ids binary", rows=8)
+    return in_arrow(blocks, job, f"part int, seq long, doc_id long, begin long, n_tokens long, value {kind}", rows=8)
 
 
 def block_starts(spark: SparkSession, path: str) -> DataFrame:
@@ -329,16 +331,6 @@ def block_starts(spark: SparkSession, path: str) -> DataFrame:
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens and ids_crc32."""
-
-    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [zlib.crc32(x) for x in batch.column(5).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:5], pa.array(crc, pa.int64())],
-                names=["part", "seq", "doc_id", "begin", "n_tokens", "ids_crc32"],
-            )
-
-    rows = read(spark, path).mapInArrow(job, "part int, seq long, doc_id long, begin long, n_tokens long, ids_crc32 long")
-    return rows.join(block_starts(spark, path), ["part", "seq"]).select(
-        "doc_id", (F.col("start") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32"
+    return read(spark, path, zlib.crc32, "long").join(block_starts(spark, path), ["part", "seq"]).select(
+        "doc_id", (F.col("start") + F.col("begin")).alias("start"), "n_tokens", F.col("value").alias("ids_crc32")
     )
