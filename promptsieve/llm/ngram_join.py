@@ -54,6 +54,8 @@ PLACES = (1 << 16, 1 << 24)
 CHUNKS = 64
 # Keys that are broadcast at most; more are joined by a shuffle.
 BROADCAST_KEYS = 1_000_000
+# Rows of a batch, by what a row holds: a text, or two sets.
+TEXTS_PER_BATCH, PAIRS_PER_BATCH = 128, 32
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _FINAL = np.uint64(0xBF58476D1CE4E5B9)
@@ -125,7 +127,7 @@ def count_table(docs: DataFrame, n: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(kept), pa.int32()), pa.array(list(kept.values()), pa.binary())], names=["chunk", "counts"])
 
     schema = "chunk int, counts binary"
-    parts = in_arrow(docs.select("text"), count, schema).repartition(CHUNKS, "chunk")
+    parts = in_arrow(docs.select("text"), count, schema, rows=TEXTS_PER_BATCH).repartition(CHUNKS, "chunk")
     table = np.zeros(places, dtype=np.uint16)
     for row in in_arrow(parts, add, schema, rows=64).collect():  # 2 bytes a place
         table[row.chunk * width : (row.chunk + 1) * width] = np.frombuffer(row.counts, dtype=np.uint16)
@@ -172,7 +174,8 @@ def _sets(docs: DataFrame, table: np.ndarray, n: int, num: int, den: int) -> Dat
             )
 
     return in_arrow(
-        docs.select("id", "text_key", "text"), job, "id long, text_key long, size long, set_key long, matches int, prefix array<long>"
+        docs.select("id", "text_key", "text"), job, "id long, text_key long, size long, set_key long, matches int, prefix array<long>",
+        rows=TEXTS_PER_BATCH,
     )
 
 
@@ -199,7 +202,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, num:
             )
 
     # Of rows with one text and no id several may come.
-    sets = in_arrow(read.select("text"), shingle, "set_key long, shingles binary").groupBy("set_key").agg(F.first("shingles").alias("shingles"))
+    sets = in_arrow(read.select("text"), shingle, "set_key long, shingles binary", rows=TEXTS_PER_BATCH).groupBy("set_key").agg(F.first("shingles").alias("shingles"))
     sets = stage(sets, shared_dir(spark, "sets"))
     met = pairs.join(sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("a_set")), "a").join(
         sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("b_set")), "b"
@@ -217,7 +220,7 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, num:
                 linked.append(den * shared >= num * (len(one) + len(other) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
 
-    return in_arrow(met.select("a", "b", "a_set", "b_set"), compare, "a long, b long, linked boolean", rows=256)
+    return in_arrow(met.select("a", "b", "a_set", "b_set"), compare, "a long, b long, linked boolean", rows=PAIRS_PER_BATCH)
 
 
 def components(links: DataFrame) -> DataFrame:
