@@ -14,10 +14,12 @@ union`.  The join is exact, and no two documents are compared that need not be:
   the prefix make it longer and ask for more matches.  A pair must share as many
   prefix shingles as the lower of its two `l`.
 * Only sets whose sizes allow a link can meet, by buckets of the size.
-* First, in every posting list, each class is compared with one leader per
-  bucket only, and verified links make components.  Then the pairs that are left
-  are those of different components: copies of one text, near or exact, never
-  meet in all pairs, and no link between components is lost.
+* First, for some turns, each class of a posting list is compared with one
+  leader per bucket only, and verified links make components.  Then the pairs
+  that are left are those of different components: near copies that leaders have
+  linked do not meet in all pairs, and no link between components is lost.
+* Sets that meet at a shingle are a candidate only if their sizes and the places
+  of the shingle in both leave room for a link.
 
 Verification reads the texts of the candidates again; sets are never stored.
 Shingles and sets are known by 64-bit hashes of whole words in order.
@@ -36,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptsieve.llm.texts import column, in_arrow
@@ -52,6 +54,8 @@ VERIFY_COST = 20.0
 SHINGLES_PER_PLACE = 16
 PLACES = (1 << 16, 1 << 24)
 CHUNKS = 64
+# How often classes are compared with leaders before all pairs that are left.
+LEADER_TURNS = 3
 # Keys that are broadcast at most; more are joined by a shuffle.
 BROADCAST_KEYS = 1_000_000
 # Rows of a batch, by what a row holds: a text, or two sets.
@@ -241,32 +245,51 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _pairs_with_leaders(postings: DataFrame) -> DataFrame:
-    """Candidates (a, b): each class with the leader of its lists."""
-    leaders = postings.groupBy("shingle", "bucket").agg(F.min("set_key").alias("leader"), F.max("set_key").alias("last"))
-    leaders = leaders.where(F.col("leader") != F.col("last")).drop("last")
-    met = postings.join(leaders, ["shingle", "bucket"]).where(F.col("set_key") != F.col("leader"))
-    counted = met.groupBy(F.col("leader").alias("a"), F.col("set_key").alias("b")).agg(F.count("*").alias("n"), F.min("matches").alias("matches"))
+def _labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """Postings with the component of their class."""
+    rooted = postings.drop("root").join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
+    return stage(rooted.withColumn("root", F.coalesce("root", "set_key")), shared_dir(postings.sparkSession, "labelled"))
+
+
+def _may_link(x: str, y: str, num: int, den: int) -> Column:
+    """Whether sets that meet at a shingle can be linked by their sizes and by
+    what comes before and after it in their order: at most the shorter of both
+    is shared.  A linked pair passes at each shingle it shares."""
+    x_size, x_pos, y_size, y_pos = F.col(f"{x}.size"), F.col(f"{x}.pos"), F.col(f"{y}.size"), F.col(f"{y}.pos")
+    most = F.least(x_pos, y_pos) + F.least(x_size - x_pos, y_size - y_pos)
+    return (den * F.least(x_size, y_size) >= num * F.greatest(x_size, y_size)) & ((num + den) * most >= num * (x_size + y_size))
+
+
+def _pairs_with_leaders(postings: DataFrame, turn: int, num: int, den: int) -> DataFrame:
+    """Candidates (a, b), a below b: each class with the leader of its lists, if
+    that is of another component.  Every turn has other leaders; a component
+    leads the more lists the larger it is."""
+    rank = F.struct(F.xxhash64("set_key", F.lit(turn)).alias("rank"), "set_key", "root", "size", "pos")
+    leaders = postings.groupBy("shingle", "bucket").agg(F.min(rank).alias("y"), F.min("root").alias("low"), F.max("root").alias("high"))
+    leaders = leaders.where(F.col("low") != F.col("high")).select("shingle", "bucket", "y")
+    each = postings.select("shingle", "bucket", F.struct("set_key", "root", "size", "pos", "matches").alias("x"))
+    met = each.join(leaders, ["shingle", "bucket"]).where((F.col("x.root") != F.col("y.root")) & _may_link("x", "y", num, den))
+    x, y = F.col("x.set_key"), F.col("y.set_key")
+    counted = met.groupBy(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).agg(F.count("*").alias("n"), F.min("x.matches").alias("matches"))
     # Whether the leader asks for fewer is not looked up: what is left out here
     # is met again among the pairs of different components.
     return counted.where(F.col("n") >= F.col("matches")).select("a", "b")
 
 
-def _pairs_across(postings: DataFrame, labels: DataFrame) -> DataFrame:
+def _pairs_across(labelled: DataFrame, num: int, den: int) -> DataFrame:
     """Candidates (a, b) in different components, a below b."""
-    spark = postings.sparkSession
-    labelled = postings.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    labelled = stage(labelled, shared_dir(spark, "labelled"))
     mixed = labelled.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
     left = labelled.join(mixed.select("shingle"), "shingle", "left_semi")
-    one = left.select("shingle", "bucket", F.col("set_key").alias("x"), F.col("root").alias("x_root"), F.col("matches").alias("x_matches"))
-    other = left.select(
-        "shingle", F.explode(F.array(F.struct("bucket", F.lit(True).alias("same")), F.struct((F.col("bucket") + 1).alias("bucket"), F.lit(False).alias("same")))).alias("at"),
-        F.col("set_key").alias("y"), F.col("root").alias("y_root"), F.col("matches").alias("y_matches"),
-    ).select("shingle", "at.bucket", "at.same", "y", "y_root", "y_matches")
-    met = one.join(other, ["shingle", "bucket"]).where((F.col("x_root") != F.col("y_root")) & (~F.col("same") | (F.col("x") < F.col("y"))))
-    counted = met.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
-        F.count("*").alias("n"), F.first(F.least("x_matches", "y_matches")).alias("matches")
+    entry = F.struct("set_key", "root", "size", "pos", "matches")
+    one = left.select("shingle", "bucket", entry.alias("x"))
+    near = F.explode(F.array(F.struct("bucket", F.lit(True).alias("same")), F.struct((F.col("bucket") + 1).alias("bucket"), F.lit(False).alias("same"))))
+    other = left.select("shingle", near.alias("at"), entry.alias("y")).select("shingle", "at.bucket", "at.same", "y")
+    met = one.join(other, ["shingle", "bucket"]).where(
+        (F.col("x.root") != F.col("y.root")) & (~F.col("same") | (F.col("x.set_key") < F.col("y.set_key"))) & _may_link("x", "y", num, den)
+    )
+    x, y = F.col("x.set_key"), F.col("y.set_key")
+    counted = met.groupBy(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).agg(
+        F.count("*").alias("n"), F.first(F.least("x.matches", "y.matches")).alias("matches")
     )
     return counted.where(F.col("n") >= F.col("matches")).select("a", "b")
 
@@ -296,19 +319,28 @@ def _linked(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col:
         shared_dir(spark, "classes"),
     )
     bucket = F.floor(F.log(F.col("size").cast("double")) / math.log(den / num) + 1e-9).cast("int") if num < den else F.col("size").cast("int")
-    entries = classes.select("set_key", "matches", bucket.alias("bucket"), F.explode("prefix").alias("shingle"))
+    entries = classes.select(
+        "set_key", F.col("set_key").alias("root"), "size", "matches", bucket.alias("bucket"), F.posexplode("prefix").alias("pos", "shingle")
+    )
     # Most shingles are in one document only and go before anything is joined.
     common = entries.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") > 1).select("shingle")
     postings = stage(entries.join(common, "shingle", "left_semi"), shared_dir(spark, "postings"))
 
-    led = stage(_pairs_with_leaders(postings), shared_dir(spark, "pairs"))
-    first = stage(verified(plain, classes, led, n, num, den), shared_dir(spark, "verified"))
-    links = first.where("linked").select("a", "b")
-    labels = components(links)
-    across = stage(_pairs_across(postings, labels).join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), shared_dir(spark, "pairs"))
-    if not across.isEmpty():
-        second = stage(verified(plain, classes, across, n, num, den), shared_dir(spark, "verified"))
-        labels = components(links.union(second.where("linked").select("a", "b")))
+    compared = links = labels = None
+    labelled = postings
+    for turn in range(LEADER_TURNS + 1):
+        pairs = _pairs_with_leaders(labelled, turn, num, den) if turn < LEADER_TURNS else _pairs_across(labelled, num, den)
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = stage(pairs, shared_dir(spark, "pairs"))
+        found = stage(verified(plain, classes, pairs, n, num, den), shared_dir(spark, "verified"))
+        more = found.where("linked").select("a", "b")
+        links = more if links is None else links.union(more)
+        compared = found.select("a", "b") if compared is None else compared.union(found.select("a", "b"))
+        if labels is None or not more.isEmpty():
+            labels = components(links)
+            if turn < LEADER_TURNS:
+                labelled = _labelled(postings, labels)
     roots = classes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
     smallest = roots.groupBy(F.coalesce("root", "set_key").alias("root")).agg(F.min("place.id").alias("smallest"))
     return rows, labels, smallest
