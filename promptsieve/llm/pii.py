@@ -12,8 +12,13 @@ stay linked.  Addresses of mailboxes have no such range; theirs are keyed hashes
 All of it is column functions: a text is cut at its matches once, and the pieces
 are joined with the pseudonyms between them.
 
+Cards may stand among other digits: of a stretch of digit groups, the runs of
+whole groups that pass the Luhn check are cards.  Telephone numbers are those of
+ten digits in groups of 3, 3 and 4, with or without a country code before them;
+other national forms are not looked for.
+
 Defined cases: a null text stays null.  Numbers that fail their check stay as
-they are.  Dates count from 1900 on for 72,900 days; others stay.
+they are.  Cards of one stretch of digits count as one in n_replaced.  Dates count from 1900 on for 72,900 days; others stay.
 """
 
 from __future__ import annotations
@@ -32,7 +37,11 @@ ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 DATE = r"(?<![\d./])\d{1,2}[./]\d{1,2}[./]\d{4}(?![\d/]|\.\d)"
 SECURITY = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])"
-CARD = r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])"
+# A stretch of 13 digits or more, in which cards are looked for.  It ends where
+# another form begins: behind 13 digits a telephone number makes 23, which no
+# card has.  A group with a hyphen behind it is part of something else.
+_OTHER = f"{ADDRESS}|{ISO_DATE}|{DATE}|{SECURITY}|" + r"\d{3}[ .-]\d{3}[.-]\d{4}(?![\d-])"
+CARD = rf"(?<![\d-])\d(?:(?: (?!{_OTHER})|-)?\d){{12}}(?:(?:[ -](?!{_OTHER}|{PHONE}))?\d)*+-?"
 FORMS = {"mailbox": MAILBOX, "address": ADDRESS, "iso_date": ISO_DATE, "date": DATE, "security": SECURITY, "phone": PHONE, "card": CARD}
 ANY = "|".join(f"(?:{p})" for p in FORMS.values())
 
@@ -108,15 +117,75 @@ def _check_digit(payload: Column) -> Column:
     return F.pmod(-F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add), F.lit(10)).cast("string")
 
 
+def _luhn(digits: Column) -> Column:
+    return _check_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.right(digits, F.lit(1))
+
+
+def _cards_in(match: Column) -> Column:
+    """Array of struct(start, size): where in a stretch of digits there are cards.
+
+    A card is a run of whole groups with 13 to 19 digits that passes the Luhn
+    check.  From the left, the longest run at a group is taken, unless a longer
+    one begins within it.
+    """
+
+    def longest(groups: Column, i: Column, last: Column) -> Column:
+        """Place of the last group of the longest run from group i on, or null."""
+        joined = lambda j: F.array_join(F.slice(groups, i + 1, j - i + 1), "")
+        ends = F.when(i <= last, F.sequence(i, F.least(i + 18, last)))
+        fits = F.filter(ends, lambda j: let(joined(j), lambda d: F.when(F.length(d).between(13, 19), _luhn(d)).otherwise(False)))
+        return F.array_max(fits)
+
+    def runs(groups: Column) -> Column:
+        last = F.size(groups) - F.when(match.endswith("-"), 3).otherwise(1)
+        # Where group i begins, in characters, and how long a run of groups is.
+        sizes = F.transform(groups, lambda g: F.length(g))
+        run = lambda i: let(
+            longest(groups, i, last),
+            lambda j: F.struct(
+                i.alias("i"), j.alias("j"),
+                F.length(F.array_join(F.slice(groups, i + 1, j - i + 1), "")).alias("digits"),
+                (F.length(F.array_join(F.slice(groups, i + 1, j - i + 1), " "))).alias("size"),
+            ),
+        )
+        found = F.transform(F.sequence(F.lit(0), F.size(groups) - 1), run)
+        none = F.array().cast("array<struct<start:int,size:int>>")
+        start = F.struct(F.lit(0).alias("free"), F.lit(1).alias("at"), none.alias("cards"))
+
+        def pick(state: Column, r: Column, all_runs: Column, lengths: Column) -> Column:
+            inside = F.slice(all_runs, r["i"] + 2, r["j"] - r["i"])
+            taken = r["j"].isNotNull() & (r["i"] >= state["free"]) & ~F.exists(inside, lambda o: F.coalesce(o["digits"] > r["digits"], F.lit(False)))
+            return F.struct(
+                F.when(taken, r["j"] + 1).otherwise(state["free"]).alias("free"),
+                (state["at"] + F.get(lengths, r["i"]) + 1).alias("at"),
+                F.when(taken, F.concat(state["cards"], F.array(F.struct(state["at"].alias("start"), r["size"].alias("size")))))
+                .otherwise(state["cards"]).alias("cards"),
+            )
+
+        return let(found, lambda f: let(sizes, lambda z: F.aggregate(f, start, lambda s, r: pick(s, r, f, z))["cards"]))
+
+    return let(F.split(match, "[ -]"), runs)
+
+
 def _card(match: Column, key: str) -> Column:
-    def permuted(d: Column) -> Column:
-        payload = _permuted_digits(F.substring(d, F.lit(1), F.length(d) - 1), key, "card")
-        return let(payload, lambda p: F.concat(p, _check_digit(p)))
+    def permuted(card: Column) -> Column:
+        def new(d: Column) -> Column:
+            payload = _permuted_digits(F.substring(d, F.lit(1), F.length(d) - 1), key, "card")
+            return let(payload, lambda p: F.concat(p, _check_digit(p)))
 
-    return let(
-        _digits(match),
-        lambda d: F.when(_check_digit(F.substring(d, F.lit(1), F.length(d) - 1)) == F.right(d, F.lit(1)), _in_form(match, permuted(d))),
-    )
+        return let(_digits(card), lambda d: _in_form(card, new(d)))
+
+    def filled(cards: Column) -> Column:
+        """The cards permuted, and before each and behind the last what stays."""
+
+        def piece(c: Column, n: Column) -> Column:
+            before = F.when(n == 0, F.lit(1)).otherwise(let(F.get(cards, n - 1), lambda b: b["start"] + b["size"]))
+            return F.concat(F.substring(match, before, c["start"] - before), permuted(F.substring(match, c["start"], c["size"])))
+
+        rest = let(F.element_at(cards, -1), lambda c: F.substring(match, c["start"] + c["size"], F.length(match)))
+        return F.concat(F.array_join(F.transform(cards, piece), ""), rest)
+
+    return let(_cards_in(match), lambda cards: F.when(F.size(cards) > 0, filled(cards)))
 
 
 def _security(match: Column, key: str) -> Column:

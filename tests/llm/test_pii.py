@@ -61,6 +61,29 @@ def test_numbers_against_python(spark):
     assert got == [f"a {x}, b" for x in want]
 
 
+def test_cards_beside_other_digits(spark):
+    def new(card):
+        digits = re.sub("[^0-9]", "", card)
+        payload = digits_permuted(digits[:-1], "card")
+        return in_form(card, payload + luhn(payload))
+
+    one, other, spaced = "4111111111111111", "5500-0055-5555-5559", "4111 1111 1111 1111"
+    texts = [
+        f"{spaced} 123", f"{one} 05/27", f"pay 12 {one} now", f"{spaced} {other}", f"12345 67890 {spaced}", f"{one} 1234567-x",
+        f"no {spaced[:-1]}2 123", f"{one}-", "7" * 30_000,
+    ]
+    cards = [[spaced], [one], [one], [spaced, other], [spaced], [one], [], [], []]
+    want = texts[:]
+    for i, found in enumerate(cards):
+        for c in found:
+            want[i] = want[i].replace(c, new(c))
+    assert replaced(spark, texts) == want
+    # What follows a card is found as before.
+    for tail in ("2024-01-15", "15.01.2024", "123-45-6789", "212-555-0123", "212 555 0123", "97.51.17.173"):
+        got = replaced(spark, [f"12 {one} {tail}", f"x {tail}"])
+        assert got[0] == f"12 {new(one)} {got[1][2:]}" and tail not in got[0]
+
+
 def test_dates_against_python(spark):
     def new(y, m, d):
         days = (date(y, m, d) - date(1900, 1, 1)).days
