@@ -3,7 +3,7 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from promptsieve.llm import exact_dedup, language, mixing, ngram_join, packing, pii, quality, token_counts, token_files, topk
+from promptsieve.llm import exact_dedup, importance, language, mixing, ngram_join, packing, pii, quality, token_counts, token_files, topk
 from promptsieve.llm.texts import table
 from promptsieve.session import shared_dir
 
@@ -65,6 +65,10 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op13_importance_resampling(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_pseudonyms": op1_pseudonyms,
     "op2_ngram_join": op2_ngram_join,
@@ -76,9 +80,49 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_top_k": op9_top_k,
     "op10_mix_sources": op10_mix_sources,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 SQL = {
+    # crc32 bit by bit, once for each distinct word.
+    "op13_importance_resampling": r"""
+        WITH bits AS (
+            SELECT list_transform(range(256), lambda b: list_reduce([b::UBIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END)) AS step
+        ), found AS (
+            SELECT 'd' AS side, doc_id AS id, row_number() OVER () AS row, text FROM documents
+            UNION ALL SELECT 'b', item_id, row_number() OVER (), text FROM benchmark
+        ), listed AS (
+            SELECT side, row, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+            FROM found
+        ), counted AS (SELECT side, row, word, count(*) AS n FROM listed GROUP BY ALL),
+        spelt AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM counted)),
+        placed AS (
+            SELECT word, xor(4294967295::UBIGINT, list_reduce(
+                list_concat([4294967295::UBIGINT], list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::UBIGINT)),
+                lambda c, b: xor(step[(xor(c % 256, b) + 1)::BIGINT], c // 256))) % 10000 AS bucket
+            FROM spelt, bits
+        ), features AS (SELECT side, row, bucket, sum(n)::BIGINT AS n FROM counted JOIN placed USING (word) GROUP BY ALL),
+        buckets AS (
+            SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 'b'), 0)::DOUBLE AS t
+            FROM features GROUP BY bucket
+        ), sums AS (SELECT sum(s) AS every_s, sum(t) AS every_t FROM buckets),
+        gained AS (
+            SELECT bucket, floor(1000 * ln((t + 1) * (every_s + 10000) / ((s + 1) * (every_t + 10000))))::BIGINT AS gain FROM buckets, sums
+        ), weighed AS (
+            SELECT row, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+            FROM features JOIN gained USING (bucket) WHERE side = 'd' GROUP BY row
+        ), scored AS (
+            SELECT id AS doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+            FROM found LEFT JOIN weighed USING (row) WHERE side = 'd'
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                   count(*) FILTER (n_features >= 20) OVER () AS eligible
+            FROM scored
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * eligible // 100 THEN place END AS rank FROM ranked""",
     "op9_top_k": r"""
         WITH v AS (
             SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings

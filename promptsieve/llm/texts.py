@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-# Whole texts travel to Python in batches of so many rows, because a batch of
-# ten thousand long documents would not fit in a worker.
+# So many whole texts are worked on at once in Python.
 ROWS_PER_BATCH = 512
 
 
@@ -41,10 +40,18 @@ def importable(spark: SparkSession) -> None:
 def in_arrow(
     df: DataFrame, job: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = ROWS_PER_BATCH
 ) -> DataFrame:
-    """`mapInArrow` with batches small enough for whole texts."""
+    """`mapInArrow` whose job is given at most `rows` rows at a time.
+
+    No setting of the session is touched: Spark bounds what it sends at once by
+    bytes (`spark.sql.execution.arrow.maxBytesPerBatch`, 64 MB by default), and
+    the worker cuts that into slices, which share its memory.
+    """
     importable(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    return df.mapInArrow(job, schema)
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return job(batch.slice(at, rows) for batch in batches for at in range(0, max(1, batch.num_rows), rows))
+
+    return df.mapInArrow(sliced, schema)
 
 
 def collapsed(text: Column) -> Column:
