@@ -3,7 +3,7 @@ for those that SQL can express."""
 
 from __future__ import annotations
 
-from promptsieve.llm import exact_dedup, importance, language, mixing, ngram_join, packing, pii, quality, token_counts, token_files, topk
+from promptsieve.llm import exact_dedup, importance, interaction, language, mixing, ngram_join, packing, pii, quality, repeats, token_counts, token_files, topk
 from promptsieve.llm.texts import table
 from promptsieve.session import shared_dir
 
@@ -65,6 +65,14 @@ def op10_mix_sources(spark, sf_dir):
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op11_repeated_passages(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
+def op12_filter_interaction(spark, sf_dir):
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_importance_resampling(spark, sf_dir):
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -80,10 +88,78 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_top_k": op9_top_k,
     "op10_mix_sources": op10_mix_sources,
+    "op11_repeated_passages": op11_repeated_passages,
+    "op12_filter_interaction": op12_filter_interaction,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
 SQL = {
+    "op11_repeated_passages": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS b FROM documents
+        ), windows AS (
+            SELECT row, i, md5(b[i + 1:i + 400]) AS w
+            FROM (SELECT row, b, unnest(range(octet_length(b) - 399)) AS i FROM d WHERE octet_length(b) >= 400)
+        ), repeated AS (
+            SELECT row, i FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)
+        ), begun AS (
+            SELECT row, i, coalesce(i > lag(i) OVER (PARTITION BY row ORDER BY i) + 400, true)::INTEGER AS begins FROM repeated
+        ), spans AS (
+            SELECT row, min(i) AS low, max(i) + 400 AS high
+            FROM (SELECT row, i, sum(begins) OVER (PARTITION BY row ORDER BY i) AS span FROM begun) GROUP BY row, span
+        ), gaps AS (
+            SELECT row, coalesce(lag(high) OVER (PARTITION BY row ORDER BY low), 0) AS low, low AS high FROM spans
+            UNION ALL SELECT row, max(high), octet_length(any_value(b)) FROM spans JOIN d USING (row) GROUP BY row
+        ), rests AS (
+            SELECT row, string_agg(hex(b[low + 1:high]), '' ORDER BY low) FILTER (high > low) AS rest FROM gaps JOIN d USING (row) GROUP BY row
+        ), totals AS (SELECT row, sum(high - low)::BIGINT AS n_removed, count(*) AS n_spans FROM spans GROUP BY row)
+        SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               CASE WHEN n_spans IS NULL THEN sha256(b) ELSE sha256(unhex(coalesce(rest, ''))) END AS kept_sha256
+        FROM d LEFT JOIN totals USING (row) LEFT JOIN rests USING (row)""",
+    "op12_filter_interaction": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents
+        ), measured AS (
+            SELECT doc_id, part, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+                   min(doc_id) OVER (PARTITION BY text) AS first_id
+            FROM d
+        ), judged AS (
+            SELECT part, len(words) < 200 AS a, 100 * len(list_distinct(words)) < 50 * len(words) AS b,
+                   100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) AS c,
+                   regexp_matches(text, '[#$%&*|]') AS d, doc_id > first_id AS e,
+                   coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic
+            FROM measured LEFT JOIN labels USING (doc_id)
+        ), masks AS (
+            SELECT part, [a, b, c, d, e] AS fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+            FROM judged GROUP BY ALL
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+        orders AS (
+            SELECT v.l || w.l || x.l || y.l || z.l AS filter_order FROM letters v, letters w, letters x, letters y, letters z
+            WHERE len(list_distinct([v.l, w.l, x.l, y.l, z.l])) = 5
+        ), steps AS (
+            SELECT filter_order, step, instr('ABCDE', substr(filter_order, step, 1)) AS f,
+                   [instr('ABCDE', substr(filter_order, i, 1)) FOR i IN range(1, step)] AS earlier
+            FROM orders, (SELECT unnest(range(1, 6))::INTEGER AS step)
+        ), counted AS (
+            SELECT part, filter_order, step, f,
+                   sum(n) AS total,
+                   coalesce(sum(n) FILTER (fails[f] AND NOT gone), 0) AS removed,
+                   coalesce(sum(n) FILTER (fails[f] AND gone), 0) AS redundant,
+                   coalesce(sum(n) FILTER (fails[f] AND NOT others), 0) AS unique_fails,
+                   coalesce(sum(good) FILTER (fails[f] AND NOT gone), 0) AS good_lost,
+                   coalesce(sum(toxic) FILTER (fails[f] AND NOT gone), 0) AS toxic_lost
+            FROM (
+                SELECT *, list_contains([fails[i] FOR i IN earlier], true) AS gone,
+                       list_contains([fails[i] AND i <> f FOR i IN range(1, 6)], true) AS others
+                FROM masks, steps
+            ) GROUP BY part, filter_order, step, f
+        )
+        SELECT part, filter_order, step,
+               (total - sum(removed) OVER (PARTITION BY part, filter_order ORDER BY step))::BIGINT AS kept,
+               removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+               good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM counted""",
     # crc32 bit by bit, once for each distinct word.
     "op13_importance_resampling": r"""
         WITH bits AS (
