@@ -117,21 +117,27 @@ def blocks_of(text: bytes, first: int, last: int, offset: int, length: int) -> I
         yield a, b, shared, xxhash.xxh3_64_intdigest(text[a : b + length])
 
 
-def kept_of(text: bytes, places: list[tuple[int, int]], length: int) -> tuple[int, int, str]:
-    """(bytes removed, maximal removed runs, sha256 of the rest)."""
-    digest, removed, spans, at = hashlib.sha256(), 0, 0, 0
-    view, start, end = memoryview(text), None, None
-    for first, last in [*sorted(places), (None, None)]:
-        if first is not None and end is not None and first <= end:
-            end = max(end, last + length)
-            continue
-        if start is not None:
-            digest.update(view[at:start])
-            removed, spans, at = removed + end - start, spans + 1, end
-        if first is not None:
-            start, end = first, last + length
+def merged(places: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
+    """(first, last) positions of the maximal stretches of bytes that the windows
+    at the given positions cover."""
+    stretches: list[tuple[int, int]] = []
+    for first, last in sorted(places):
+        if stretches and first <= stretches[-1][1] + length:
+            stretches[-1] = stretches[-1][0], max(last, stretches[-1][1])
+        else:
+            stretches.append((first, last))
+    return stretches
+
+
+def kept_of(text: bytes, stretches: list[tuple[int, int]], length: int) -> tuple[int, str]:
+    """(bytes removed, sha256 of the rest)."""
+    digest, removed, at, view = hashlib.sha256(), 0, 0, memoryview(text)
+    for first, last in stretches:
+        digest.update(view[at:first])
+        at = last + length
+        removed += at - first
     digest.update(view[at:])
-    return removed, spans, digest.hexdigest()
+    return removed, digest.hexdigest()
 
 
 # --- Steps -------------------------------------------------------------------------
@@ -157,33 +163,36 @@ def _texts(plain: DataFrame, length: int) -> DataFrame:
                 [batch.column(0), batch.column(1), batch.column(2), *lists], names=["t1", "t2", "id", "first", "last", "offset", "gram", "around"]
             )
 
+    spark = plain.sparkSession
     long = plain.where(F.octet_length("bytes") >= length).select("t1", "t2", "id", "bytes")
     lists = ("first", "last", "offset", "gram", "around")
     schema = "t1 long, t2 long, id long, first array<int>, last array<int>, offset array<int>, gram array<long>, around array<long>"
-    found = in_arrow(long, job, schema, rows=TEXTS_PER_BATCH)
-    one = found.groupBy("t1", "t2").agg(F.count("*").alias("rows"), F.min("id").alias("id"), *(F.first(c).alias(c) for c in lists))
-    return stage(one.withColumn("text_no", F.monotonically_increasing_id()), shared_dir(plain.sparkSession, "texts"))
-
-
-def _kinds(items: DataFrame, whole: str, kept: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    rows = stage(in_arrow(long, job, schema, rows=TEXTS_PER_BATCH), shared_dir(spark, "runs"))
+    many = stage(rows.groupBy("t1", "t2").agg(F.count("*").alias("rows"), F.min("id").alias("id")).where(F.col("rows") > 1), shared_dir(spark, "copies"))
+    keys = many.select("t1", "t2")
+    small = F.broadcast(keys) if many.count() * 64 <= BROADCAST_BYTES else keys
+    one = rows.join(small, ["t1", "t2"], "left_semi").groupBy("t1", "t2").agg(*(F.first(c).alias(c) for c in lists)).join(many, ["t1", "t2"])
+    single = rows.join(small, ["t1", "t2"], "left_anti").withColumn("rows", F.lit(1).cast("long"))
+    columns = ("t1", "t2", "id", "rows", *lists)
+    texts = single.select(*columns).unionByName(one.select(*columns))
+    return stage(texts.withColumn("text_no", F.monotonically_increasing_id()), shared_dir(spark, "texts"))
+
+
+def _kinds(items: DataFrame, kind: list[str], whole: str, kept: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
     """(repeated items, representatives of undecided ones).
 
-    Items have `kind` columns k1, k2, which equal windows share, and `whole`.  A
-    kind held once is unique; one with a single `whole` is repeated; of others,
-    the items whose `whole` is held twice are repeated, and one item of each
-    `whole` goes on, since it may share windows with the rest of its kind.
+    Equal windows are in items of one `kind`.  A kind held once is unique.  Items
+    whose `whole` is held twice are repeated; of kinds with several `whole`s one
+    item of each goes on, since it may share windows with the others.
     """
-    spark, kind = items.sparkSession, ["k1", "k2"]
-    held = items.groupBy(*kind).agg(F.sum("n").alias("held"), F.min(whole).alias("low"), F.max(whole).alias("high")).where(F.col("held") > 1)
-    held = held.select(*kind, (F.col("low") != F.col("high")).alias("mixed"))
+    spark = items.sparkSession
+    held = items.groupBy(*kind).agg(F.sum("n").alias("held")).where(F.col("held") > 1).select(*kind)
     live = stage(items.join(held, kind), shared_dir(spark, "live"))
-    mixed = live.where("mixed")
-    wholes = stage(
-        mixed.groupBy(*kind, whole).agg(F.sum("n").alias("n"), F.min(F.struct(*kept)).alias("one")), shared_dir(spark, "wholes")
-    )
+    wholes = stage(live.groupBy(*kind, whole).agg(F.sum("n").alias("n"), F.min(F.struct(*kept)).alias("one")), shared_dir(spark, "wholes"))
     twice = wholes.where(F.col("n") > 1).select(*kind, whole)
-    repeated = live.where(~F.col("mixed")).select(*kept).unionByName(mixed.join(twice, [*kind, whole], "left_semi").select(*kept))
-    return repeated, wholes.select(*kind, F.least("n", F.lit(2)).cast("int").alias("n"), "one.*")
+    repeated = live.join(twice, [*kind, whole], "left_semi").select(*kept)
+    mixed = wholes.groupBy(*kind).agg(F.count("*").alias("wholes")).where(F.col("wholes") > 1).select(*kind)
+    return repeated, wholes.join(mixed, kind, "left_semi").select(*kind, F.least("n", F.lit(2)).cast("int").alias("n"), "one.*")
 
 
 def _with_lists(plain: DataFrame, lists: DataFrame, how: str, keys: list[str]) -> DataFrame:
@@ -194,15 +203,15 @@ def _with_lists(plain: DataFrame, lists: DataFrame, how: str, keys: list[str]) -
 
 
 def _reading(plain: DataFrame, texts: DataFrame, items: DataFrame, job, schema: str) -> DataFrame:
-    """`job` over the bytes of each text that has items, with these as a list, and
-    its rows, once per text."""
+    """`job` over the bytes of each text that has items, with these as a list."""
     spark = plain.sparkSession
     lists = items.groupBy("text_no").agg(F.collect_list(F.struct(*(c for c in items.columns if c != "text_no"))).alias("list"))
     lists = stage(lists.join(texts.select("text_no", "t1", "t2", "id"), "text_no"), shared_dir(spark, "lists"))
     named = lists.select("t1", "t2", F.col("id").alias("wanted"), "text_no", "list")
     read = _with_lists(plain, named, "inner", ["t1", "t2"]).where(F.col("id").eqNullSafe(F.col("wanted")))
-    # Rows that repeat id and text give the same again.
-    return in_arrow(read.select("text_no", "bytes", "list"), job, schema, rows=TEXTS_PER_BATCH).dropDuplicates(["text_no", "first"])
+    # Rows that repeat id and text give the same again, which changes no decision:
+    # what a repeated text holds counts as held twice in any case.
+    return in_arrow(read.select("text_no", "bytes", "list"), job, schema, rows=TEXTS_PER_BATCH)
 
 
 def _blocks(plain: DataFrame, texts: DataFrame, runs: DataFrame, length: int) -> DataFrame:
@@ -256,16 +265,27 @@ def _doubled(rows: DataFrame, rank: list[str], following: str) -> DataFrame:
     return stage(joined, shared_dir(spark, "ranked"))
 
 
+def _merged(lists: DataFrame, length: int) -> DataFrame:
+    """Lists of places, merged to the stretches they cover."""
+
+    def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [merged([(p["first"], p["last"]) for p in places], length) for places in batch.column(1).to_pylist()]
+            lists = pa.array([[{"first": a, "last": b} for a, b in f] for f in found], pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["text_no", "list"])
+
+    return in_arrow(lists, job, "text_no long, list array<struct<first:int,last:int>>")
+
+
 def repeated_places(plain: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """(text_no, first, last): all positions whose `length` bytes occur elsewhere,
     but for those of texts that several rows hold."""
     runs = texts.select("text_no", F.least("rows", F.lit(2)).cast("int").alias("n"), F.inline(F.arrays_zip("first", "last", "offset", "gram", "around")))
-    # A run's kind is its gram alone; the second half of the key is for blocks.
-    runs = runs.select("text_no", "n", "first", "last", "offset", F.col("gram").alias("k1"), F.lit(0).cast("long").alias("k2"), "around")
+    runs = runs.select("text_no", "n", "first", "last", "offset", F.col("gram").alias("k1"), "around")
     places = ["text_no", "first", "last"]
-    by_run, open_runs = _kinds(runs, "around", (*places, "offset"))
-    blocks = stage(_blocks(plain, texts, open_runs.drop("k2"), length), shared_dir(plain.sparkSession, "blocks"))
-    by_block, open_blocks = _kinds(blocks, "spanned", tuple(places))
+    by_run, open_runs = _kinds(runs, ["k1"], "around", (*places, "offset"))
+    blocks = stage(_blocks(plain, texts, open_runs, length), shared_dir(plain.sparkSession, "blocks"))
+    by_block, open_blocks = _kinds(blocks, ["k1", "k2"], "spanned", tuple(places))
     rows = stage(_positions(plain, texts, open_blocks, length), shared_dir(plain.sparkSession, "positions"))
     rows = _doubled(rows, ["k1", "k2"], "next0")
     rows = _doubled(rows, ["rank"], "next1")
@@ -287,20 +307,21 @@ def remove_repeats(
     texts = _texts(plain, length)
     found = repeated_places(plain, texts, length)
     lists = found.groupBy("text_no").agg(F.collect_list(F.struct("first", "last")).alias("list"))
-    many = texts.where(F.col("rows") > 1).select("text_no", F.array().cast("array<struct<first:int,last:int>>").alias("list"))
-    marked = lists.unionByName(many).join(texts.select("text_no", "t1", "t2", (F.col("rows") > 1).alias("all")), "text_no")
-    marked = stage(marked.select("t1", "t2", "list", "all"), shared_dir(spark, "marked"))
+    whole = texts.where(F.col("rows") > 1).select("t1", "t2", F.array().cast("array<struct<first:int,last:int>>").alias("list"), F.lit(True).alias("all"))
+    marked = _merged(lists, length).join(texts.select("text_no", "t1", "t2"), "text_no").select("t1", "t2", "list", F.lit(False).alias("all"))
+    marked = stage(marked.unionByName(whole), shared_dir(spark, "marked"))
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, results = [], []
+            sizes, counts, results = [], [], []
             for text, places, whole in zip(*(batch.column(i).to_pylist() for i in range(1, 4))):
-                spans = [(0, len(text) - length)] if whole else [(p["first"], p["last"]) for p in places or ()]
+                stretches = [(0, len(text) - length)] if whole else [(p["first"], p["last"]) for p in places or ()]
                 sizes.append(len(text))
-                results.append(kept_of(text, spans, length))
-            removed, spans, digests = zip(*results) if results else ((), (), ())
+                counts.append(len(stretches))
+                results.append(kept_of(text, stretches, length))
+            removed, digests = zip(*results) if results else ((), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string())],
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(counts, pa.int64()), pa.array(digests, pa.string())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
             )
 
