@@ -92,20 +92,26 @@ def manifest(spark, sf):
 
 
 def extract_prompts(spark, sf):
-    rows = ps.prompt_rows(ps.extract_prompts(w.records(spark, sf)))
+    rows = ps.prompt_rows(ps.extract_prompts(ps.with_record_facts(w.records(spark, sf))))
     ids = ("event_id", "conversation_id", "message_id", "user_id", "user_email", "created_at")
-    return rows.select("conv_id", "turn", "prompt_no", *ids, "content")
+    return rows.select("conv_id", "turn", "prompt_no", F.col("own_log_id").alias("source_log_id"), *ids, "content")
 
 
 def dedup_prompts(spark, sf):
-    """Records that list every message twice and once more, edited."""
-    listed = w.records(spark, sf).where(F.col("record_json").startswith("["))
-    rows = ps.prompt_rows(ps.extract_prompts(listed))
+    """Every record listed twice, and messages whose ids are a number and the
+    same digits as text, each of them twice."""
+    message = F.concat(F.lit('{"role":"'), "role", F.lit('","content":"x","id":'))
+    id_text = (F.col("turn") + 1).cast("string")
+    number, text = F.concat(message, id_text, F.lit("}")), F.concat(message, F.lit('"'), id_text, F.lit('"}'))
+    listed = F.concat(F.lit("["), F.concat_ws(",", w.envelope(), w.envelope(), number, text, number, text), F.lit("]"))
+    doubled = w.conversations(spark, sf).select("conv_id", "turn", listed.alias("record_json"))
+    rows = ps.prompt_rows(ps.extract_prompts(doubled))
     return rows.select("conv_id", "turn", "prompt_no", "message_id", "content")
 
 
 def prompt_text(spark, sf):
-    """Content of every kind: lists, wrapped values, other objects, numbers."""
+    """Content of every kind: lists, wrapped values, other objects, numbers, and
+    texts forty lists and wrappers deep."""
     turns = w.conversations(spark, sf)
     text, role = F.to_json(F.array("text")), F.col("role")
     bare = F.expr("substring(to_json(array(text)), 2, length(to_json(array(text))) - 2)")
@@ -114,6 +120,7 @@ def prompt_text(spark, sf):
         .when(F.col("turn") % 5 == 1, F.concat(F.lit('{"parts":{"value":'), text, F.lit("}}")))
         .when(F.col("turn") % 5 == 2, F.lit('{"parts_of":{"b":[true,null],"a":1},"kind":"image"}'))
         .when(F.col("turn") % 5 == 3, F.concat(F.lit('[{"text":'), bare, F.lit('},{"value":"tail"},{"n":2}]')))
+        .when(F.col("conv_id") % 2 == 0, F.concat(F.lit('[{"text":' * 20), bare, F.lit(',"n":1},null]' * 20)))
         .otherwise(F.lit("17"))
     )
     records = turns.select(

@@ -334,13 +334,19 @@ def build() -> dict[str, str]:
             (SELECT count(*) FROM walked WHERE {IS_RESPONSE}) AS assistant_records_skipped,
             count(*) AS prompt_records_seen,
             count(*) FILTER (risk_level <> 'none') + (SELECT count(*) FROM lines WHERE NOT is_json) AS flagged_prompts FROM classified""",
-        "extract_prompts": f"""WITH {RECORDS}, walked AS (SELECT * FROM records), {EXTRACTED} SELECT * FROM extracted""",
-        "dedup_prompts": f"""SELECT conv_id, turn, k AS prompt_no, {MESSAGE} AS message_id,
-            CASE WHEN k = 0 THEN text ELSE text || ' (edited)' END AS content
-          FROM (SELECT *, unnest([0, 1]) AS k FROM conversations WHERE role = 'user' AND {SHAPE} = 3)""",
+        "extract_prompts": f"""WITH {RECORDS}, walked AS (SELECT * FROM records), {EXTRACTED}
+          SELECT e.*, CASE WHEN {SHAPE} IN (0, 4) THEN {EVENT} END AS source_log_id FROM extracted e""",
+        # Only a prompt without a message id, the first of the last shape, comes twice.
+        "dedup_prompts": f"""WITH {RECORDS}, walked AS (SELECT * FROM records), {EXTRACTED},
+            listed AS (SELECT conv_id, turn, prompt_no, message_id, content FROM extracted
+              UNION ALL SELECT conv_id, turn, 2, message_id, content FROM extracted WHERE {SHAPE} = 4 AND prompt_no = 0)
+          SELECT * FROM listed
+          UNION ALL SELECT conv_id, turn, CASE WHEN {SHAPE} < 3 THEN 1 WHEN {SHAPE} = 3 THEN 2 ELSE 3 END + unnest([0, 1]),
+            CAST(turn + 1 AS VARCHAR), 'x' FROM conversations WHERE role = 'user'""",
         "prompt_text": """SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN text || chr(10) || role || chr(10)
             WHEN 1 THEN text WHEN 2 THEN '{"kind": "image", "parts_of": {"a": 1, "b": [true, null]}}'
-            WHEN 3 THEN text || chr(10) || 'tail' || chr(10) || '{"n": 2}' ELSE '17' END AS prompt FROM conversations""",
+            WHEN 3 THEN text || chr(10) || 'tail' || chr(10) || '{"n": 2}'
+            ELSE CASE WHEN conv_id % 2 = 0 THEN text || repeat(chr(10), 20) ELSE '17' END END AS prompt FROM conversations""",
         "rule_hits": f"WITH {PROMPTS} {pattern_counts('prompts', 'conv_id, turn', 'prompt', plain)}",
         "pii_hits": pattern_counts("documents", "doc_id", "text", personal),
         "card_hits": f"""SELECT doc_id, start_at, end_at, evidence FROM ({match_rows('documents', 'doc_id', 'text', CARD)})

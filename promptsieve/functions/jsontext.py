@@ -2,8 +2,9 @@
 
 Records keep the JSON text they came in, in compact form, because its key order
 is the order prompts are reported in.  Where the type of a value matters (the
-string "0" against the number 0), the same text is read a second time as
-VARIANT.  The snippets are SQL strings because most are used inside lambdas.
+string "0" against the number 0), the text is tagged, so that a value read as text
+shows its type; roles, which are short, are read as VARIANT.  The snippets are SQL
+strings because most are used inside lambdas.
 """
 
 from __future__ import annotations
@@ -63,57 +64,90 @@ def present(variant: str) -> str:
     return f"if(is_variant_null({variant}), null, {variant})"
 
 
-def first_present(variants: list[str]) -> str:
-    return "coalesce(" + ", ".join(present(v) for v in variants) + ")"
+def _aside(text: str) -> str:
+    """SQL: JSON text with escaped backslashes and quotes put aside as control
+    characters, which JSON text has none of; every quote that is left begins or
+    ends a string."""
+    return rf"""replace(replace({text}, '\\\\', '\u0001'), '\\"', '\u0002')"""
 
 
-def kind(variant: str) -> str:
-    """SQL: STRING, VOID (JSON null), ARRAY<...>, OBJECT<...> or a scalar type."""
-    return f"schema_of_variant({variant})"
+def _back(text: str) -> str:
+    return rf"""replace(replace({text}, '\u0001', '\\\\'), '\u0002', '\\"')"""
 
 
-def _with_strings(text: str, pattern: str, replacement: str) -> str:
-    """SQL: JSON text with every string token rewritten.  Escaped backslashes and
-    quotes are put aside meanwhile, as control characters, which JSON text has
-    none of; every quote that is left begins or ends a string."""
-    aside = rf"""replace(replace({text}, '\\\\', '\u0001'), '\\"', '\u0002')"""
-    rewritten = f"regexp_replace({aside}, {literal(pattern)}, {literal(replacement)})"
-    return rf"""replace(replace({rewritten}, '\u0001', '\\\\'), '\u0002', '\\"')"""
+# With strings marked, from the last match on: everything up to the next null
+# outside a string, where no other word has an n.
+_TO_NULL = r'\G((?:"[^"]*+"|[^"n]++)*+)null'
 
 
 def tagged(text: str) -> str:
-    """SQL: JSON text whose strings, keys included, have an s in front, so that
-    a value read as text shows by its first character what it is."""
-    return _with_strings(text, '"([^"]*+)"', '"s$1"')
+    """SQL: JSON text whose strings, keys included, have an s in front, and with
+    the string n for null.
+
+    Read as text, a value of it shows by its first character what it is: s for a
+    string, n for null, a bracket, or else a number or boolean.  Missing fields
+    alone read as SQL null.  No type has a size limit of its own that way.
+    """
+    strings = f"""regexp_replace({_aside(text)}, {literal('"([^"]*+)"')}, {literal('"s$1"')})"""
+    nulls = f"""regexp_replace({strings}, {literal(_TO_NULL)}, {literal('$1"n"')})"""
+    return _back(f"if(contains({text}, 'null'), {nulls}, {strings})")
 
 
 def untagged(text: str) -> str:
-    return _with_strings(text, '"s([^"]*+)"', '"$1"')
+    """SQL: tagged text as the JSON it was."""
+    nulls = f"""replace({_aside(text)}, '"n"', 'null')"""
+    return _back(f"""regexp_replace({nulls}, {literal('"s([^"]*+)"')}, {literal('"$1"')})""")
+
+
+def tagged_struct(*keys: str, **nested: str) -> str:
+    """The type to read an object of tagged text as; its fields are `tag(key)`."""
+    fields = [f"{tag(k)}: string" for k in dict.fromkeys(keys)] + [f"{tag(k)}: {v}" for k, v in nested.items()]
+    return f"struct<{', '.join(fields)}>"
+
+
+def tag(key: str) -> str:
+    return f"s{key}"
+
 
+def given(value: str) -> str:
+    """SQL: a tagged value, with JSON null as SQL null."""
+    return f"nullif({value}, 'n')"
 
-def tagged_elements(text: str) -> str:
-    """SQL: the children of a container in text order, as tagged text."""
-    marked = tagged(text)
-    return f"if(startswith({text}, '{{'), {members(marked, 'string')}, {read_json(marked, 'array<string>')})"
 
+def is_container(value: str) -> str:
+    return f"(startswith({value}, '{{') OR startswith({value}, '['))"
 
-def element_pairs(text: str) -> str:
-    """SQL: array of (raw, typed) for the children of a container, in text order."""
-    pair = "(raw, typed) -> named_struct('raw', raw, 'typed', typed)"
-    return f"""if(startswith({text}, '{{'),
-        zip_with({members(text, 'string')}, {members(text, 'variant')}, {pair}),
-        zip_with({read_json(text, 'array<string>')}, {read_json(text, 'array<variant>')}, {pair}))"""
+
+def plain(value: str) -> str:
+    """SQL: a tagged value as text; null is SQL null."""
+    return f"""CASE WHEN startswith({value}, 's') THEN substring({value}, 2) WHEN {is_container(value)} THEN {untagged(value)}
+        WHEN {value} = 'n' THEN null ELSE {value} END"""
+
+
+def is_truthy(value: str) -> str:
+    """SQL: true for a present tagged value that is not null, empty, zero or false."""
+    return f"""({value} NOT IN ('n', 's', 'false', '[]', '{{}}') AND NOT {value} RLIKE '^-?0+([.]0*)?([eE].*)?$')"""
+
+
+def tagged_elements(tagged_text: str) -> str:
+    """SQL: the children of a tagged container in text order."""
+    return f"if(startswith({tagged_text}, '{{'), {members(tagged_text, 'string')}, {read_json(tagged_text, 'array<string>')})"
 
 
 def elements(array_text: str) -> Column:
     """Compact JSON text of each element of a JSON array."""
-    return F.expr(f"""transform({tagged_elements(array_text)}, e -> CASE
-        WHEN e IS NULL THEN 'null'
-        WHEN startswith(e, 's') THEN substring(to_json(array(substring(e, 2))), 2, length(to_json(array(substring(e, 2)))) - 2)
-        WHEN startswith(e, '{{') OR startswith(e, '[') THEN {untagged('e')}
+    return F.expr(f"""transform({tagged_elements(tagged(array_text))}, e -> CASE
+        WHEN e = 'n' THEN 'null'
+        WHEN startswith(e, 's') THEN {json_string('substring(e, 2)')}
+        WHEN {is_container('e')} THEN {untagged('e')}
         ELSE e END)""")
 
 
+def json_string(text: str) -> str:
+    """SQL: a text as a JSON string."""
+    return f"substring(to_json(array({text})), 2, length(to_json(array({text}))) - 2)"
+
+
 # In compact JSON, from the last match on: everything up to the next comma or
 # colon outside a string.
 _TO_SEPARATOR = r'\G((?:"(?:[^"\\]++|\\.)*+"|[^",:])*+)([,:])'

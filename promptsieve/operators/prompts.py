@@ -7,6 +7,10 @@ and the prompts found so far.  Nothing is joined, grouped or shuffled, and the
 source is read once, however deep records go.  Parts of a record without a
 field naming a role and a field for content are left out, since no prompt can
 come from them.
+
+A record is tagged once (`jsontext.tagged`) and stays so until its prompts are
+given out, so a value tells its type without being parsed into another form.
+Contents have no limit but that of a column value, 2 GB for the whole record.
 """
 
 from __future__ import annotations
@@ -15,17 +19,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from promptsieve.functions.jsontext import (
-    element_pairs,
-    first_present,
-    kind,
+    given,
+    is_container,
+    is_truthy,
     last_key_wins,
+    plain,
     read_json,
     spaced_json,
+    tag,
+    tagged,
     tagged_elements,
-    truthy,
+    tagged_struct,
     untagged,
 )
-from promptsieve.operators.records import ROLE_FIELDS, role_sql
 
 # --- Fixed values: field names, in order of preference ------------------------
 
@@ -48,40 +54,24 @@ TEXT_PARTS = ("value", "text", "parts")
 CONTEXT_FIELDS = ("event_id", "conversation_id", "message_id", "user_id", "user_email", "created_at")
 PROMPT_FIELDS = CONTEXT_FIELDS + ("content_kind", "content", "raw")
 
-# JSON nested deeper than this is not read at all.
+# JSON nested deeper than this is not read at all: it is what the JSON reader takes.
 MAX_NESTING = 1000
-TEXT_DEPTH = 6
-
-
-def _struct(leaf: str, *keys: str, **nested: str) -> str:
-    fields = [f"{k}: {leaf}" for k in dict.fromkeys(keys)]
-    return f"struct<{', '.join(fields + [f'{k}: {v}' for k, v in nested.items()])}>"
-
 
 _ID_KEYS = EVENT_KEYS + CONVERSATION_KEYS + OWN_MESSAGE_KEYS + USER_KEYS + EMAIL_KEYS + CREATED_KEYS
+_PERSON = tagged_struct(*PERSON_ID_KEYS, *EMAIL_KEYS, "role", "type")
+_PERSONS = {p: _PERSON for p in PERSON_KEYS}
+# While walking down: ids and roles.  For a prompt's own object: ids and content.
+_WALKED = tagged_struct(*_ID_KEYS, "conversation", "role", "sender_role", "senderRole", **_PERSONS)
+_SPOKEN = tagged_struct(*_ID_KEYS, *CONTENT_KEYS, "message", **_PERSONS)
 
 
-def _object_schema(leaf: str, *keys: str) -> str:
-    """The id fields of an object and of the persons in it, and `keys`."""
-    person = _struct(leaf, *PERSON_ID_KEYS, *EMAIL_KEYS)
-    return _struct(leaf, *_ID_KEYS, *keys, **{p: person for p in PERSON_KEYS})
-
-
-# While walking down: ids as text, roles with their types.
-_WALK_TEXT = _object_schema("string", "conversation")
-_WALK_TYPED = f"struct<{ROLE_FIELDS}, conversation: variant>"
-# For a prompt's own object: ids and content, as text and with their types.
-_PROMPT_TEXT = _object_schema("string", *CONTENT_KEYS, "message")
-_PROMPT_TYPED = _object_schema("variant", *CONTENT_KEYS, "message")
+def _path(node: str, *keys: str) -> str:
+    return ".".join([node, *map(tag, keys)])
 
 
-def _paths(node: str, keys, persons=(), person_keys=()) -> list[str]:
-    nested = [f"{node}.{p}.{k}" for p in persons for k in person_keys]
-    return [f"{node}.{k}" for k in keys] + nested
-
-
-def _coalesce(paths: list[str]) -> str:
-    return f"coalesce({', '.join(paths)})"
+def _first_given(node: str, keys, persons=(), person_keys=()) -> list[str]:
+    paths = [_path(node, k) for k in keys] + [_path(node, p, k) for p in persons for k in person_keys]
+    return [given(p) for p in paths]
 
 
 # Where each field of a prompt is looked for in the prompt's own object.
@@ -95,30 +85,49 @@ _OWN = {
 }
 
 
+def _is_user(node: str) -> str:
+    """SQL: whether an object's role, the first its fields name, is a user's.
+
+    The direct fields come first; author and sender are asked only if those
+    leave nothing at all (an empty last field is something).
+    """
+    role, sender_role, last = (_path(node, k) for k in ("role", "sender_role", "senderRole"))
+    author, author_type, sender = _path(node, "author", "role"), _path(node, "author", "type"), _path(node, "sender", "role")
+    named = ", ".join(f"'{tag(r)}'" for r in USER_ROLES)
+    return f"""coalesce(lower(CASE
+        WHEN {is_truthy(role)} THEN {role}
+        WHEN {is_truthy(sender_role)} THEN {sender_role}
+        WHEN {given(last)} IS NOT NULL THEN {last}
+        WHEN {is_truthy(author)} THEN {author}
+        WHEN {given(author_type)} IS NOT NULL THEN {author_type}
+        WHEN {is_truthy(sender)} THEN {sender}
+        ELSE {_path(node, 'sender', 'type')} END) IN ({named}), false)"""
+
+
 def _inherit(node: str) -> str:
     """SQL: context for what lies below `node`; what is set further out stays."""
-    conversation = f"""CASE WHEN {kind(f'{node}.v.conversation')} = 'STRING' THEN {node}.s.conversation
-        WHEN startswith({node}.s.conversation, '{{')
-        THEN coalesce({', '.join(f"{read_json(f'{node}.s.conversation', _struct('string', *NESTED_CONVERSATION_KEYS))}.{k}" for k in NESTED_CONVERSATION_KEYS)})
-        END"""
+    conversation = _path(f"{node}.v", "conversation")
+    nested = read_json(conversation, tagged_struct(*NESTED_CONVERSATION_KEYS))
+    named = f"""CASE WHEN startswith({conversation}, 's') THEN {conversation}
+        WHEN startswith({conversation}, '{{')
+        THEN coalesce({', '.join(given(_path(nested, k)) for k in NESTED_CONVERSATION_KEYS)}) END"""
     fields = []
     for name, spec in _OWN.items():
-        paths = _paths(f"{node}.s", *((MESSAGE_KEYS,) if name == "message_id" else spec))
+        paths = _first_given(f"{node}.v", *((MESSAGE_KEYS,) if name == "message_id" else spec))
         if name == "conversation_id":
-            paths.append(conversation)
+            paths.append(named)
         fields.append(f"'{name}', coalesce({node}.c.{name}, {', '.join(paths)})")
     return f"named_struct({', '.join(fields)})"
 
 
 def _own_or_inherited(node: str, name: str) -> str:
-    spec = _OWN[name]
-    own = first_present(_paths(f"{node}.v", *spec))
-    return f"if({truthy(own)}, {_coalesce(_paths(f'{node}.s', *spec))}, {node}.c.{name})"
+    own = f"coalesce({', '.join(_first_given(f'{node}.v', *_OWN[name]))})"
+    return f"if({is_truthy(own)}, {own}, {node}.c.{name})"
 
 
 def _relevant(text: str) -> str:
     def any_key(keys) -> str:
-        return "(" + " OR ".join(f"contains({text}, '\"{k}\"')" for k in keys) + ")"
+        return "(" + " OR ".join(f"contains({text}, '\"{tag(k)}\"')" for k in keys) + ")"
 
     return f"({any_key(ROLE_KEYS)} AND {any_key(CONTENT_KEYS + ('message',))})"
 
@@ -126,13 +135,9 @@ def _relevant(text: str) -> str:
 def _open_nodes(level: str) -> str:
     """SQL: the nodes of a level, with the context for what lies below them and
     whether they speak for a user."""
-    roles = ", ".join(f"'{r}'" for r in USER_ROLES)
-    is_object = "startswith(n.t, '{')"
     read = f"""transform({level}, n -> named_struct('t', n.t, 'o', n.o, 'c', n.c,
-        's', if({is_object}, {read_json('n.t', _WALK_TEXT)}, null),
-        'v', if({is_object}, {read_json('n.t', _WALK_TYPED)}, null)))"""
-    return f"""transform({read}, n -> named_struct('t', n.t, 'o', n.o, 'c', {_inherit('n')},
-        'is_user', coalesce({role_sql('n.v')} IN ({roles}), false)))"""
+        'v', if(startswith(n.t, '{{'), {read_json('n.t', _WALKED)}, null)))"""
+    return f"""transform({read}, n -> named_struct('t', n.t, 'o', n.o, 'c', {_inherit('n')}, 'is_user', {_is_user('n.v')}))"""
 
 
 def _users(nodes: str) -> str:
@@ -142,55 +147,38 @@ def _users(nodes: str) -> str:
 
 def _children(nodes: str) -> str:
     """SQL: the next level, in document order."""
-    containers = f"""filter(
-        transform({tagged_elements('n.t')}, (t, i) -> named_struct('t', t, 'i', i)),
-        p -> startswith(p.t, '{{') OR startswith(p.t, '['))"""
-    below = f"""filter(
-        transform({containers}, p -> named_struct('t', {untagged('p.t')}, 'i', p.i)), p -> {_relevant('p.t')})"""
+    below = f"""filter(transform({tagged_elements('n.t')}, (t, i) -> named_struct('t', t, 'i', i)),
+        p -> {is_container('p.t')} AND {_relevant('p.t')})"""
     return f"""flatten(transform({nodes}, n -> transform({below},
         p -> named_struct('t', p.t, 'o', concat(n.o, array(p.i)), 'c', n.c))))"""
 
 
-def _content_steps(nodes: str) -> str:
-    """SQL: (kind, raw) of the content of each node, with nothing for null.
+def _contents(nodes: str) -> str:
+    """SQL: (n, content) for each node, with nothing for null.
 
     The first content field there is counts, even if it is null; an object is
     replaced by its parts, text or value; a list of one part by that part.
     """
-    typed = _coalesce([f"n.v.{k}" for k in CONTENT_KEYS])
-    picks = " ".join(f"WHEN n.v.{k} IS NOT NULL THEN n.s.{k}" for k in CONTENT_KEYS)
-    message = f"{kind('n.v.message')} = 'STRING'"
+    message = _path("n.v", "message")
+    picks = ", ".join(_path("n.v", k) for k in CONTENT_KEYS)
     picked = f"""transform({nodes}, n -> named_struct('n', n,
-        'kind', if({typed} IS NOT NULL, {kind(typed)}, if({message}, 'STRING', null)),
-        'raw', CASE {picks} WHEN {message} THEN n.s.message END))"""
-
-    def schema(leaf: str) -> str:
-        return f"struct<{', '.join(f'{k}: {leaf}' for k in NORMAL_PARTS)}>"
-
-    is_object = "startswith(x.kind, 'OBJECT')"
-    read = f"""transform({picked}, x -> named_struct('n', x.n, 'kind', x.kind, 'raw', x.raw,
-        's', if({is_object}, {read_json('x.raw', schema('string'))}, null),
-        'v', if({is_object}, {read_json('x.raw', schema('variant'))}, null)))"""
-    kinds = " ".join(f"WHEN x.v.{k} IS NOT NULL THEN {kind(f'x.v.{k}')}" for k in NORMAL_PARTS)
-    raws = " ".join(f"WHEN x.v.{k} IS NOT NULL THEN x.s.{k}" for k in NORMAL_PARTS)
-    normal = f"""transform({read}, x -> named_struct('n', x.n,
-        'from_parts', x.v.parts IS NOT NULL,
-        'kind', CASE {kinds} ELSE x.kind END, 'raw', CASE {raws} ELSE x.raw END))"""
-    parts = f"""transform({normal}, x -> named_struct('n', x.n, 'kind', x.kind, 'raw', x.raw,
-        'items', if(x.from_parts AND startswith(x.kind, 'ARRAY'), {element_pairs('x.raw')}, null)))"""
-    single = "size(x.items) = 1"
-    return f"""filter(transform({parts}, x -> named_struct('n', x.n,
-        'kind', if({single}, {kind('x.items[0].typed')}, x.kind),
-        'raw', if({single}, x.items[0].raw, x.raw))), x -> x.kind <> 'VOID')"""
+        'x', coalesce({picks}, if(startswith({message}, 's'), {message}, null))))"""
+    read = f"""transform({picked}, p -> named_struct('n', p.n, 'x', p.x,
+        'v', if(startswith(p.x, '{{'), {read_json('p.x', tagged_struct(*NORMAL_PARTS))}, null)))"""
+    normal = f"""transform({read}, p -> named_struct('n', p.n,
+        'x', coalesce({', '.join(_path('p.v', k) for k in NORMAL_PARTS)}, p.x),
+        'items', if(startswith({_path('p.v', 'parts')}, '['), {read_json(_path('p.v', 'parts'), 'array<string>')}, null)))"""
+    return f"""filter(transform({normal}, p -> named_struct('n', p.n,
+        'content', if(size(p.items) = 1, p.items[0], p.x))), p -> p.content <> 'n')"""
 
 
 def _prompts(users: str) -> str:
-    """SQL: the prompts of the nodes that speak for a user and hold content."""
-    read = f"""transform({users}, n -> named_struct('t', n.t, 'o', n.o, 'c', n.c,
-        's', {read_json('n.t', _PROMPT_TEXT)}, 'v', {read_json('n.t', _PROMPT_TYPED)}))"""
-    fields = ", ".join(f"'{f}', {_own_or_inherited('x.n', f)}" for f in CONTEXT_FIELDS)
-    return f"""transform({_content_steps(read)}, x -> named_struct('o', x.n.o, {fields},
-        'content_kind', x.kind, 'content', x.raw, 'raw', x.n.t))"""
+    """SQL: the prompts of the nodes that speak for a user and hold content, all
+    values tagged."""
+    read = f"""transform({users}, n -> named_struct('t', n.t, 'o', n.o, 'c', n.c, 'v', {read_json('n.t', _SPOKEN)}))"""
+    fields = ", ".join(f"'{f}', {_own_or_inherited('x.n', f)}" for f in CONTEXT_FIELDS if f != "message_id")
+    return f"""transform({_contents(read)}, x -> named_struct('message_id', {_own_or_inherited('x.n', 'message_id')},
+        'content', x.content, 'o', x.n.o, {fields}, 'raw', x.n.t))"""
 
 
 def _same(field: str) -> str:
@@ -198,20 +186,27 @@ def _same(field: str) -> str:
 
 
 def _walk(json: str) -> str:
-    """SQL: the nodes of a record that speak for a user, with their context."""
+    """SQL: the nodes of a tagged record that speak for a user, with their context."""
     no_ids = ", ".join(f"'{f}', cast(null AS string)" for f in CONTEXT_FIELDS)
     root = f"""array(named_struct('t', {json}, 'o', cast(array() AS array<int>),
         'c', named_struct({no_ids})))"""
     state = f"""named_struct('nodes', {_open_nodes(root)}, 'found',
         filter(array(named_struct('t', {json}, 'o', cast(array() AS array<int>), 'c', named_struct({no_ids}))), n -> false))"""
-    # No record has more levels than it has opening brackets.
-    brackets = f"2 * length({json}) - length(replace({json}, '{{')) - length(replace({json}, '['))"
-    levels = f"sequence(1, least({MAX_NESTING}, {brackets}))"
     down = f"""named_struct('nodes', {_open_nodes(_children('s.nodes'))},
         'found', concat(s.found, {_users('s.nodes')}))"""
-    is_open = f"(startswith({json}, '{{') OR startswith({json}, '[')) AND {_relevant(json)}"
+    is_open = f"{is_container(json)} AND {_relevant(json)}"
     return f"""if({is_open},
-        aggregate({levels}, {state}, (s, i) -> if(size(s.nodes) = 0, s, {down}), s -> s.found), null)"""
+        aggregate({_levels(json)}, {state}, (s, i) -> if(size(s.nodes) = 0, s, {down}), s -> s.found), null)"""
+
+
+def _levels(json: str) -> str:
+    """SQL: a number for each level a container can have: no more than brackets."""
+    brackets = f"2 * length({json}) - length(replace({json}, '{{')) - length(replace({json}, '['))"
+    return f"sequence(1, least({MAX_NESTING}, {brackets}))"
+
+
+_KIND = """CASE WHEN startswith(p.content, 's') THEN 'STRING' WHEN startswith(p.content, '{') THEN 'OBJECT'
+    WHEN startswith(p.content, '[') THEN 'ARRAY' WHEN p.content IN ('true', 'false') THEN 'BOOLEAN' ELSE 'NUMBER' END"""
 
 
 def extract_prompts(records: DataFrame, json: str = "record_json") -> DataFrame:
@@ -220,22 +215,24 @@ def extract_prompts(records: DataFrame, json: str = "record_json") -> DataFrame:
     Each prompt has `PROMPT_FIELDS`: ids and times as text, the content as
     `content` (plain text if `content_kind` is STRING, else JSON text) and
     the object it came from as `raw`.  A prompt whose message id and content
-    repeat an earlier one of the same record is left out.
+    repeat an earlier one of the same record is left out; the number 1 and the
+    string "1" are different ids.
     """
     last_key_wins(records.sparkSession)
     kept = records.columns
-    rest = ", ".join(f"'{f}', p.{f}" for f in PROMPT_FIELDS if f not in ("message_id", "content_kind", "content"))
-    by_content = f"""array_sort(transform(_all, p -> named_struct('message_id', p.message_id,
-        'content_kind', p.content_kind, 'content', p.content, 'o', p.o, {rest})))"""
     unique = f"""filter(_sorted, (p, i) -> i = 0 OR p.message_id IS NULL
-        OR NOT ({_same('message_id')} AND {_same('content_kind')} AND {_same('content')}))"""
-    fields = ", ".join(f"'{f}', p.{f}" for f in PROMPT_FIELDS)
-    in_order = f"array_sort(transform({unique}, p -> named_struct('o', p.o, {fields})))"
+        OR NOT ({_same('message_id')} AND {_same('content')}))"""
+    shown = {f: plain(f"p.{f}") for f in PROMPT_FIELDS} | {"content_kind": _KIND, "raw": untagged("p.raw")}
+    ordered = f"array_sort(transform({unique}, p -> named_struct('o', p.o, 'p', p)))"
+    fields = ", ".join(f"'{f}', {shown[f]}" for f in PROMPT_FIELDS)
+    in_order = f"transform({ordered}, x -> transform(array(x.p), p -> named_struct('o', p.o, {fields}))[0])"
     nothing = f"cast(array() AS array<struct<o:array<int>,{','.join(f'{f}:string' for f in PROMPT_FIELDS)}>>)"
+    # Records without a role or content are left as they are.
+    marked = f"if({is_container(json)}, {tagged(json)}, null)"
     return (
-        records.select("*", F.expr(_walk(json)).alias("_users"))
-        .select(*kept, F.expr(_prompts("_users")).alias("_all"))
-        .select(*kept, F.expr(by_content).alias("_sorted"))
+        records.select("*", F.expr(marked).alias("_tagged"))
+        .select(*kept, F.expr(_walk("_tagged")).alias("_users"))
+        .select(*kept, F.expr(f"array_sort({_prompts('_users')})").alias("_sorted"))
         .select(*kept, F.expr(f"coalesce({in_order}, {nothing})").alias("prompts"))
     )
 
@@ -250,27 +247,29 @@ def prompt_rows(extracted: DataFrame) -> DataFrame:
     return rows.select(*kept, "prompt_no", *(F.col(f"_prompt.{f}").alias(f) for f in PROMPT_FIELDS))
 
 
-def _text_of(kind_sql: str, raw: str, depth: int) -> str:
-    if depth == 0:
-        return "cast(raise_error('prompt content nested too deeply') AS string)"
-    typed, plain = (read_json(raw, _struct(leaf, *TEXT_PARTS)) for leaf in ("variant", "string"))
-    x, p = f"x{depth}", f"p{depth}"
-    kinds = " ".join(f"WHEN {x}.v.{k} IS NOT NULL THEN {kind(f'{x}.v.{k}')}" for k in TEXT_PARTS)
-    raws = " ".join(f"WHEN {x}.v.{k} IS NOT NULL THEN {x}.s.{k}" for k in TEXT_PARTS)
-    inner = f"""filter(transform(array(named_struct('v', {typed}, 's', {plain})),
-        {x} -> named_struct('kind', CASE {kinds} END, 'raw', CASE {raws} END)), {x} -> {x}.kind IS NOT NULL)"""
-    listed = f"""transform({element_pairs(raw)},
-        {p} -> named_struct('kind', {kind(f'{p}.typed')}, 'raw', {p}.raw))"""
-    parts = f"""CASE WHEN startswith({kind_sql}, 'ARRAY') THEN {listed}
-        WHEN startswith({kind_sql}, 'OBJECT') THEN {inner} END"""
-    text = f"transform({parts}, {x} -> {_text_of(f'{x}.kind', f'{x}.raw', depth - 1)})"
-    leaf = f"if(startswith({kind_sql}, 'OBJECT') AND size({parts}) = 0, {spaced_json(raw)}, null)"
-    return f"""CASE WHEN {kind_sql} = 'STRING' THEN {raw} WHEN {kind_sql} = 'VOID' THEN ''
-        WHEN startswith({kind_sql}, 'ARRAY') OR startswith({kind_sql}, 'OBJECT')
-        THEN coalesce({leaf}, array_join({text}, '\\n')) ELSE {raw} END"""
-
-
 def prompt_text(content_kind: str = "content_kind", content: str = "content") -> Column:
     """A prompt's content as one text: parts on lines of their own, wrapped
-    values unwrapped, and any other object as JSON with sorted keys."""
-    return F.expr(_text_of(content_kind, content, TEXT_DEPTH))
+    values unwrapped, and any other object as JSON with sorted keys.
+
+    A fold over nesting levels: the state is the list of parts in order, and
+    each turn replaces every container by what it holds, until none is left.
+    """
+    held = ", ".join(_path("v", k) for k in TEXT_PARTS)
+    bare = untagged("x")
+    other = f"coalesce({spaced_json(bare)}, {bare})"
+    opened = f"""transform(array({read_json('x', tagged_struct(*TEXT_PARTS))}), v -> coalesce({held}, concat('s', {other})))"""
+    step = f"""CASE WHEN startswith(x, 's') THEN array(x)
+        WHEN x IN ('n', '[]') THEN array('s')
+        WHEN startswith(x, '[') THEN {read_json('x', 'array<string>')}
+        WHEN startswith(x, '{{') THEN {opened}
+        ELSE array(concat('s', x)) END"""
+    # Whether a container was left is asked of the list the turn began with.
+    turn = f"if(s.open, named_struct('items', flatten(transform(s.items, x -> {step})), 'open', exists(s.items, x -> NOT startswith(x, 's'))), s)"
+    start = f"transform(array({tagged(content)}), t -> named_struct('items', array(t), 'open', true))[0]"
+    folded = f"aggregate({_levels_of(content)}, {start}, (s, i) -> {turn}, s -> array_join(transform(s.items, x -> substring(x, 2)), '\\n'))"
+    return F.expr(f"if({content_kind} IN ('ARRAY', 'OBJECT'), {folded}, {content})")
+
+
+def _levels_of(content: str) -> str:
+    """SQL: levels of the content, and two turns to take down what is in the last."""
+    return f"concat({_levels(content)}, array(0, 0))"

@@ -12,7 +12,7 @@ from promptsieve.operators.prompts import extract_prompts, prompt_rows
 from promptsieve.operators.records import decode_payload, with_record_facts
 from promptsieve.operators.summary import merge_rows
 from promptsieve.sources import listing
-from promptsieve.sources.sinks import prompt_records, stage, write_jsonl, write_raw_records
+from promptsieve.sources.sinks import prompt_lines, stage, write_jsonl, write_raw_records
 
 
 @dataclass(frozen=True)
@@ -200,7 +200,7 @@ def export_logs(
     warned = in_order(warnings(entries, units))
     run = manifest(config, pages, entries, units, now)
     write_raw_records(records, f"{out_path}/raw")
-    write_jsonl(prompt_records(prompts), f"{out_path}/prompts")
+    prompt_lines(prompts).write.mode("overwrite").text(f"{out_path}/prompts")
     write_jsonl(warned, f"{out_path}/warnings")
     write_jsonl(run, f"{out_path}/manifest")
     return Export(entries, units, records, prompts, warned, run)

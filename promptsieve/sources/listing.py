@@ -7,7 +7,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from promptsieve.functions.jsontext import element_pairs, kind, last_key_wins, read_json, truthy
+from promptsieve.functions.jsontext import is_container, is_truthy, last_key_wins, plain, read_json, tag, tagged, tagged_struct
 from promptsieve.functions.rows import settle
 
 # Entries of so many bytes are sent to every task.  Beyond that, hashes of their
@@ -21,8 +21,7 @@ NO_CURSOR = "log page had has_more=true but no last_end_time"
 NON_OBJECT = "Skipped non-object log listing entry"
 WITHOUT_ID = "Skipped log listing entry without an id"
 
-_PAGE = "struct<data: variant, has_more: variant, last_end_time: variant>"
-_PAGE_TEXT = "struct<data: string>"
+_PAGE = tagged_struct("data", "has_more", "last_end_time")
 
 
 def isoformat_utc(moment: datetime) -> str:
@@ -50,20 +49,20 @@ def listed_after(listing: DataFrame, event_type: str, after) -> DataFrame:
 
 def read_pages(responses: DataFrame) -> DataFrame:
     """Landed listing responses (page_no, page_json) as (page_no, data,
-    has_more, last_end_time); `data` holds each entry as (raw, typed)."""
+    has_more, last_end_time); `data` holds each entry as tagged JSON text."""
     last_key_wins(responses.sparkSession)
-    page, text = (F.expr(read_json("page_json", schema)) for schema in (_PAGE, _PAGE_TEXT))
-    parsed = responses.select("page_no", page.alias("p"), text.alias("t"))
-    data = f"""CASE WHEN NOT coalesce({truthy('p.data')}, false) THEN null
-        WHEN startswith({kind('p.data')}, 'ARRAY') THEN {element_pairs('t.data')}
+    parsed = responses.select("page_no", F.expr(read_json(tagged("page_json"), _PAGE)).alias("p"))
+    data, more, end = (f"p.{tag(k)}" for k in ("data", "has_more", "last_end_time"))
+    entries = f"""CASE WHEN NOT coalesce({is_truthy(data)}, false) THEN null
+        WHEN startswith({data}, '[') THEN {read_json(data, 'array<string>')}
         ELSE raise_error("{DATA_NOT_A_LIST}") END"""
-    end_time = f"if({truthy('p.last_end_time')}, try_variant_get(p.last_end_time, '$', 'string'), null)"
-    has_more = f"coalesce({truthy('p.has_more')}, false)"
+    end_time = f"if({is_truthy(end)} AND NOT {is_container(end)}, {plain(end)}, null)"
+    has_more = f"coalesce({is_truthy(more)}, false)"
     checked = f"""CASE WHEN {has_more} AND {end_time} IS NULL
         THEN cast(raise_error('{NO_CURSOR}') AS boolean) ELSE {has_more} END"""
     return parsed.select(
         "page_no",
-        F.expr(data).alias("data"),
+        F.expr(entries).alias("data"),
         F.expr(checked).alias("has_more"),
         F.expr(end_time).alias("last_end_time"),
     )
@@ -73,9 +72,9 @@ def entries(pages: DataFrame) -> DataFrame:
     """One row per listing entry: page_no, entry_no, log_id and, for an entry
     that cannot be used, `problem`."""
     rows = pages.select("page_no", F.posexplode_outer("data").alias("entry_no", "e"))
-    is_object = f"startswith({kind('e.typed')}, 'OBJECT')"
-    entry_id, id_text = (f"{read_json('e.raw', f'struct<id: {leaf}>')}.id" for leaf in ("variant", "string"))
-    log_id = f"if({is_object} AND {truthy(entry_id)}, {id_text}, null)"
+    is_object = "startswith(e, '{')"
+    entry_id = f"{read_json('e', tagged_struct('id'))}.{tag('id')}"
+    log_id = f"if({is_object} AND {is_truthy(entry_id)}, {plain(entry_id)}, null)"
     problem = f"""CASE WHEN NOT {is_object} THEN '{NON_OBJECT}'
         WHEN log_id IS NULL THEN '{WITHOUT_ID}' END"""
     return settle(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from promptsieve.functions.jsontext import last_key_wins, read_json
+from promptsieve.functions.jsontext import json_string
 from promptsieve.operators.prompts import CONTEXT_FIELDS
 
 
@@ -29,19 +29,12 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
 
 
-def json_value(kind: str, content: str) -> Column:
-    """Content as a JSON value: text as a string, the rest as what it spells."""
-    read = read_json(f"if({kind} = 'STRING', null, {content})", "variant")
-    return F.expr(f"if({kind} = 'STRING', cast({content} AS variant), {read})")
-
-
-def prompt_records(prompts: DataFrame) -> DataFrame:
-    """Prompts in the shape they are exported in, ready for `write_jsonl`."""
-    last_key_wins(prompts.sparkSession)
-    return prompts.select(
-        F.col("log_id").alias("source_log_id"),
-        *CONTEXT_FIELDS,
-        F.lit("user").alias("role"),
-        json_value("content_kind", "content").alias("content"),
-        F.expr(read_json("raw", "variant")).alias("raw"),
+def prompt_lines(prompts: DataFrame) -> DataFrame:
+    """Prompts as the JSON objects they are exported as, one text per row.
+    Content and raw are put in as the JSON they are, in their own order of keys."""
+    head = F.to_json(
+        F.struct(F.col("log_id").alias("source_log_id"), *CONTEXT_FIELDS, F.lit("user").alias("role")), {"ignoreNullFields": "false"}
     )
+    content = F.expr(f"if(content_kind = 'STRING', {json_string('content')}, content)")
+    line = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(',"content":'), content, F.lit(',"raw":'), F.col("raw"), F.lit("}"))
+    return prompts.withColumn("_head", head).select(line.alias("value"))

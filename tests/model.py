@@ -169,7 +169,7 @@ def prompts(record) -> list[dict]:
         content = content_of(value)
         if role_of(value) in K.USER_ROLES and content is not None:
             row = {name: lookup(value, *spec) or context[name] for name, spec in OWN.items()}
-            mark = (as_text(row["message_id"]), repr(content))
+            mark = (json.dumps(row["message_id"]), repr(content))
             if row["message_id"] is None or mark not in seen:
                 found.append({k: as_text(v) for k, v in row.items()} | {"prompt": text_of(content)})
             seen.add(mark)

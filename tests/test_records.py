@@ -158,3 +158,47 @@ def test_long_prompts_are_whole(spark):
     df = spark.createDataFrame([(json.dumps({"role": "user", "content": "y" * 21_000_000}),)], "line string")
     walked = ps.extract_prompts(df.withColumn("record_json", strict_parse(F.col("line"))))
     assert ps.prompt_rows(walked).select(F.length("content")).first()[0] == 21_000_000
+
+
+def test_ids_of_different_types_are_different(spark):
+    items = [{"role": "user", "content": "x", "id": i} for i in (1, "1", 1, "1", 2)]
+    df = spark.createDataFrame([(json.dumps(items),)], "record_json string")
+    rows = ps.prompt_rows(ps.extract_prompts(df)).orderBy("prompt_no").collect()
+    assert [r.message_id for r in rows] == ["1", "1", "2"]
+
+
+@pytest.mark.parametrize("depth", [6, 7, 40, 500])
+def test_content_of_any_depth(spark, depth):
+    content = ["first", 1.5, None, True, []]
+    for i in range(depth):
+        content = [content] if i % 3 else {"parts": content, "k": 1} if i % 2 else [{"text": content}, "after"]
+    record = {"role": "user", "content": content}
+    df = spark.createDataFrame([(json.dumps(record),)], "t string").withColumn("record_json", strict_parse(F.col("t")))
+    text = ps.prompt_rows(ps.extract_prompts(df)).select(ps.prompt_text().alias("p")).first().p
+    assert text == model.prompts(record)[0]["prompt"]
+
+
+def test_wide_content(spark):
+    record = {"role": "user", "content": [{"text": f"part {i}"} for i in range(20_000)]}
+    df = spark.createDataFrame([(json.dumps(record),)], "record_json string")
+    text = ps.prompt_rows(ps.extract_prompts(df)).select(ps.prompt_text().alias("p")).first().p
+    assert text == model.prompts(record)[0]["prompt"]
+
+
+def test_large_contents_do_not_vanish(spark):
+    """Ten parts of 15 MB are one prompt, beyond what a VARIANT holds."""
+    part = F.repeat(F.lit("abcdefghij klmno "), 900_000)
+    parts = F.array(*(F.concat(part, F.lit(str(i))) for i in range(10)))
+    record = F.to_json(F.struct(F.lit("human").alias("role"), F.struct(parts.alias("parts")).alias("content")))
+    df = spark.range(1).select(record.alias("record_json"))
+    rows = ps.prompt_rows(ps.extract_prompts(df)).select("content_kind", F.length("content").alias("n"), F.length(ps.prompt_text()).alias("t"))
+    assert [(r.content_kind, r.n, r.t) for r in rows.collect()] == [("ARRAY", 10 * (17 * 900_000 + 3) + 11, 10 * (17 * 900_000 + 1) + 9)]
+
+
+def test_strings_that_look_like_tags(spark):
+    texts = ["n", "s", "null", ":null,", '"n"', 'x"n', "sn", "\\", '\\"n', "[null]", '{"a": null}', "", "nnn", "a\nnull"]
+    record = {"null": None, "items": [{"role": "user", "id": t, "content": [t, None, {"k": t, "n": None}]} for t in texts]}
+    df = spark.createDataFrame([(json.dumps(record),)], "t string").withColumn("record_json", strict_parse(F.col("t")))
+    rows = ps.prompt_rows(ps.extract_prompts(df)).withColumn("prompt", ps.prompt_text()).orderBy("prompt_no").collect()
+    assert [(r.message_id, r.prompt) for r in rows] == [(p["message_id"], p["prompt"]) for p in model.prompts(record)]
+    assert [json.loads(r.raw) for r in rows] == record["items"]
