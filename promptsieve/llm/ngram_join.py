@@ -18,8 +18,14 @@ union`.  The join is exact, and no two documents are compared that need not be:
   leader per bucket only, and verified links make components.  Then the pairs
   that are left are those of different components: near copies that leaders have
   linked do not meet in all pairs, and no link between components is lost.
-* Sets that meet at a shingle are a candidate only if their sizes and the places
-  of the shingle in both leave room for a link.
+* Sets that meet at a shingle are a candidate only if their sizes, the places of
+  the shingle in both and their parities leave room for a link.  Of what comes
+  before the shingle, only entries that some other prefix holds too can be shared:
+  prefixes that both reach the shingle hold all that comes before it.  Parities say
+  for each of `PARITIES` bins whether an odd number of a set's shingles fall in it;
+  two sets differ in at least as many shingles as they have unequal parities.  Both
+  are exact, and part of the join's condition, so that texts just below the
+  threshold do not become rows.
 
 Verification reads the texts of the candidates again; sets are never stored.
 Shingles and sets are known by 64-bit hashes of whole words in order.
@@ -38,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from promptsieve.llm.texts import column, in_arrow
@@ -58,6 +64,8 @@ CHUNKS = 64
 LEADER_TURNS = 3
 # Keys that are broadcast at most; more are joined by a shuffle.
 BROADCAST_KEYS = 1_000_000
+# Bins of a set's parities, a multiple of 64.
+PARITIES = 256
 # Rows of a batch, by what a row holds: a text, or two sets.
 TEXTS_PER_BATCH, PAIRS_PER_BATCH = 128, 32
 
@@ -91,6 +99,15 @@ def _set_key(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles fall in each bin, as 64-bit words."""
+    odd = np.bincount((shingles & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+PARITY_WORDS = tuple(f"p{i}" for i in range(PARITIES // 64))
+
+
 def least_overlap(size: int, num: int, den: int) -> int:
     """What a set of this size shares at least with any set it is linked with."""
     return -(-num * size // den)
@@ -152,18 +169,19 @@ def chosen_prefix(shingles: np.ndarray, counts: np.ndarray, noise: float, num: i
 
 
 def _sets(docs: DataFrame, table: np.ndarray, n: int, num: int, den: int) -> DataFrame:
-    """Per row: id, text_key, size, set_key, matches and prefix."""
+    """Per row: id, text_key, size, set_key, matches, prefix and parities."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
     shift, noise = np.uint64(64 - int(math.log2(len(table)))), float(np.median(table))
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            sizes, keys, matches, prefixes = [], [], [], []
+            sizes, keys, matches, prefixes, odd = [], [], [], [], []
             for text in batch.column(2).cast(pa.binary()).to_pylist():
                 shingles = shingle_set(text, n)
                 sizes.append(len(shingles))
                 keys.append(_set_key(shingles))
+                odd.append(parities(shingles))
                 found, prefix = chosen_prefix(shingles, counts[shingles >> shift].astype(np.float64), noise, num, den) if len(shingles) else (0, shingles)
                 matches.append(found)
                 prefixes.append(prefix.view(np.int64))
@@ -173,12 +191,14 @@ def _sets(docs: DataFrame, table: np.ndarray, n: int, num: int, den: int) -> Dat
                 [
                     batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(matches, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    *(pa.array([words[i] for words in odd], pa.int64()) for i in range(len(PARITY_WORDS))),
                 ],
-                names=["id", "text_key", "size", "set_key", "matches", "prefix"],
+                names=["id", "text_key", "size", "set_key", "matches", "prefix", *PARITY_WORDS],
             )
 
     return in_arrow(
-        docs.select("id", "text_key", "text"), job, "id long, text_key long, size long, set_key long, matches int, prefix array<long>",
+        docs.select("id", "text_key", "text"), job,
+        "id long, text_key long, size long, set_key long, matches int, prefix array<long>, " + ", ".join(f"{p} long" for p in PARITY_WORDS),
         rows=TEXTS_PER_BATCH,
     )
 
@@ -251,23 +271,29 @@ def _labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
     return stage(rooted.withColumn("root", F.coalesce("root", "set_key")), shared_dir(postings.sparkSession, "labelled"))
 
 
+# What is known of a class wherever it is met.
+ENTRY = ("set_key", "root", "size", "pos", "live", "matches", *PARITY_WORDS)
+
+
 def _may_link(x: str, y: str, num: int, den: int) -> Column:
-    """Whether sets that meet at a shingle can be linked by their sizes and by
-    what comes before and after it in their order: at most the shorter of both
-    is shared.  A linked pair passes at each shingle it shares."""
-    x_size, x_pos, y_size, y_pos = F.col(f"{x}.size"), F.col(f"{x}.pos"), F.col(f"{y}.size"), F.col(f"{y}.pos")
-    most = F.least(x_pos, y_pos) + F.least(x_size - x_pos, y_size - y_pos)
-    return (den * F.least(x_size, y_size) >= num * F.greatest(x_size, y_size)) & ((num + den) * most >= num * (x_size + y_size))
+    """Whether sets that meet at a shingle can be linked by their sizes, by what
+    comes before and after it in their order, and by their parities.  A linked
+    pair passes at each shingle it shares."""
+    x_size, y_size = F.col(f"{x}.size"), F.col(f"{y}.size")
+    sizes = den * F.least(x_size, y_size) >= num * F.greatest(x_size, y_size)
+    most = F.least(f"{x}.live", f"{y}.live") + F.least(x_size - F.col(f"{x}.pos"), y_size - F.col(f"{y}.pos"))
+    unequal = sum(F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARITY_WORDS)
+    return sizes & ((num + den) * most >= num * (x_size + y_size)) & ((num + den) * unequal <= (den - num) * (x_size + y_size))
 
 
 def _pairs_with_leaders(postings: DataFrame, turn: int, num: int, den: int) -> DataFrame:
     """Candidates (a, b), a below b: each class with the leader of its lists, if
     that is of another component.  Every turn has other leaders; a component
     leads the more lists the larger it is."""
-    rank = F.struct(F.xxhash64("set_key", F.lit(turn)).alias("rank"), "set_key", "root", "size", "pos")
+    rank = F.struct(F.xxhash64("set_key", F.lit(turn)).alias("rank"), *ENTRY)
     leaders = postings.groupBy("shingle", "bucket").agg(F.min(rank).alias("y"), F.min("root").alias("low"), F.max("root").alias("high"))
     leaders = leaders.where(F.col("low") != F.col("high")).select("shingle", "bucket", "y")
-    each = postings.select("shingle", "bucket", F.struct("set_key", "root", "size", "pos", "matches").alias("x"))
+    each = postings.select("shingle", "bucket", F.struct(*ENTRY).alias("x"))
     met = each.join(leaders, ["shingle", "bucket"]).where((F.col("x.root") != F.col("y.root")) & _may_link("x", "y", num, den))
     x, y = F.col("x.set_key"), F.col("y.set_key")
     counted = met.groupBy(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).agg(F.count("*").alias("n"), F.min("x.matches").alias("matches"))
@@ -280,7 +306,7 @@ def _pairs_across(labelled: DataFrame, num: int, den: int) -> DataFrame:
     """Candidates (a, b) in different components, a below b."""
     mixed = labelled.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
     left = labelled.join(mixed.select("shingle"), "shingle", "left_semi")
-    entry = F.struct("set_key", "root", "size", "pos", "matches")
+    entry = F.struct(*ENTRY)
     one = left.select("shingle", "bucket", entry.alias("x"))
     near = F.explode(F.array(F.struct("bucket", F.lit(True).alias("same")), F.struct((F.col("bucket") + 1).alias("bucket"), F.lit(False).alias("same"))))
     other = left.select("shingle", near.alias("at"), entry.alias("y")).select("shingle", "at.bucket", "at.same", "y")
@@ -314,17 +340,20 @@ def _linked(docs: DataFrame, n: int, num: int, den: int, id_col: str, text_col:
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_key")
     classes = stage(
         rows.where(F.col("size") > 0).groupBy("set_key").agg(
-            F.min(place).alias("place"), F.first("size").alias("size"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix")
+            F.min(place).alias("place"), F.first("size").alias("size"), F.first("matches").alias("matches"), F.first("prefix").alias("prefix"),
+            *(F.first(p).alias(p) for p in PARITY_WORDS),
         ),
         shared_dir(spark, "classes"),
     )
     bucket = F.floor(F.log(F.col("size").cast("double")) / math.log(den / num) + 1e-9).cast("int") if num < den else F.col("size").cast("int")
-    entries = classes.select(
-        "set_key", F.col("set_key").alias("root"), "size", "matches", bucket.alias("bucket"), F.posexplode("prefix").alias("pos", "shingle")
-    )
-    # Most shingles are in one document only and go before anything is joined.
+    entries = classes.select("set_key", F.posexplode("prefix").alias("pos", "shingle"))
+    # Most shingles are in one prefix only and go before anything is joined.
     common = entries.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") > 1).select("shingle")
-    postings = stage(entries.join(common, "shingle", "left_semi"), shared_dir(spark, "postings"))
+    facts = classes.select("set_key", F.col("set_key").alias("root"), "size", "matches", bucket.alias("bucket"), *PARITY_WORDS)
+    left = entries.join(common, "shingle", "left_semi").join(facts, "set_key")
+    # How many entries before this one are left in its own prefix.
+    live = F.row_number().over(Window.partitionBy("set_key").orderBy("pos")) - 1
+    postings = stage(left.withColumn("live", live), shared_dir(spark, "postings"))
 
     compared = links = labels = None
     labelled = postings

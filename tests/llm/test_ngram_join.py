@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from promptsieve.llm import ngram_join
@@ -98,3 +99,35 @@ def test_odd_rows(odd):
 def test_empty_table(odd):
     assert found(odd.limit(0), 3, 90, 100) == []
     assert ngram_join.keep_one(odd.limit(0)).collect() == []
+
+
+def test_texts_just_below_the_threshold_are_not_compared(spark, monkeypatch):
+    """A few hundred edits of one text, no two of them linked: their pairs are
+    ruled out where they meet, and none is verified."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(250):
+        edited = list(words)
+        for at in rng.sample(range(0, 300, 4), 6):
+            edited[at] = f"e{i}x{at}"
+        rows.append((i, " ".join(edited)))
+    verified, counts = ngram_join.verified, []
+
+    def counting(docs, classes, pairs, *options):
+        counts.append(pairs.count())
+        return verified(docs, classes, pairs, *options)
+
+    monkeypatch.setattr(ngram_join, "verified", counting)
+    found = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), n=3, num=90, den=100).collect()
+    assert all(r.component_id == r.doc_id for r in found) and len(found) == 250
+    assert sum(counts) < 250
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        both = rng.integers(0, 1 << 62, 200, dtype=np.uint64)
+        one, other = (np.unique(np.concatenate([both, rng.integers(0, 1 << 62, rng.integers(0, 60), dtype=np.uint64)])) for _ in range(2))
+        unequal = np.unpackbits((ngram_join.parities(one) ^ ngram_join.parities(other)).view(np.uint8)).sum()
+        assert unequal <= len(np.setxor1d(one, other))
