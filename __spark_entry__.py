@@ -290,31 +290,18 @@ def clean(spark, sf):
 # --- Streams -----------------------------------------------------------------
 
 
-def _stream_of_prompts(spark, sf):
-    """`workloads.prompts` as a stream over the conversations file."""
-    schema = w.table(spark, sf, "conversations").schema
-    turns = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet").parquet(sf)
-    return w.prompts_of(turns).withColumn("is_invalid", F.lit(False))
-
-
 def stream_classify(spark, sf):
-    prompts = _stream_of_prompts(spark, sf)
-    # The turn's key travels as the row's place.
-    placed = prompts.withColumn("file", F.col("conv_id").cast("string")).withColumn("prompt_no", F.col("turn"))
-    path = shared_dir(spark, "stream")
-    query = streaming.append_reviewed(review_prompts(placed), f"{path}/table", f"{path}/checkpoint")
-    query.awaitTermination()
-    table = spark.read.parquet(f"{path}/table")
-    key = (F.col("file").cast("bigint").alias("conv_id"), F.col("prompt_no").alias("turn"))
-    return table.select(*key, "risk_level", "risk_score", "categories")
+    """Written lines, arriving as files, through parsing, walk and review."""
+    lines, path = w.write_lines(spark, sf), shared_dir(spark, "stream")
+    streaming.start_review(streaming.arriving_lines(spark, lines), f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    part = F.regexp_extract("file", r"part=(\d+)", 1).cast("bigint").alias("part")
+    return spark.read.parquet(f"{path}/table").select(part, "line_number", "prompt_no", "risk_level", "risk_score", "categories")
 
 
 def stream_by_user(spark, sf):
-    reviewed = review_prompts(_stream_of_prompts(spark, sf))
-    path = shared_dir(spark, "totals")
-    query = streaming.replace_user_totals(reviewed, f"{path}/table", f"{path}/checkpoint")
-    query.awaitTermination()
-    return spark.read.parquet(f"{path}/table")
+    lines, path = w.write_lines(spark, sf), shared_dir(spark, "totals")
+    streaming.start_user_totals(streaming.arriving_lines(spark, lines), f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    return streaming.latest(spark, f"{path}/table")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

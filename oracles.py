@@ -305,6 +305,9 @@ def build() -> dict[str, str]:
       UNION ALL SELECT {PAGE}, 1, 0, NULL, 'bad_entry', 'Skipped log listing entry without an id' FROM conversations WHERE conv_id % 4 = 0
       UNION ALL SELECT {PAGE}, 0, 0, NULL, 'bad_entry', 'Skipped non-object log listing entry' FROM conversations WHERE conv_id % 4 = 1"""
     kept_phi = "len(phi) > 0"
+    line_verdicts = f"""WITH {LINES}, {EXTRACTED},
+      scanned AS (SELECT conv_id, turn, prompt_no, user_email, user_id, content AS prompt FROM extracted),
+      {classified('scanned', 'conv_id, turn, prompt_no')}"""
     queries = {
         "role_filter": f"WITH {RECORDS} SELECT conv_id, turn, {IS_RESPONSE} AS is_response FROM records",
         "log_cursor": f"""WITH {pages} SELECT '2024-01-10T00:00:00Z' AS "after",
@@ -382,9 +385,13 @@ def build() -> dict[str, str]:
           FROM (SELECT unnest([{', '.join(map(q, C.LEVELS))}]) AS risk_level) l
           LEFT JOIN classified c ON c.risk_level = l.risk_level GROUP BY l.risk_level""",
         "clean_cells": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(CASE WHEN doc_id % 3 > 0 THEN text || lang END, '') AS cell FROM documents""",
-        "stream_classify": f"""{verdicts} SELECT conv_id, turn, risk_level, risk_score, categories FROM classified""",
-        "stream_by_user": f"""{verdicts} SELECT {user} AS user_email, count(*) AS total_prompts,
+        "stream_classify": f"""{line_verdicts} SELECT part, line_number, prompt_no, risk_level, risk_score, categories
+          FROM classified JOIN (SELECT conv_id, turn, part, line_number FROM walked) USING (conv_id, turn)
+          UNION ALL SELECT part, line_number, 0, 'high', 70, 'input_quality' FROM lines WHERE NOT is_json""",
+        "stream_by_user": f"""{line_verdicts} SELECT {user} AS user_email, count(*) AS total_prompts,
             count(*) FILTER (risk_level <> 'none') AS flagged_prompts, max(risk_score) AS max_risk_score, {by_level}
-          FROM classified GROUP BY {user}""",
+          FROM (SELECT user_email, user_id, risk_level, risk_score FROM classified
+            UNION ALL SELECT NULL, NULL, 'high', 70 FROM lines WHERE NOT is_json)
+          GROUP BY {user}""",
     }
     return queries

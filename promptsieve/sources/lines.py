@@ -7,23 +7,26 @@ from pyspark.sql import functions as F
 
 from promptsieve.functions.dialect import strip
 
-LINE_ENDS = r"\r\n|[\n\r]"
+# A line of a file as it is read, with the split it comes from.
+PLACE = ("_metadata.file_path AS file", "_metadata.file_block_start AS block", "value AS line")
 
 
 def numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Every physical line of the text files as (file, line_number, line).
 
-    Numbers are 1-based per file and count blank lines.  Files are read in
-    splits; a first pass over the files counts the lines of each split, and the
-    running total of those counts is where a split's numbering starts.  Only
+    Numbers are 1-based per file and count blank lines.
+    """
+    return with_numbers(spark.read.text(path).selectExpr(*PLACE))
+
+
+def with_numbers(read: DataFrame) -> DataFrame:
+    """Lines of whole files, as read (file, block, line), with their numbers.
+
+    Files are read in splits; a first pass counts the lines of each split, and
+    the running total of those counts is where a split's numbering starts.  Only
     the counts are joined to the lines.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row_id"),
-        F.col("value").alias("line"),
-    )
+    lines = read.withColumn("row_id", F.monotonically_increasing_id())
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         lines.groupBy("file", "block")
@@ -43,14 +46,5 @@ def unnumbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
-def lines_of_files(files: DataFrame) -> DataFrame:
-    """The same from whole files (file, text), one row each, as a stream reads
-    them: a file must fit in memory, but no other file has to be looked at."""
-    lines = F.posexplode(F.split("text", LINE_ENDS, -1)).alias("pos", "line")
-    return files.select("file", lines).select(
-        "file", (F.col("pos") + 1).cast("bigint").alias("line_number"), "line"
-    )
-
-
 def non_blank(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", strip(F.col("line"))).where(F.col("line") != "")

@@ -1,4 +1,9 @@
-"""Review as files of raw records arrive."""
+"""Review as files of raw records arrive.
+
+Files are read in splits, as in batch.  What a batch of the stream yields is
+committed under its number: a batch that is run again after a crash replaces its
+own rows and no others, and readers see a batch's rows all at once.
+"""
 
 from __future__ import annotations
 
@@ -9,45 +14,26 @@ from pyspark.sql.streaming import StreamingQuery
 from promptsieve.functions import catalogue as C
 from promptsieve.operators.summary import by_user
 from promptsieve.plans.review import review_lines
-from promptsieve.sources.lines import lines_of_files
+from promptsieve.sources.lines import PLACE, with_numbers
 
 
 def arriving_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of the text files that land in a folder, numbered per file."""
-    files = (
-        spark.readStream.format("text").option("wholetext", "true").load(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
-    )
-    return lines_of_files(files)
+    """Lines of the text files that land in a folder, as (file, block, line).  A
+    file is read when it is complete, and wholly in one batch."""
+    return spark.readStream.format("text").load(path).selectExpr(*PLACE)
 
 
-def append_reviewed(
-    reviewed: DataFrame, out_path: str, checkpoint: str, *, available_now: bool = True
-) -> StreamingQuery:
-    """Append a stream of reviewed prompts to a parquet table.  Rows are
-    independent of one another, so the query keeps no state; the file and
-    offset logs in `checkpoint` make the output exactly-once."""
-    writer = (
-        reviewed.writeStream.format("parquet").outputMode("append")
-        .option("path", out_path).option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def replace_user_totals(
-    reviewed: DataFrame, out_path: str, checkpoint: str, *, available_now: bool = True
-) -> StreamingQuery:
-    """Keep the by-user summary up to date.  State is one row of counts per
-    user; each batch replaces the table with the totals so far."""
+def commit(rows: DataFrame, out_path: str, batch: int) -> None:
+    """Put the rows of a batch in its own partition of the table."""
+    numbered = rows.withColumn("batch_id", F.lit(batch).cast("long"))
+    numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(out_path)
 
-    def replace(totals: DataFrame, batch: int) -> None:
-        totals.write.mode("overwrite").parquet(out_path)
 
-    writer = (
-        by_user(reviewed, ordered=False).writeStream.outputMode("complete")
-        .foreachBatch(replace).option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+def latest(spark: SparkSession, out_path: str) -> DataFrame:
+    """The rows that the last committed batch has put in a table.  Partitions of
+    earlier batches are not read."""
+    table = spark.read.parquet(out_path)
+    return table.where(F.col("batch_id") == table.agg(F.max("batch_id")).scalar()).drop("batch_id")
 
 
 def start_review(
@@ -60,9 +46,16 @@ def start_review(
     excerpt_chars: int = C.EXCERPT_CHARS,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Review arriving lines of raw records into a parquet table."""
-    reviewed = review_lines(lines, rules, redact_prompt=redact_prompt, excerpt_chars=excerpt_chars)
-    return append_reviewed(reviewed, out_path, checkpoint, available_now=available_now)
+    """Review arriving lines of raw records into a parquet table, which has the
+    `batch_id` beside the reviewed prompts.  Lines are numbered within a batch,
+    which holds whole files; no state is kept."""
+
+    def review(batch: DataFrame, number: int) -> None:
+        reviewed = review_lines(with_numbers(batch), rules, redact_prompt=redact_prompt, excerpt_chars=excerpt_chars)
+        commit(reviewed, out_path, number)
+
+    writer = lines.writeStream.foreachBatch(review).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def start_user_totals(
@@ -73,6 +66,12 @@ def start_user_totals(
     *,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Review arriving lines of raw records into totals per user."""
-    reviewed = review_lines(lines, rules)
-    return replace_user_totals(reviewed, out_path, checkpoint, available_now=available_now)
+    """Review arriving lines of raw records into totals per user.  State is one
+    row of counts per user; `latest` reads the totals so far."""
+    # Totals need no places, so nothing is numbered.
+    totals = by_user(review_lines(lines.select("line"), rules), ordered=False)
+    writer = (
+        totals.writeStream.outputMode("complete")
+        .foreachBatch(lambda rows, number: commit(rows, out_path, number)).option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

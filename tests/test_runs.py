@@ -13,7 +13,7 @@ from promptsieve.operators.summary import result_tables
 from promptsieve.plans.export import ExportConfig
 from promptsieve.sources import listing
 from promptsieve.sources.lines import numbered_lines
-from promptsieve.streaming.review import arriving_lines
+from promptsieve.streaming.review import arriving_lines, commit, latest
 
 
 def message(text, role="user", email="user@example.test", n=1):
@@ -45,7 +45,7 @@ def input_dir(tmp_path_factory):
 
 
 def read_json(path):
-    files = sorted(f for f in os.listdir(path) if f.endswith(".json"))
+    files = sorted(f for f in os.listdir(path) if f.endswith((".json", ".txt")))
     return [json.loads(line) for f in files for line in open(os.path.join(path, f), encoding="utf-8")]
 
 
@@ -124,10 +124,32 @@ def test_stream_totals_grow(spark, tmp_path):
     for n, expected in ((1, 1), (2, 2)):
         (folder / f"{n}.jsonl").write_text(json.dumps(message("My SSN is 123-45-6789.", n=n)) + "\n")
         ps.start_user_totals(arriving_lines(spark, str(folder)), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
-        row = spark.read.parquet(str(tmp_path / "t")).collect()[0]
+        row = latest(spark, str(tmp_path / "t")).collect()[0]
         assert (row.user_email, row.total_prompts, row.critical) == ("user@example.test", expected, expected)
 
 
+def test_a_batch_run_again_replaces_its_own_rows(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for batch, rows in ((0, [1, 2]), (1, [3]), (0, [1, 2]), (1, [4, 5])):
+        commit(spark.createDataFrame([(n,) for n in rows], "n int"), table, batch)
+    assert sorted(r.n for r in spark.read.parquet(table).collect()) == [1, 2, 4, 5]
+    assert sorted(r.n for r in latest(spark, table).collect()) == [4, 5]
+
+
+def test_stream_numbers_lines_over_splits(spark, tmp_path):
+    """A file in many splits, read as a stream."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "long.jsonl").write_text("".join(f"line {i} {'x' * (i % 90)}\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        ps.start_review(arriving_lines(spark, str(folder)), str(tmp_path / "t"), str(tmp_path / "c")).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = spark.read.parquet(str(tmp_path / "t")).orderBy("line_number").collect()
+    assert [(r.line_number, r.prompt.split()[1]) for r in rows] == [(i + 1, str(i)) for i in range(3000)]
+
+
 def pages(spark, *responses):
     rows = [(i + 1, json.dumps(r)) for i, r in enumerate(responses)]
     return spark.createDataFrame(rows, "page_no bigint, page_json string")
