@@ -16,7 +16,6 @@ Without anything to learn from, so is every text.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +34,6 @@ CENTROIDS = 4
 STEPS = 12
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
 _GAP = 0x20
 # Bytes as n-grams see them: letters and all beyond ASCII, else a gap.
 _SEEN = np.full(256, _GAP, dtype=np.uint8)
@@ -142,7 +140,7 @@ def identify(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "te
         names, centres, radius, idf = shared.value
         for batch in batches:
             texts = [t or "" for t in batch.column(2).to_pylist()]
-            lettered = np.array([bool(names) and _LETTER.search(t) is not None for t in texts], dtype=bool)
+            lettered = np.array([bool(names) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
             language, score, far = [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.ones(len(texts), dtype=bool)
             at = np.flatnonzero(lettered)
             if len(at):

@@ -31,7 +31,8 @@ from promptsieve.llm.texts import column, let
 ROUNDS = 8
 
 # What is looked for, the longer forms first.
-MAILBOX = r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+_LETTERS = r"\p{L}\p{M}\p{N}"
+MAILBOX = rf"(?<![{_LETTERS}_.%+-])[{_LETTERS}_.%+-]++@[{_LETTERS}-]+(?:\.[{_LETTERS}-]+)*\.\p{{L}}[\p{{L}}\p{{M}}]++"
 ADDRESS = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)"
 ISO_DATE = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 DATE = r"(?<![\d./])\d{1,2}[./]\d{1,2}[./]\d{4}(?![\d/]|\.\d)"

@@ -186,7 +186,8 @@ def _kinds(items: DataFrame, kind: list[str], whole: str, kept: tuple[str, ...])
     item of each goes on, since it may share windows with the others.
     """
     spark = items.sparkSession
-    held = items.groupBy(*kind).agg(F.sum("n").alias("held")).where(F.col("held") > 1).select(*kind)
+    # Written, so that the join below can split a kind that many items have.
+    held = stage(items.groupBy(*kind).agg(F.sum("n").alias("held")).where(F.col("held") > 1).select(*kind), shared_dir(spark, "held"))
     live = stage(items.join(held, kind), shared_dir(spark, "live"))
     wholes = stage(live.groupBy(*kind, whole).agg(F.sum("n").alias("n"), F.min(F.struct(*kept)).alias("one")), shared_dir(spark, "wholes"))
     twice = wholes.where(F.col("n") > 1).select(*kind, whole)

@@ -319,10 +319,14 @@ def read(spark: SparkSession, path: str, value: Callable[[bytes], object] = byte
 def block_starts(spark: SparkSession, path: str) -> DataFrame:
     """(part, seq, start): ids before each block.  Totals are summed per part,
     and then over the parts, of which there is one per task that wrote."""
-    blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks").select("part", "seq", "n_ids", F.get("doc_ids", F.lit(0)).alias("first"))
+    blocks = spark.read.schema(_BLOCK).parquet(f"{path}/blocks").select(
+        "part", "seq", "n_ids", F.get("doc_ids", F.lit(0)).alias("first"), F.try_element_at("doc_ids", F.lit(-1)).alias("last")
+    )
     inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = blocks.groupBy("part").agg(F.sum("n_ids").alias("total"), F.min_by("first", "seq").alias("first"))
-    across = Window.orderBy(F.asc_nulls_first("first"), "part").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = blocks.groupBy("part").agg(F.sum("n_ids").alias("total"), F.min_by("first", "seq").alias("first"), F.max("last").alias("last"))
+    # As the parts were found to be in order: one that ends with the id another
+    # begins with comes first, though both begin with it.
+    across = Window.orderBy(F.asc_nulls_first("first"), F.asc_nulls_first("last"), "part").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_part.select("part", F.coalesce(F.sum("total").over(across), F.lit(0)).alias("base"))
     return blocks.withColumn("inside", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(bases, "part").select(
         "part", "seq", (F.col("base") + F.col("inside")).alias("start")

@@ -17,7 +17,9 @@ leave a task.
 
 Defined cases: rows whose id or vector is null, or whose vector holds a null or
 a number that is not finite, take no part.  Shorter vectors count as filled up
-with zeros.  Of several rows with one id the smallest vector counts.
+with zeros.  Rows that share an id are rows of their own, as candidates and as
+queries: the best of all queries of one id are ranked together, and none of them
+meets a row of that id.
 """
 
 from __future__ import annotations
@@ -135,17 +137,17 @@ def index_block(ids: np.ndarray, values: np.ndarray) -> tuple:
 
 
 def search_block(query_ids, queries, ids, values, low, shift, slices, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query id, row ids, scores) of each query's best k rows of a block."""
+    """(query id, row ids, scores) of each query's best k rows of a block, whose
+    ids rise.  All rows with the query's own id are left out."""
     n = len(ids)
     everyone = bitmaps(np.ones((1, n), dtype=np.uint8))
-    place_of = {int(i): at for at, i in enumerate(ids)}
     for begin in range(0, len(queries), TOGETHER):
         some, some_ids = queries[begin : begin + TOGETHER], query_ids[begin : begin + TOGETHER]
         valid = np.repeat(everyone, len(some), axis=0)
         for row, q in enumerate(some_ids):
-            own = place_of.get(int(q))
-            if own is not None:
-                valid[row, own // 64] &= ~(np.uint64(1) << np.uint64(own % 64))
+            low_own, high_own = np.searchsorted(ids, [q, q + 1])
+            if low_own < high_own:
+                valid[row] = bitmaps((ids != q).astype(np.uint8)[None])[0]
         adder, size = Adder(), np.abs(some)
         negative = (np.where(some < 0, -1, 0)).astype(np.int64).view(np.uint64)
         bits = int(size.max(initial=0)).bit_length()
@@ -191,16 +193,14 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
             filled[row, : len(v)] = v
         order = np.lexsort((*filled.T[::-1], group.id.to_numpy()))
         ids, filled = group.id.to_numpy()[order], filled[order]
-        first = np.ones(len(ids), dtype=bool)
-        first[1:] = ids[1:] != ids[:-1]
-        ids, filled = ids[first], filled[first]
         low, shift, slices = index_block(ids, filled)
         return pd.DataFrame({
             "block": [key[0]], "rows": [len(ids)], "ids": [ids.astype("<i8").tobytes()], "values": [filled.astype("<i8").tobytes()],
             "low": [low.astype("<i8").tobytes()], "shift": [shift], "slices": [slices.tobytes()],
         })
 
-    keyed = values.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    # By row, so that an id that many rows have is no group of its own.
+    keyed = values.withColumn("block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(blocks)).cast("int"))
     index = stage(keyed.groupBy("block").applyInPandas(build, _INDEX), shared_dir(spark, "bit-slices"))
 
     def queries_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +214,9 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
 
     asked = stage(in_arrow(index.select("ids", "values"), queries_of, "id long, value binary", rows=4), shared_dir(spark, "queries"))
     query_blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
-    gathered = asked.groupBy(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks)).alias("query_block")).agg(
+    gathered = asked.withColumn(
+        "query_block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(query_blocks))
+    ).groupBy("query_block").agg(
         F.array_sort(F.collect_list(F.struct("id", "value"))).alias("queries")
     )
     pairs = gathered.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

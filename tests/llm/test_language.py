@@ -41,3 +41,10 @@ def test_empty_table_and_no_languages(odd):
     assert language.identify(odd.limit(0), language.train(odd.limit(0))).collect() == []
     rows = language.identify(odd, language.train(odd.limit(0))).collect()
     assert {r.lang_pred for r in rows} == {"und"}
+
+
+def test_numerals_are_no_letters(spark, documents):
+    rows = [(1, "² ½ Ⅷ 123 !"), (2, "x"), (3, "é"), (4, None), (5, "")]
+    df = spark.createDataFrame([(i, t, None) for i, t in rows], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in language.identify(df, language.train(documents)).collect()}
+    assert got[1] == got[4] == got[5] == "und"

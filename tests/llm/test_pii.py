@@ -117,3 +117,13 @@ def test_odd_rows(odd):
     assert sorted((repr(r.text) for r in rows)) == sorted(repr(r.text) for r in odd.collect())
     assert {r.n_replaced for r in rows} == {0}
     assert pii.pseudonymise(odd.limit(0), KEY).collect() == []
+
+
+def test_mailboxes_beyond_ascii(spark):
+    texts = ["write to jörg@example.com now", "JÖRG@example.com", "anna@bücher.example", "rg@example.com", "имя@почта.рф, ok"]
+    got = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), KEY).orderBy("doc_id").collect()
+    found = [r.text for r in got]
+    assert all(r.n_replaced == 1 for r in got)
+    for text, clear in zip(found, ["jö", "JÖ", "ü", "rg@", "имя"]):
+        assert clear not in text
+    assert found[0].split()[2] == found[1] and found[3] not in found[0]

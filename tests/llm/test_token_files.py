@@ -73,3 +73,13 @@ def test_odd_rows(spark, odd, tmp_path):
     assert strip(got) == strip(want)  # rows with one id may be in any order
     assert [g[1] for g in got] == np.cumsum([0, *(g[2] for g in got)])[:-1].tolist()
     assert round_trip(spark, odd.limit(0), f"{tmp_path}/b") == []
+
+
+def test_an_id_repeated_over_files(spark, tmp_path):
+    long = spark.createDataFrame([(i, "one two three") for i in range(5, 10)], "doc_id long, text string").coalesce(1)
+    short = spark.createDataFrame([(5, "four five")], "doc_id long, text string").coalesce(1)
+    for n, df in enumerate((long.union(short), short.union(long))):
+        token_files.write(df, str(tmp_path / str(n)), PATH, end_id=1)
+        rows = sorted((r.start, r.n_tokens, r.doc_id) for r in token_files.digests(spark, str(tmp_path / str(n))).collect())
+        assert [r[2] for r in rows] == [5, 5, 6, 7, 8, 9]
+        assert all(a[0] + a[1] == b[0] for a, b in zip(rows, rows[1:]))

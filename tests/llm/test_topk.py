@@ -11,17 +11,16 @@ from promptsieve.llm import topk
 
 
 def brute(rows, k=5, every=50):
-    best = {}
+    kept = []
     for vec_id, v in rows:
         if vec_id is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        ints = [math.floor(256 * float(np.float32(x))) for x in v]
-        best[vec_id] = min(best.get(vec_id, (ints,)), (ints,))
-    width = max((len(v) for (v,) in best.values()), default=0)
-    ints = {i: np.array([*v, *[0] * (width - len(v))], dtype=np.int64) for i, (v,) in best.items()}
+        kept.append((vec_id, [math.floor(256 * float(np.float32(x))) for x in v]))
+    width = max((len(v) for _, v in kept), default=0)
+    ints = [(i, np.array([*v, *[0] * (width - len(v))], dtype=np.int64)) for i, v in kept]
     out = []
-    for q in sorted(i for i in ints if i % every == 0):
-        scored = sorted((-int(ints[q] @ v), i) for i, v in ints.items() if i != q)[:k]
+    for q in sorted({i for i, _ in ints if i % every == 0}):
+        scored = sorted((-int(w @ v), i) for asked, w in ints if asked == q for i, v in ints if i != q)[:k]
         out += [(q, n, i, -s) for n, (s, i) in enumerate(scored, 1)]
     return out
 
@@ -74,3 +73,11 @@ def test_adder(n):
         adder.add(int(place), row)
     total = sum(topk.unpacked(s, 128).astype(int) << i for i, s in enumerate(adder.total()) if s is not None)
     assert (total == (bits * (1 << places)[:, None]).sum(axis=0)).all()
+
+
+def test_repeated_ids_stay(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.25, 0.5]), (2, [0.1, 0.0]), (0, [0.0, 1.0])]
+    rows += [(3, [0.2, 0.1])] * 300
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    assert found(df) == brute(rows)
+    assert [r[2] for r in brute(rows[:4])] == [1, 1, 2]
