@@ -4,6 +4,7 @@ identity and Arrow batches of whole texts."""
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -17,6 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # So many whole texts are worked on at once in Python.
 ROWS_PER_BATCH = 512
+# And so many bytes are sent there at once, or one row.
+BYTES_PER_BATCH = 4 << 20
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,10 +46,14 @@ def in_arrow(
 ) -> DataFrame:
     """`mapInArrow` whose job is given at most `rows` rows at a time.
 
-    No setting of the session is touched: Spark bounds what it sends at once by
-    bytes (`spark.sql.execution.arrow.maxBytesPerBatch`, 64 MB by default), and
-    the worker cuts that into slices, which share its memory.
+    What Spark sends at once is bounded by bytes, by one bound for every operator,
+    since a plan takes the session's setting when it runs; a smaller one of the
+    session's own stays.  The worker cuts that into slices, which share its memory.
     """
+    conf, bound = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    said = re.fullmatch(r"(\d+)([bkmg]?)b?", conf.get(bound).lower())
+    if not said or not 0 < int(said[1]) * _UNITS[said[2]] <= BYTES_PER_BATCH:
+        conf.set(bound, f"{BYTES_PER_BATCH}b")
     importable(df.sparkSession)
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
