@@ -19,7 +19,7 @@ from promptsieve.functions import catalogue as C
 from promptsieve.functions.redaction import excerpt
 from promptsieve.operators.summary import clean_cells
 from promptsieve.plans import export
-from promptsieve.plans.review import parse_lines, prompts_of_lines, review_prompts
+from promptsieve.plans.review import parse_lines
 from promptsieve.session import shared_dir
 from promptsieve.sources import listing
 from promptsieve.sources.lines import numbered_lines
@@ -157,17 +157,15 @@ def invalid_lines(spark, sf):
 
 
 def scan_counters(spark, sf):
-    parsed, _ = _parsed_lines(spark, sf)
-    reviewed = stage(review_prompts(prompts_of_lines(parsed)), shared_dir(spark, "reviewed"))
-    return ps.scan_counters(parsed, reviewed)
+    return ps.write_review(numbered_lines(spark, w.write_lines(spark, sf)), shared_dir(spark, "reviewed"))[1]
 
 
 # --- Rules -------------------------------------------------------------------
 
 
-def _counts(detected: DataFrame, keys: tuple[str, ...], categories) -> DataFrame:
-    """Matches per row and category.  A row's findings are few, so they are
-    added up inside the row."""
+def _counts(detected: DataFrame, keys: tuple[str, ...], categories, source: bool = False) -> DataFrame:
+    """Matches per row and category, and which policy the category comes from if
+    asked.  A row's findings are few, so they are added up inside the row."""
     findings = F.filter("findings", lambda f: f["category"].isin(*categories))
     names = F.array_distinct(F.transform(findings, lambda f: f["category"]))
 
@@ -175,8 +173,14 @@ def _counts(detected: DataFrame, keys: tuple[str, ...], categories) -> DataFrame
         of_name = F.filter(findings, lambda f: f["category"] == name)
         return F.aggregate(of_name, F.lit(0).cast("bigint"), lambda n, f: n + f["matches"])
 
+    def policy(name):
+        return F.get(F.filter(findings, lambda f: f["category"] == name), F.lit(0))["source"]
+
     counted = F.transform(
-        names, lambda name: F.struct(name.alias("category"), total(name).alias("matches"))
+        names,
+        lambda name: F.struct(
+            name.alias("category"), total(name).alias("matches"), *([policy(name).alias("source")] if source else [])
+        ),
     )
     return detected.select(*keys, F.inline(counted))
 
@@ -200,7 +204,7 @@ def pii_hits(spark, sf):
 
 def policy_hits(spark, sf):
     asked = _categories(C.INTERNAL_POLICY_RULES, C.USAGE_POLICY_RULES)
-    return _counts(ps.detect(w.prompts(spark, sf), rules=C.DEFAULT.only(*asked)), KEYS, asked)
+    return _counts(ps.detect(w.prompts(spark, sf), rules=C.DEFAULT.only(*asked)), KEYS, asked, source=True)
 
 
 def _places(df: DataFrame, keys, text: str, categories, rules=C.DEFAULT) -> DataFrame:
@@ -221,7 +225,7 @@ def contact_hits(spark, sf):
 
 def phi_hits(spark, sf):
     found = ps.detections(w.prompts(spark, sf), rules=C.DEFAULT.only(C.PHI_CATEGORY))
-    return found.where(F.col("category") == C.PHI_CATEGORY).select(*KEYS, "score", "confidence")
+    return found.where(F.col("category") == C.PHI_CATEGORY).select(*KEYS, "score", "confidence", "source")
 
 
 def client_hits(spark, sf):
@@ -253,6 +257,10 @@ def _reviewed(spark, sf):
     return ps.classify(w.prompts(spark, sf), keep=KEYS)
 
 
+def _levels(spark, sf):
+    return ps.risk_levels(w.prompts(spark, sf), keep=KEYS)
+
+
 def classify(spark, sf):
     return _reviewed(spark, sf).select(
         *KEYS, "risk_level", "risk_score", "confidence", "needs_human_review", "categories",
@@ -261,7 +269,7 @@ def classify(spark, sf):
 
 
 def flagged(spark, sf):
-    return ps.flagged(_reviewed(spark, sf)).select(*KEYS, "risk_level", "risk_score", "categories")
+    return ps.flagged(_levels(spark, sf)).select(*KEYS, "risk_level", "risk_score", "categories")
 
 
 def redact(spark, sf):
@@ -269,22 +277,30 @@ def redact(spark, sf):
 
 
 def by_user(spark, sf):
-    return ps.by_user(_reviewed(spark, sf))
+    return ps.by_user(_levels(spark, sf))
 
 
 def by_category(spark, sf):
-    return ps.by_category(ps.flagged(_reviewed(spark, sf)))
+    return ps.by_category(ps.flagged(_levels(spark, sf)))
 
 
 def by_risk_level(spark, sf):
-    return ps.by_risk_level(_reviewed(spark, sf))
+    return ps.by_risk_level(_levels(spark, sf))
 
 
 def clean(spark, sf):
-    """Cells with control characters and without a value."""
+    """Cells with control characters, without a value, and with lists, structs and maps."""
     dirty = F.concat(F.lit("\x00\x07"), "text", F.lit("\x1b"), "lang", F.lit("\x0c"))
     cell = F.when(F.col("doc_id") % 3 > 0, dirty)
-    return clean_cells(w.table(spark, sf, "documents").select("doc_id", cell.alias("cell")))
+    inner = F.struct(F.col("text").alias("text"), F.array("n_chars", F.lit(None)).alias("sizes"))
+    named = F.map_from_arrays(F.array(F.lit("z"), F.lit("é")), F.array("source", "lang"))
+    return clean_cells(
+        w.table(spark, sf, "documents").select(
+            "doc_id", cell.alias("cell"),
+            F.when(F.col("doc_id") % 5 > 0, F.struct(F.lit(True).alias("b"), inner.alias("a"))).alias("object"),
+            F.array(named, F.map_from_arrays(F.array(F.lit('a"b')), F.array("lang"))).alias("list"),
+        )
+    )
 
 
 # --- Streams -----------------------------------------------------------------

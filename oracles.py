@@ -356,7 +356,8 @@ def build() -> dict[str, str]:
           WHERE {luhn('found')}""",
         "contact_hits": f"""WITH {PROMPTS} {_contact_rows('prompts', 'conv_id, turn', 'prompt')}""",
         "phi_hits": f"""WITH {PROMPTS} SELECT conv_id, turn, CASE WHEN {_phi_strong('phi')} THEN 94 ELSE 68 END AS score,
-            CASE WHEN {_phi_strong('phi')} THEN 'high' ELSE 'medium' END AS confidence
+            CASE WHEN {_phi_strong('phi')} THEN 'high' ELSE 'medium' END AS confidence,
+            'acceptable_use_policy' AS source
           FROM (SELECT *, {_phi_terms('prompt')} AS phi FROM prompts) WHERE {kept_phi}""",
         "client_hits": f"""WITH {PROMPTS}, windows AS ({client_rows})
           SELECT p.conv_id, p.turn, CASE WHEN {strong} THEN '{C.CLIENT_STRONG[0]}' ELSE '{C.CLIENT_WEAK[0]}' END AS category,
@@ -364,7 +365,9 @@ def build() -> dict[str, str]:
             coalesce(w.evidence, substr(prompt, 1, 260)) AS evidence
           FROM prompts p LEFT JOIN windows w ON p.conv_id = w.conv_id AND p.turn = w.turn AND w.i = 1
           WHERE {strong} OR {weak}""",
-        "policy_hits": f"WITH {PROMPTS} {pattern_counts('prompts', 'conv_id, turn', 'prompt', policies)}",
+        "policy_hits": f"""WITH {PROMPTS} SELECT *, CASE WHEN category IN ({', '.join(q(r.category) for r in C.INTERNAL_POLICY_RULES)})
+            THEN 'acceptable_use_policy' ELSE 'usage_policy' END AS source
+          FROM ({pattern_counts('prompts', 'conv_id, turn', 'prompt', policies)})""",
         "evidence_windows": " UNION ALL ".join(
             f"SELECT doc_id, {q(name)} AS category, start_at, end_at, evidence FROM ({match_rows('documents', 'doc_id', 'text', flags + pattern)})"
             for name, flags, pattern in (("email", "(?is)", email), ("phone", "(?is)", phone), ("secret", "(?is)", secret))
@@ -384,7 +387,12 @@ def build() -> dict[str, str]:
         "by_risk_level": f"""{verdicts} SELECT l.risk_level, count(c.conv_id) AS "count"
           FROM (SELECT unnest([{', '.join(map(q, C.LEVELS))}]) AS risk_level) l
           LEFT JOIN classified c ON c.risk_level = l.risk_level GROUP BY l.risk_level""",
-        "clean_cells": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(CASE WHEN doc_id % 3 > 0 THEN text || lang END, '') AS cell FROM documents""",
+        "clean_cells": """SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(CASE WHEN doc_id % 3 > 0 THEN text || lang END, '') AS cell,
+            coalesce(CASE WHEN doc_id % 5 > 0 THEN '{"a": {"sizes": [' || coalesce(CAST(n_chars AS VARCHAR), 'null') || ', null], "text": '
+              || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || '}, "b": true}' END, '') AS object,
+            '[{"z": ' || coalesce(CAST(to_json(source) AS VARCHAR), 'null') || ', "é": ' || coalesce(CAST(to_json(lang) AS VARCHAR), 'null')
+              || '}, {"a\\"b": ' || coalesce(CAST(to_json(lang) AS VARCHAR), 'null') || '}]' AS list
+          FROM documents""",
         "stream_classify": f"""{line_verdicts} SELECT part, line_number, prompt_no, risk_level, risk_score, categories
           FROM classified JOIN (SELECT conv_id, turn, part, line_number FROM walked) USING (conv_id, turn)
           UNION ALL SELECT part, line_number, 0, 'high', 70, 'input_quality' FROM lines WHERE NOT is_json""",

@@ -2,13 +2,13 @@
 
 from promptsieve.functions.catalogue import DEFAULT, Catalogue, Pattern, Rule
 from promptsieve.functions.redaction import clean_cell, excerpt
-from promptsieve.operators.detect import detect, detections
+from promptsieve.operators.detect import detect, detections, verdicts
 from promptsieve.operators.prompts import extract_prompts, prompt_rows, prompt_text
 from promptsieve.operators.records import decode_payload, with_record_facts
-from promptsieve.operators.review import assess, classify, flagged, invalid_lines
+from promptsieve.operators.review import assess, classify, flagged, invalid_lines, risk_levels
 from promptsieve.operators.summary import by_category, by_risk_level, by_user, scan_counters
 from promptsieve.plans.export import Export, ExportConfig, export_logs
-from promptsieve.plans.review import Review, review_lines, run_review
+from promptsieve.plans.review import Review, review_lines, run_review, write_review
 from promptsieve.sources.lines import numbered_lines
 from promptsieve.streaming.review import start_review, start_user_totals
 
@@ -17,6 +17,6 @@ __all__ = [
     "assess", "by_category", "by_risk_level", "by_user", "classify", "clean_cell",
     "decode_payload", "detect", "detections", "excerpt", "export_logs", "extract_prompts",
     "flagged", "invalid_lines", "numbered_lines", "prompt_rows", "prompt_text",
-    "review_lines", "run_review", "scan_counters", "start_review", "start_user_totals",
-    "with_record_facts",
+    "review_lines", "risk_levels", "run_review", "scan_counters", "start_review", "start_user_totals",
+    "verdicts", "with_record_facts", "write_review",
 ]

@@ -41,6 +41,7 @@ class Rule:
 
 
 INTERNAL = "internal_policy"
+ACCEPTABLE_USE = "acceptable_use_policy"
 USAGE = "usage_policy"
 
 # A `holds` entry standing for "any decimal digit".
@@ -195,7 +196,7 @@ INTERNAL_POLICY_RULES = (
     Rule(
         "audit_evidence", 82, "high",
         "Prompt appears to ask AI to generate or validate audit evidence, substantive testing, or professional-standard support.",
-        INTERNAL,
+        ACCEPTABLE_USE,
         (
             Pattern(
                 r"\b(generate|create|validate|verify|provide|support)\b.{0,90}\b(audit evidence|audit support|evidence for audit)\b",
@@ -210,7 +211,7 @@ INTERNAL_POLICY_RULES = (
     Rule(
         "tax_or_accuracy_calculation", 80, "high",
         "Prompt appears to request a tax, reconciliation, or audit calculation requiring accuracy.",
-        INTERNAL,
+        ACCEPTABLE_USE,
         (
             Pattern(
                 r"\b(calculate|compute|determine|prepare|finalize)\b.{0,90}\b(tax liability|tax due|tax calculation|reconciliation|substantive audit)\b",
@@ -225,7 +226,7 @@ INTERNAL_POLICY_RULES = (
     Rule(
         "final_deliverable_without_review", 72, "medium",
         "Prompt appears to request a final deliverable or client-ready output without documented review/sign-off.",
-        INTERNAL,
+        ACCEPTABLE_USE,
         (
             Pattern(
                 r"\b(final|finalize|ready to send|send to client)\b.{0,120}\b(without|no need for|skip)\b.{0,90}\b(review|sign[- ]?off|approval)\b",
@@ -240,7 +241,7 @@ INTERNAL_POLICY_RULES = (
     Rule(
         "replace_professional_judgment", 80, "high",
         "Prompt appears to use AI to replace professional judgment, quality control, review, or standards.",
-        INTERNAL,
+        ACCEPTABLE_USE,
         (
             Pattern(
                 r"\b(replace|bypass|skip|avoid|work around)\b.{0,90}\b(professional judgment|human review|qc|quality control|approval|gaas|professional standards)\b",

@@ -9,8 +9,11 @@ strings because most are used inside lambdas.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promptsieve.functions.dialect import literal
 
@@ -143,6 +146,36 @@ def elements(array_text: str) -> Column:
         ELSE e END)""")
 
 
+def sorted_json(value: Column, kind: T.DataType) -> Column:
+    """A value of any type as JSON text: keys sorted at every level, a space after
+    each comma and colon, null as null.  Numbers and booleans are spelt as Spark
+    spells them; what JSON has no type for is a string."""
+    if isinstance(kind, T.ArrayType):
+        items = F.transform(value, lambda x: sorted_json(x, kind.elementType))
+        text = F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+    elif isinstance(kind, T.StructType):
+        members = [
+            F.concat(F.lit(json.dumps(f.name, ensure_ascii=False) + ": "), sorted_json(value.getField(f.name), f.dataType))
+            for f in sorted(kind.fields, key=lambda f: f.name)
+        ]
+        text = F.when(value.isNotNull(), F.concat(F.lit("{"), F.concat_ws(", ", *members), F.lit("}")))
+    elif isinstance(kind, T.MapType):
+        by_key = F.array_sort(F.map_entries(value), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
+        members = F.transform(
+            by_key, lambda e: F.concat(_quoted(e["key"]), F.lit(": "), sorted_json(e["value"], kind.valueType))
+        )
+        text = F.concat(F.lit("{"), F.array_join(members, ", "), F.lit("}"))
+    elif isinstance(kind, (T.NumericType, T.BooleanType)):
+        text = value.cast("string")
+    else:
+        text = F.when(value.isNotNull(), _quoted(value))
+    return F.coalesce(text, F.lit("null"))
+
+
+def _quoted(value: Column) -> Column:
+    return F.regexp_replace(F.to_json(F.array(value.cast("string"))), r"^\[|\]$", "")
+
+
 def json_string(text: str) -> str:
     """SQL: a text as a JSON string."""
     return f"substring(to_json(array({text})), 2, length(to_json(array({text}))) - 2)"

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from promptsieve.functions.catalogue import EXCERPT_CHARS
 from promptsieve.functions.dialect import java_regex
+from promptsieve.functions.jsontext import sorted_json
 from promptsieve.functions.spans import collapse_spaces
 
 # What is replaced, in this order, by what, and whether letter
@@ -41,6 +43,9 @@ def excerpt(text: Column, max_chars: int = EXCERPT_CHARS) -> Column:
     return F.get(F.transform(line, lambda t: shorten(t, max_chars)), F.lit(0))
 
 
-def clean_cell(value: Column) -> Column:
-    """Text fit for a tabular cell: no control characters, never null."""
-    return F.coalesce(F.regexp_replace(value.cast("string"), CONTROL_CHARS, ""), F.lit(""))
+def clean_cell(value: Column, kind: T.DataType | None = None) -> Column:
+    """Text fit for a tabular cell: no control characters, never null.  With its
+    type given, a list, struct or map becomes JSON with sorted keys."""
+    nested = isinstance(kind, (T.ArrayType, T.StructType, T.MapType))
+    text = F.when(value.isNotNull(), sorted_json(value, kind)) if nested else value.cast("string")
+    return F.coalesce(F.regexp_replace(text, CONTROL_CHARS, ""), F.lit(""))

@@ -66,7 +66,7 @@ def _entries(rules: C.Catalogue) -> list[tuple[Entry, C.Pattern | None]]:
     def add_term_rule(number: int, variants) -> None:
         for category, score, confidence, reason in variants:
             listed.append(
-                (Entry(number, 0, category, reason, score, confidence, C.INTERNAL, "term"), None)
+                (Entry(number, 0, category, reason, score, confidence, C.ACCEPTABLE_USE, "term"), None)
             )
 
     def add_family(number: int, family: tuple[C.Rule, ...]) -> int:
@@ -184,19 +184,26 @@ def _client_hit(text: str, entry: int) -> str:
     return f"if(size(_groups) >= 2, {hit}, null)"
 
 
-def _with_hits(df: DataFrame, text_col: str, rules: C.Catalogue) -> DataFrame:
+def _with_hits(df: DataFrame, text_col: str, rules: C.Catalogue, every_match: bool = True) -> DataFrame:
+    """Add `_hits`.  Without `every_match`, a rule that needs no look at its
+    matches stops at the first one, and its `found` is only a sign."""
     text = f"`{text_col}`"
     hits = []
     for i, (entry, pattern) in enumerate(_entries(rules)):
         if pattern is not None:
             regex = literal(entry.regex)
-            found = f"if({_gate(pattern)}, regexp_extract_all({text}, {regex}, 0), null)"
+            if every_match or entry.kind != "regex":
+                found = f"if({_gate(pattern)}, regexp_extract_all({text}, {regex}, 0), null)"
+            else:
+                found = f"if(({_gate(pattern)}) AND rlike({text}, {regex}), array(''), null)"
             hits.append(_hit(i, regex, found))
         elif entry.category == C.PHI_CATEGORY and entry.score == C.PHI_STRONG[0] and rules.phi_terms:
             hits.append(_phi_hit(text, i, rules))
         elif entry.category == C.CLIENT_STRONG[0] and rules.client_terms:
             hits.append(_client_hit(text, i))
-    kept = f"filter(array({', '.join(hits)}), h -> size(h.found) > 0 OR h.given IS NOT NULL)"
+    # An empty catalogue gives an empty list, of the same type.
+    listed = f"cast(array({', '.join(hits)}) AS array<struct<entry:int,regex:string,found:array<string>,given:string>>)"
+    kept = f"filter({listed}, h -> size(h.found) > 0 OR h.given IS NOT NULL)"
     return (
         df.withColumns({"_folded": fold(F.col(text_col)), "_digit": F.col(text_col).rlike(r"\p{Nd}")})
         .withColumn("_found_words", folded_words(F.col("_folded")))
@@ -212,9 +219,11 @@ def _with_hits(df: DataFrame, text_col: str, rules: C.Catalogue) -> DataFrame:
     )
 
 
-def _table(rules: C.Catalogue) -> str:
+_FIELDS = ("rule_no", "pattern_no", "category", "reason", "score", "confidence", "source", "kind")
+
+
+def _table(rules: C.Catalogue, fields: tuple[str, ...] = _FIELDS) -> str:
     """SQL: the entries as a constant array, looked up by a hit's entry number."""
-    fields = ("rule_no", "pattern_no", "category", "reason", "score", "confidence", "source", "kind")
     rows = []
     for entry, _ in _entries(rules):
         values = ((f, getattr(entry, f)) for f in fields)
@@ -274,6 +283,38 @@ def detect(df: DataFrame, text: str = "prompt", rules: C.Catalogue = C.DEFAULT)
     return _plan(df, text, rules).select(*df.columns, found.alias("findings"))
 
 
+def verdicts(df: DataFrame, text: str = "prompt", rules: C.Catalogue = C.DEFAULT) -> DataFrame:
+    """Add `findings` with category, score and confidence alone: which rules fire.
+
+    What fires is what `detect` finds, but matches are neither listed nor placed,
+    except those of rules that look at the words around them.
+    """
+    numbers = {
+        kind: [i for i, (entry, _) in enumerate(_entries(rules)) if entry.kind == kind] for kind in ("card", "contact")
+    }
+
+    def of_kind(kind: str) -> str:
+        return f"h.entry IN ({', '.join(map(str, numbers[kind]))})" if numbers[kind] else "false"
+
+    hits = _with_hits(df, text, rules, every_match=False)
+    needs_words = F.expr(f"exists(_hits, h -> {of_kind('contact')})")
+    hits = hits.withColumn("_words", F.when(needs_words, words(F.col(text))))
+    spans = match_spans(f"`{text}`", "h.regex", "h.found")
+    looked_at = F.expr(
+        f"""transform(_hits, h -> named_struct('rule', {_table(rules, ('category', 'score', 'confidence'))}[h.entry],
+        'cards', if({of_kind('card')}, h.found, null), 'contacts', if({of_kind('contact')}, {spans}, null)))"""
+    )
+    sensitive, all_words = term_regex(*rules.contact_terms), F.col("_words")
+
+    def fires(hit: Column) -> Column:
+        near = F.exists(hit["contacts"], lambda s: window(all_words, s).rlike(sensitive))
+        return F.when(hit["cards"].isNotNull(), F.exists(hit["cards"], luhn_valid)).when(hit["contacts"].isNotNull(), near).otherwise(True)
+
+    fired = F.transform(F.filter(looked_at, fires), lambda h: h["rule"])
+    none = F.array().cast("array<struct<category:string,score:int,confidence:string>>")
+    return hits.select(*df.columns, F.coalesce(fired, none).alias("findings"))
+
+
 def detections(df: DataFrame, text: str = "prompt", rules: C.Catalogue = C.DEFAULT) -> DataFrame:
     """One row per match of every rule, in reporting order, with its place and
     evidence; the columns of `df` are kept.  A client-data finding has no place

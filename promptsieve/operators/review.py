@@ -9,13 +9,18 @@ from promptsieve.functions import catalogue as C
 from promptsieve.functions import scoring
 from promptsieve.functions.redaction import excerpt
 from promptsieve.functions.rows import settle
-from promptsieve.operators.detect import detect
+from promptsieve.operators.detect import detect, verdicts
 
 REVIEWED_COLUMNS = (
     "risk_level", "risk_score", "confidence", "needs_human_review", "categories", "reasons",
     "matched_evidence", "line_number", "event_id", "conversation_id", "message_id", "user_id",
     "user_email", "created_at", "prompt",
 )
+LEVEL_VALUES = (
+    "risk_level", "risk_score", "confidence", "needs_human_review", "categories", "user_id", "user_email",
+)
+# Place of a prompt in the input.
+REVIEW_ORDER = ("file", "line_number", "prompt_no")
 _TYPES = {"risk_score": "int", "needs_human_review": "boolean", "line_number": "bigint"}
 
 
@@ -24,8 +29,7 @@ def _typed(df: DataFrame, name: str) -> Column:
     return value.cast(_TYPES.get(name, "string")).alias(name)
 
 
-def assess(detected: DataFrame) -> DataFrame:
-    """Add the score, level, confidence and texts that follow from `findings`."""
+def _judged(detected: DataFrame) -> DataFrame:
     findings = F.col("findings")
     return detected.withColumn("risk_score", scoring.risk_score(findings)).withColumns(
         {
@@ -33,12 +37,25 @@ def assess(detected: DataFrame) -> DataFrame:
             "confidence": scoring.confidence(findings),
             "needs_human_review": scoring.needs_review(findings),
             "categories": scoring.categories(findings),
-            "reasons": scoring.reasons(findings),
-            "matched_evidence": scoring.matched_evidence(findings),
         }
     )
 
 
+def assess(detected: DataFrame) -> DataFrame:
+    """Add the score, level, confidence and texts that follow from `findings`."""
+    findings = F.col("findings")
+    return _judged(detected).withColumns(
+        {"reasons": scoring.reasons(findings), "matched_evidence": scoring.matched_evidence(findings)}
+    )
+
+
+def risk_levels(prompts: DataFrame, rules: C.Catalogue = C.DEFAULT, *, keep: tuple[str, ...] = ()) -> DataFrame:
+    """`LEVEL_VALUES` of every prompt as `classify` gives them, then the `keep`
+    columns; reasons and evidence are not worked out.  All that summaries need."""
+    judged = _judged(verdicts(prompts, "prompt", rules))
+    return settle(judged.select(*(_typed(judged, c) for c in LEVEL_VALUES), *keep), "risk_level", "risk_score")
+
+
 def classify(
     prompts: DataFrame,
     rules: C.Catalogue = C.DEFAULT,

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from promptsieve.functions.catalogue import INVALID_LINE, LEVELS
 from promptsieve.functions.redaction import clean_cell
-from promptsieve.operators.review import REVIEWED_COLUMNS, flagged
+from promptsieve.operators.review import REVIEW_ORDER, REVIEWED_COLUMNS, flagged
 
 # Fixed values.
 UNKNOWN_USER = "<unknown>"
 USER_COLUMNS = ("user_email", "total_prompts", "flagged_prompts", "max_risk_score", *LEVELS)
 CATEGORY_COLUMNS = ("category", "count", "max_risk_score", "users_affected")
 LEVEL_COLUMNS = ("risk_level", "count")
+COUNTERS = ("records_seen", "assistant_records_skipped", "prompt_records_seen", "flagged_prompts")
 
 
 def user_key() -> Column:
@@ -87,26 +88,61 @@ def merge_rows(*one_row_frames: DataFrame) -> DataFrame:
     return stacked.agg(*(F.max(c).alias(c) for c in stacked.columns))
 
 
+def line_counts() -> list[Column]:
+    """Totals over parsed lines."""
+    return [F.count(F.lit(1)).alias("records_seen"), F.count_if("is_response").alias("assistant_records_skipped")]
+
+
+def prompt_counts() -> list[Column]:
+    """Totals over reviewed prompts; lines that are not JSON count as flagged only."""
+    return [
+        F.count_if(F.col("categories") != INVALID_LINE[0]).alias("prompt_records_seen"),
+        F.count_if(~_has_level("none")).alias("flagged_prompts"),
+    ]
+
+
+def observed_counters(spark: SparkSession, *observed: Observation) -> DataFrame:
+    """One row of totals out of finished observations of `line_counts` and
+    `prompt_counts`.  Observed where no shuffle follows, as in a review, a total
+    counts every partition once, however often its task is run."""
+    totals = {name: n for one in observed for name, n in one.get.items()}
+    return spark.range(1).select(*(F.lit(totals.get(c) or 0).cast("bigint").alias(c) for c in COUNTERS))
+
+
 def scan_counters(scanned: DataFrame, reviewed: DataFrame) -> DataFrame:
     """One row of totals.  `scanned` has a row per input line, with
     `is_response`; lines that are not JSON count as flagged, not as prompts."""
-    lines = scanned.agg(
-        F.count("*").alias("records_seen"),
-        F.count_if("is_response").alias("assistant_records_skipped"),
-    )
-    prompts = reviewed.agg(
-        F.count_if(F.col("categories") != INVALID_LINE[0]).alias("prompt_records_seen"),
-        F.count_if(~_has_level("none")).alias("flagged_prompts"),
-    )
-    return merge_rows(lines, prompts)
+    return merge_rows(scanned.agg(*line_counts()), reviewed.agg(*prompt_counts()))
+
+
+def in_input_order(reviewed: DataFrame) -> DataFrame:
+    """Sorted by place in the input, as far as the rows have one.  Written files
+    in the order of their names then hold the rows in that order; rows are dealt
+    by ranges of places, so that a long file is sorted by many tasks."""
+    return reviewed.orderBy(*(c for c in REVIEW_ORDER if c in reviewed.columns))
+
+
+def summary_lines(
+    counters: DataFrame, users: DataFrame, categories: DataFrame, levels: DataFrame
+) -> DataFrame:
+    """The counters and all summaries as rows of one table, told apart by
+    `section`; columns of other sections are null.  A row per user, not one value
+    with all users, as their number has no bound."""
+    parts = {"counters": counters, "by_user": users, "by_category": categories, "by_risk_level": levels}
+    named = [part.select(F.lit(name).alias("section"), *part.columns) for name, part in parts.items()]
+    stacked = named[0]
+    for part in named[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return stacked
 
 
 def result_tables(reviewed: DataFrame) -> dict[str, DataFrame]:
-    """The five result tables, in fixed column order, as clean text cells."""
+    """The five result tables, in fixed column order, as clean text cells; prompts
+    in the order of the input."""
     findings = flagged(reviewed)
     tables = {
-        "reviewed_prompts": reviewed.select(*REVIEWED_COLUMNS),
-        "flagged_prompts": findings.select(*REVIEWED_COLUMNS),
+        "reviewed_prompts": in_input_order(reviewed).select(*REVIEWED_COLUMNS),
+        "flagged_prompts": in_input_order(findings).select(*REVIEWED_COLUMNS),
         "summary_by_user": by_user(reviewed).select(*USER_COLUMNS),
         "summary_by_category": by_category(findings).select(*CATEGORY_COLUMNS),
         "summary_by_risk_level": by_risk_level(reviewed).select(*LEVEL_COLUMNS),
@@ -115,4 +151,4 @@ def result_tables(reviewed: DataFrame) -> dict[str, DataFrame]:
 
 
 def clean_cells(table: DataFrame) -> DataFrame:
-    return table.select(*(clean_cell(F.col(c)).alias(c) for c in table.columns))
+    return table.select(*(clean_cell(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in table.schema))

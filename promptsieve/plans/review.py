@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from promptsieve.functions import catalogue as C
@@ -17,6 +17,7 @@ from promptsieve.operators.prompts import (
 )
 from promptsieve.operators.records import with_record_facts
 from promptsieve.operators.review import (
+    REVIEW_ORDER,
     REVIEWED_COLUMNS,
     classify,
     flagged,
@@ -26,14 +27,16 @@ from promptsieve.operators.summary import (
     by_category,
     by_risk_level,
     by_user,
+    in_input_order,
+    line_counts,
+    observed_counters,
+    prompt_counts,
     result_tables,
-    scan_counters,
+    summary_lines,
 )
-from promptsieve.sources.lines import non_blank, numbered_lines, unnumbered_lines
+from promptsieve.sources.lines import non_blank, numbered_lines
 from promptsieve.sources.sinks import stage, write_jsonl, write_table
 
-REVIEW_ORDER = ("file", "line_number", "prompt_no")
-
 
 def parse_lines(lines: DataFrame) -> DataFrame:
     """Non-blank lines with `record_json` (null if the line is not JSON),
@@ -79,6 +82,7 @@ def review_prompts(
     rules: C.Catalogue = C.DEFAULT,
     *,
     redact_prompt: bool = False,
+    redact_evidence: bool = False,
     excerpt_chars: int = C.EXCERPT_CHARS,
 ) -> DataFrame:
     """Classify the rows of `prompts_of_lines`: reviewed columns, then the
@@ -91,6 +95,7 @@ def review_prompts(
         checked,
         rules,
         redact_prompt=redact_prompt,
+        redact_evidence=redact_evidence,
         excerpt_chars=excerpt_chars,
         keep=(*place, "is_invalid", "_line"),
     )
@@ -107,6 +112,19 @@ def review_lines(lines: DataFrame, rules: C.Catalogue = C.DEFAULT, **options) ->
     return review_prompts(prompts_of_lines(parse_lines(lines)), rules, **options)
 
 
+def write_review(
+    lines: DataFrame, path: str, rules: C.Catalogue = C.DEFAULT, **options
+) -> tuple[DataFrame, DataFrame]:
+    """The reviewed prompts of `lines`, written to `path` by risk level, and one row
+    of counters.  Lines and prompts are counted on their way to the table, so the
+    input is parsed and matched once."""
+    seen, judged = Observation(), Observation()
+    parsed = parse_lines(lines).observe(seen, *line_counts())
+    reviewed = review_prompts(prompts_of_lines(parsed), rules, **options).observe(judged, *prompt_counts())
+    written = stage(reviewed, path, partition_by=("risk_level",))
+    return written, observed_counters(lines.sparkSession, seen, judged)
+
+
 @dataclass(frozen=True)
 class Review:
     reviewed: DataFrame
@@ -124,19 +142,23 @@ def run_review(
     rules: C.Catalogue = C.DEFAULT,
     *,
     redact_prompt: bool = False,
+    redact_evidence: bool = False,
     excerpt_chars: int = C.EXCERPT_CHARS,
 ) -> Review:
     """Review the raw records at `in_path` and write all outputs to `out_path`.
 
-    Every prompt is matched against the rules once.  The reviewed prompts are
-    written partitioned by risk level and the other outputs are read off that
-    table, so that the flagged ones are found by partition.
+    The input is read twice, to number its lines and to review them; every prompt
+    is matched against the rules once.  The reviewed prompts are written partitioned
+    by risk level and the other outputs are read off that table, so that the flagged
+    ones are found by partition.  Written prompts are in the order of the input.
     """
-    lines = numbered_lines(spark, in_path)
-    reviewed = stage(
-        review_lines(lines, rules, redact_prompt=redact_prompt, excerpt_chars=excerpt_chars),
+    reviewed, counters = write_review(
+        numbered_lines(spark, in_path),
         f"{out_path}/reviewed_table",
-        partition_by=("risk_level",),
+        rules,
+        redact_prompt=redact_prompt,
+        redact_evidence=redact_evidence,
+        excerpt_chars=excerpt_chars,
     )
     findings = flagged(reviewed)
     review = Review(
@@ -145,11 +167,14 @@ def run_review(
         by_user(reviewed),
         by_category(findings),
         by_risk_level(reviewed),
-        scan_counters(parse_lines(unnumbered_lines(spark, in_path)), reviewed),
+        counters,
     )
-    write_jsonl(reviewed.select(*REVIEWED_COLUMNS), f"{out_path}/compliance_reviewed_prompts")
-    write_jsonl(findings.select(*REVIEWED_COLUMNS), f"{out_path}/compliance_findings")
-    write_jsonl(review.counters, f"{out_path}/compliance_summary")
+    for name, rows in (("reviewed_prompts", reviewed), ("findings", findings)):
+        ordered = in_input_order(rows).select(*REVIEWED_COLUMNS, "file", "prompt_no")
+        write_jsonl(ordered, f"{out_path}/compliance_{name}")
+    totals = counters.select(F.lit(", ".join([in_path] if isinstance(in_path, str) else in_path)).alias("input_path"), *counters.columns)
+    summaries = summary_lines(totals, review.by_user, review.by_category, review.by_risk_level)
+    write_jsonl(summaries, f"{out_path}/compliance_summary", keep_nulls=False)
     for name, table in result_tables(reviewed).items():
         write_table(table, f"{out_path}/tables/{name}")
     return review

@@ -41,10 +41,5 @@ def with_numbers(read: DataFrame) -> DataFrame:
     return placed.select("file", (F.col("row_id") + F.col("shift")).alias("line_number"), "line")
 
 
-def unnumbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """The lines alone, for counting; needs no pass of its own over the files."""
-    return spark.read.text(path).withColumnRenamed("value", "line")
-
-
 def non_blank(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", strip(F.col("line"))).where(F.col("line") != "")

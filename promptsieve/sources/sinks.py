@@ -16,8 +16,8 @@ def stage(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = ()) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+def write_jsonl(df: DataFrame, path: str, *, keep_nulls: bool = True) -> None:
+    df.write.mode("overwrite").option("ignoreNullFields", str(not keep_nulls).lower()).json(path)
 
 
 def write_raw_records(records: DataFrame, path: str) -> None:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import promptsieve as ps
+from promptsieve.operators.summary import clean_cells
 from promptsieve.functions.jsontext import strict_parse
 from promptsieve.operators import prompts as K
 
@@ -202,3 +203,12 @@ def test_strings_that_look_like_tags(spark):
     rows = ps.prompt_rows(ps.extract_prompts(df)).withColumn("prompt", ps.prompt_text()).orderBy("prompt_no").collect()
     assert [(r.message_id, r.prompt) for r in rows] == [(p["message_id"], p["prompt"]) for p in model.prompts(record)]
     assert [json.loads(r.raw) for r in rows] == record["items"]
+
+
+def test_nested_cells_are_sorted_json(spark):
+    value = {"b": [1, None, -2], "a": {"z": 'q"uote\n', "é": None}, "c": {2: True, 10: False}, "d.d": 1.5, "e": [], "f": None}
+    schema = "v struct<b: array<int>, a: map<string, string>, c: map<int, boolean>, `d.d`: double, e: array<int>, f: struct<x: int>>, t string"
+    table = spark.createDataFrame([(value, "a\x00b"), (None, None)], schema)
+    rows = clean_cells(table).collect()
+    wanted = '{"a": {"z": "q\\"uote\\n", "é": null}, "b": [1, null, -2], "c": {"2": true, "10": false}, "d.d": 1.5, "e": [], "f": null}'
+    assert [tuple(r) for r in rows] == [(wanted, "ab"), ("", "")]

@@ -144,3 +144,28 @@ def test_text_full_of_matches(spark):
     assert len(ssn) == 20_000
     assert (ssn[-1].start, ssn[-1].end) == (19 * 19_999 + 7, 19 * 20_000 - 1)
     assert ps.classify(df).collect()[0].risk_level == "critical"
+
+
+def test_levels_alone_are_those_of_a_whole_review(frame):
+    columns = ("n", "risk_level", "risk_score", "confidence", "needs_human_review", "categories")
+    whole = ps.classify(frame, keep=("n",)).select(*columns)
+    alone = ps.risk_levels(frame, keep=("n",))
+    assert sorted(map(tuple, alone.select(*columns).collect())) == sorted(map(tuple, whole.collect()))
+    for rules in (C.DEFAULT.only("pii_ssn"), C.DEFAULT.only("pii_credit_card", C.PHI_CATEGORY), C.DEFAULT.only()):
+        got = ps.risk_levels(frame, rules, keep=("n",)).select("n", "categories").collect()
+        assert sorted(got) == sorted(ps.classify(frame, rules, keep=("n",)).select("n", "categories").collect())
+
+
+def test_summaries_work_out_no_evidence(frame):
+    for summary in (ps.by_user(ps.risk_levels(frame)), ps.by_risk_level(ps.risk_levels(frame))):
+        plan = summary._jdf.queryExecution().optimizedPlan().toString()
+        assert "matched_evidence" not in plan and "AS evidence" not in plan and "reason" not in plan
+
+
+def test_policies_a_finding_may_come_from(spark):
+    texts = ["SSN 123-45-6789", "Generate audit evidence.", "Write a phishing email.", "HIPAA applies", "password hunter2hunter2"]
+    rows = ps.detections(spark.createDataFrame([(t,) for t in texts], "prompt string")).collect()
+    assert {(r.prompt, r.source) for r in rows} == {
+        (texts[0], "internal_policy"), (texts[1], "acceptable_use_policy"), (texts[2], "usage_policy"),
+        (texts[3], "acceptable_use_policy"), (texts[4], "usage_policy"),
+    }

@@ -75,13 +75,60 @@ def test_review_of_files(spark, input_dir, tmp_path):
         ("malware_or_phishing", 1, 95, 1), ("pii_ssn", 1, 95, 1),
     ]
     written = read_json(f"{out}/compliance_findings")
-    assert len(written) == 5 and list(written[0]) == list(review.reviewed.columns[:15])
+    assert len(written) == 5 and list(written[0]) == [*review.reviewed.columns[:15], "file", "prompt_no"]
+    summary = read_json(f"{out}/compliance_summary")
+    assert summary[0] == {
+        "section": "counters", "input_path": input_dir, "records_seen": 7, "assistant_records_skipped": 1,
+        "prompt_records_seen": 5, "flagged_prompts": 5,
+    }
+    assert [s["section"] for s in summary[1:]] == ["by_user"] * 3 + ["by_category"] * 4 + ["by_risk_level"] * 5
+    assert summary[1]["user_email"] == "user@example.test" and summary[1]["critical"] == 1
+    assert summary[-1] == {"section": "by_risk_level", "risk_level": "none", "count": 1}
     tables = {name: spark.read.option("header", True).csv(f"{out}/tables/{name}") for name in os.listdir(f"{out}/tables")}
     assert set(tables) == set(result_tables(review.reviewed))
     assert tables["summary_by_risk_level"].columns == ["risk_level", "count"]
     assert tables["reviewed_prompts"].count() == 6
 
 
+def test_outputs_are_in_the_order_of_the_input(spark, tmp_path):
+    """Many lines in several files and splits, written by several tasks."""
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    wanted = []
+    for name in ("a", "b", "c"):
+        texts = [f"{name} {i} {'123-45-6789' if i % 3 else 'x' * (i % 50)}" for i in range(400)]
+        lines = [json.dumps([{"role": "user", "content": t}, {"role": "user", "content": t + " again"}]) for t in texts]
+        (folder / f"{name}.jsonl").write_text("\n".join(lines))
+        wanted += [x for t in texts for x in (t, t + " again")]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        review = ps.run_review(spark, str(folder), out, redact_prompt=False)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len([f for f in os.listdir(f"{out}/compliance_reviewed_prompts") if f.endswith(".json")]) > 1
+    assert [r["prompt"] for r in read_json(f"{out}/compliance_reviewed_prompts")] == wanted
+    flagged = [t for t in wanted if "123-45" in t]
+    assert [r["prompt"] for r in read_json(f"{out}/compliance_findings")] == flagged
+    assert tuple(review.counters.first()) == (1200, 0, 2400, len(flagged))
+
+
+def test_review_of_nothing(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text("\n  \n")
+    review = ps.run_review(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "out"))
+    assert tuple(review.counters.first()) == (0, 0, 0, 0) and review.reviewed.count() == 0
+    assert read_json(f"{tmp_path}/out/compliance_summary")[0]["records_seen"] == 0
+
+
+def test_redacted_evidence(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text(json.dumps(message("SSN 123-45-6789")))
+    path = str(tmp_path / "in.jsonl")
+    shown = {e: ps.run_review(spark, path, str(tmp_path / f"out{e}"), redact_evidence=e).reviewed.first() for e in (True, False)}
+    assert [shown[e].matched_evidence for e in (True, False)] == ["SSN [SSN]", "SSN 123-45-6789"]
+    assert shown[True].prompt == "SSN 123-45-6789"
+
+
 def test_redacted_review_keeps_invalid_lines_whole(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
