@@ -3,10 +3,11 @@
 Documents are tokenised and, only where they are longer than a sequence, cut.
 What has to be solved depends on the pieces' lengths alone, and there are no more
 lengths than a sequence has tokens, so the plan is made on their histogram: a
-table of fixed size however large the corpus is.  The longest piece left is
-completed by the filling that wastes least, found by branch and bound over the
-fillings that are not dominated; plain best fit is the incumbent of each search
-and of the plan as a whole.  A filling is used as often as the histogram allows.
+table of fixed size however large the corpus is.  Best fit is the incumbent.  The
+longest piece left is completed by each filling that is not dominated and wastes
+no more than would still beat the incumbent, and the search goes back over earlier
+fillings.  A lower bound on the sequences needed ends it, mostly at once; else it
+ends after `STEPS`, with the best plan so far.
 
 The plan gives each length ranges of ranks with their sequences.  A piece's rank
 among those of its length is its number in the task that made it plus what the
@@ -14,7 +15,9 @@ tasks before it made, so that not even a corpus of equal lengths is counted in
 one task.
 
 Defined cases: a null text is empty and still gets the end id.  Repeated rows
-are packed each.  An empty table needs no sequence.
+are packed each.  Texts of any length are cut into pieces.  Pieces of equal length
+are interchangeable; which of them goes where follows the input's partitions.
+Other columns are not read.  An empty table needs no sequence.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +41,10 @@ from promptsieve.session import shared_dir
 from promptsieve.sources.sinks import stage
 
 CAPACITY = 2048
-# Nodes of one search; after that its best filling so far is used.
+# Nodes of the search for one filling; after that its best so far is used.
 NODES = 4000
+# Steps of the search for a plan.
+STEPS = 40_000
 
 _PIECE = "part int, nth long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -81,10 +87,8 @@ def best_fit(left: _Lengths, room: int) -> list[int]:
 def complete(left: _Lengths, room: int, nodes: int = NODES) -> list[int]:
     """The filling of `room` that wastes least, longest pieces first.
 
-    Fillings are enumerated by falling lengths.  One is dominated if a longer
-    piece that is left would fit in place of one of its own; going down from the
-    longest that fits, the first of a branch never is.  A branch ends where even
-    the room left would not beat the incumbent.
+    Fillings are enumerated by falling lengths; the search ends with one that
+    wastes nothing, or after `nodes`.
     """
     best = best_fit(left, room)
     waste = room - sum(best)
@@ -124,14 +128,151 @@ def _packed(counts: dict[int, int], capacity: int, fill) -> list[tuple[list[int]
     return packed
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[list[int], int]]:
-    """Fillings and their numbers; of bin completion and best fit the better."""
-    incumbent = _packed(counts, capacity, best_fit)
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that any packing needs.  For each length k: pieces over
+    capacity - k stay without one of k or more; those over half a sequence need
+    one each, and what of the shorter ones does not fit beside them needs more."""
+    lengths = np.array(sorted(k for k, n in counts.items() if n), dtype=np.int64)
+    if not len(lengths):
+        return 0
+    numbers = np.array([counts[int(k)] for k in lengths], dtype=np.int64)
+    n_before = np.concatenate([[0], np.cumsum(numbers)])
+    sum_before = np.concatenate([[0], np.cumsum(numbers * lengths)])
+    least = np.concatenate([[0], lengths[lengths <= capacity // 2]])
+    half = np.searchsorted(lengths, capacity // 2, side="right")
+    alone = np.searchsorted(lengths, capacity - least, side="right")
+    small = np.searchsorted(lengths, least)
+    beside = n_before[alone] - n_before[half]
+    room = beside * capacity - (sum_before[alone] - sum_before[half])
+    over = np.maximum(sum_before[half] - sum_before[small] - room, 0)
+    return int((n_before[-1] - n_before[alone] + beside + -(-over // capacity)).max())
+
+
+def _dominated(left: _Lengths, filling: Counter, free: int) -> bool:
+    """Whether a longer piece that is left would fit in place of none, one or two
+    of the filling's pieces.  Exchanged, any packing stays one."""
+
+    def spare(shortest: int, longest: int) -> bool:
+        place = left.longest_up_to(longest)
+        while place >= 0 and left.order[place] >= shortest:
+            if left.counts[left.order[place]] > filling[left.order[place]]:
+                return True
+            place -= 1
+        return False
+
+    if spare(1, free):
+        return True
+    held = sorted(filling)
+    if free and any(spare(x + 1, x + free) for x in held):
+        return True
+    pairs = ((x, y) for i, x in enumerate(held) for y in held[i:] if x < y or filling[x] > 1)
+    return any(spare(x + y, x + y + free) for x, y in pairs)
+
+
+def fillings(left: _Lengths, room: int, waste: int) -> Iterator[list[int] | None]:
+    """Undominated fillings of `room` that leave at most `waste` of it, and None
+    for every step without one, so that the caller can count them.
+
+    Lengths fall along a filling; a branch ends where all shorter pieces together
+    would leave too much.
+    """
+    order = left.order
+    below = [0]  # what the pieces up to a place come to
+    for length in order:
+        below.append(below[-1] + length * left.counts[length])
+    stack = [(left.longest_up_to(room), room, ())]
+    while stack:
+        place, free, chosen = stack.pop()
+        place = min(place, left.longest_up_to(free))
+        if place < 0:
+            filling = Counter(dict(chosen))
+            found = free <= waste and not _dominated(left, filling, free)
+            yield list(filling.elements()) if found else None
+            continue
+        yield None
+        if free - below[place + 1] > waste:
+            continue
+        length = order[place]
+        for n in range(min(free // length, left.counts[length]) + 1):  # the most of it is taken first
+            stack.append((place - 1, free - n * length, (*chosen, (length, n)) if n else chosen))
+
+
+def search(counts: dict[int, int], capacity: int, incumbent: list[tuple[list[int], int]], steps: int) -> list[tuple[list[int], int]]:
+    """The best plan found by bin completion within `steps`, or the incumbent.
+
+    A sequence is filled round the longest piece left, with the least wasteful
+    filling first and then with every other undominated one; a filling is used as
+    often as the lengths left allow, and then once.  To beat the incumbent, all
+    sequences together may waste no more than what one sequence less has over the
+    pieces' sum: that bounds each filling.  A set of lengths left that was met
+    before is not gone through again: what was spent on it is the same.
+    """
     total = sum(k * n for k, n in counts.items())
-    if sum(n for _, n in incumbent) <= -(-total // capacity):
-        return incumbent
-    found = _packed(counts, capacity, lambda left, room: complete(left, room, nodes))
-    return min(found, incumbent, key=lambda p: sum(n for _, n in p))
+    best, used_by_best = incumbent, sum(n for _, n in incumbent)
+    bound, seen = lower_bound(counts, capacity), set()
+
+    def branches(now: dict[int, int], used: int) -> Iterator[tuple[list[int], int] | None]:
+        wasted = used * capacity - (total - sum(k * n for k, n in now.items()))
+        left = _Lengths(now)
+        longest = left.order[-1]
+        left.take(longest, 1)
+        room = capacity - longest
+        first = sorted(complete(left, room))
+        allowed = (used_by_best - 1) * capacity - total - wasted
+        for filling in chain([first], fillings(left, room, allowed)):
+            if filling is None or (filling is not first and sorted(filling) == first):
+                yield None
+                continue
+            if room - sum(filling) > (used_by_best - 1) * capacity - total - wasted:
+                yield None
+                continue
+            pattern = [longest, *sorted(filling, reverse=True)]
+            needs = Counter(pattern)
+            times = min(now[length] // n for length, n in needs.items())
+            yield pattern, times
+            if times > 1:
+                yield pattern, 1
+
+    stack = [(dict(counts), 0, branches(counts, 0))]
+    path: list[tuple[list[int], int]] = []
+    while stack and steps > 0 and used_by_best > bound:
+        now, used, options = stack[-1]
+        steps -= 1
+        choice = next(options, False)
+        if choice is False:
+            stack.pop()
+            if path:
+                path.pop()
+            continue
+        if choice is None:
+            continue
+        pattern, times = choice
+        needs = Counter(pattern)
+        then = {k: n - times * needs[k] for k, n in now.items() if n > times * needs[k]}
+        if not then:
+            if used + times < used_by_best:
+                best, used_by_best = [*path, choice], used + times
+            continue
+        key = frozenset(then.items())
+        if key in seen or used + times + lower_bound(then, capacity) >= used_by_best:
+            continue
+        seen.add(key)
+        path.append(choice)
+        stack.append((then, used + times, branches(then, used + times)))
+    return best
+
+
+def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES, steps: int = STEPS) -> list[tuple[list[int], int]]:
+    """Fillings and their numbers.  Best fit is the first incumbent, completion
+    without second thoughts the next, and the search goes on from the better one;
+    it ends at once where the lower bound is met."""
+    counts = {int(k): int(n) for k, n in counts.items() if n}
+    bound = lower_bound(counts, capacity)
+    number = lambda p: sum(n for _, n in p)
+    best = _packed(counts, capacity, best_fit)
+    if number(best) > bound:
+        best = min(_packed(counts, capacity, lambda left, room: complete(left, room, nodes)), best, key=number)
+    return search(counts, capacity, best, steps) if number(best) > bound else best
 
 
 def ranges(planned: list[tuple[list[int], int]]) -> np.ndarray:

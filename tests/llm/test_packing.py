@@ -1,5 +1,6 @@
 """Packings: every piece once, nothing over, and as few sequences as can be."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -41,6 +42,56 @@ def test_completion_beats_best_fit():
     assert sum(packing.complete(packing._Lengths({2: 5000}), 2047)) == 2046
 
 
+def fewest(lengths, capacity):
+    """By going through all subsets: the fewest sequences, and the least in the last."""
+    best = [(0, capacity)] + [(len(lengths) + 1, 0)] * ((1 << len(lengths)) - 1)
+    for held, (used, last) in enumerate(best):
+        for i, length in enumerate(lengths):
+            if not held >> i & 1:
+                after = (used, last + length) if last + length <= capacity else (used + 1, length)
+                best[held | 1 << i] = min(best[held | 1 << i], after)
+    return best[-1][0]
+
+
+def number(planned):
+    return sum(n for _, n in planned)
+
+
+def test_search_goes_back_over_earlier_fillings():
+    counts = Counter([55, 50, 44, 38, 36, 27, 17, 15, 13])
+    assert number(packing.plan(counts, 100)) == 3
+    assert number(packing._packed(counts, 100, packing.best_fit)) == 4
+
+
+def test_search_finds_the_fewest():
+    rng = random.Random(5)
+    for n in range(300):
+        lengths = [rng.randint(5, 70) for _ in range(rng.randint(1, 11))]
+        if n % 3 == 0:
+            lengths = [rng.choice(lengths[:3]) for _ in lengths]
+        best, bound = fewest(lengths, 100), packing.lower_bound(Counter(lengths), 100)
+        assert bound <= best == number(packing.plan(Counter(lengths), 100)), lengths
+
+
+def test_fillings_left_out_are_dominated():
+    """A longer piece left over that fits in place of one or two, or beside all."""
+    found = [sorted(f) for f in packing.fillings(packing._Lengths({50: 1, 30: 2, 10: 1, 9: 1}), 60, 60) if f]
+    assert [10, 50] in found and [30, 30] in found
+    assert [9, 50] not in found and [50] not in found and [10, 30] not in found
+    with_one_for_all = packing._Lengths({60: 1, 50: 1, 30: 2, 10: 1, 9: 1})
+    assert [f for f in packing.fillings(with_one_for_all, 60, 60) if f] == [[60]]
+    exact = [f for f in packing.fillings(packing._Lengths({50: 1, 30: 2, 9: 1}), 60, 0) if f]
+    assert exact == [[30, 30]]
+
+
+def test_search_is_bounded_and_keeps_the_incumbent():
+    rng = random.Random(3)
+    counts = Counter(rng.randint(200, 1100) for _ in range(400))
+    best_fit = number(packing._packed(counts, 2048, packing.best_fit))
+    assert packing.lower_bound(counts, 2048) <= number(packing.plan(counts, steps=2000)) <= best_fit
+    assert packing.plan({}) == [] and packing.lower_bound({}, 100) == 0
+
+
 def check(df, capacity):
     rows = packing.pack(df, PATH, 0, capacity).collect()
     want = Counter()
