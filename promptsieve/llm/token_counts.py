@@ -11,13 +11,17 @@ A piece's score is the logarithm of its share under Zipf's law for its rank in
 the vocabulary file.  A character that no piece covers is spelt in bytes, one
 token each.  Of equally likely segmentations the one with fewer tokens counts.
 
-Defined cases: a null or blank text has no words, no tokens and score 0.
+Defined cases: a null or blank text has no words, no tokens and score 0.  Texts
+and words may be of any length: time grows with a word's length, and a long one
+holds no more scores at once than the longest piece has characters.  Repeated rows
+are counted each; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +33,8 @@ from promptsieve.llm.texts import column, in_arrow
 WORD_MARK = "▁"
 # A task begins a new trie when it has so many nodes or words.
 NODES_KEPT = 1_000_000
+# Words of more characters are scored the same way but leave no prefixes behind.
+LONG_WORD = 1_000
 # Bytes are this much less likely than the least likely piece.
 BYTE_PENALTY = 10.0
 
@@ -63,29 +69,49 @@ class Trie:
     def insert(self, word: bytes) -> int:
         """The node at which the pre-token of `word` ends."""
         text, path, node = WORD_MARK + word.decode("utf-8", "replace"), [0], 0
+        if len(text) > LONG_WORD:
+            node = self.ends[word] = self._add(*self._run_through(text))
+            return node
+        child = self.child
         for at, character in enumerate(text):
-            below = self.child.get((node, character))
+            below = child.get((node, character))
             if below is None:
-                below = self._grow(node, text[: at + 1], path)
+                below = child[node, character] = self._add(*self._step(text, at, path, self.forward, self.tokens))
             node = below
             path.append(node)
         self.ends[word] = node
         return node
 
-    def _grow(self, parent: int, prefix: str, path: list[int]) -> int:
-        scores, forward, tokens, end = self.scores, self.forward, self.tokens, len(prefix)
-        spelt = len(prefix[-1].encode("utf-8", "replace"))
-        best = (forward[parent] + spelt * self.byte_score, -(tokens[parent] + spelt))
-        for begin in range(max(0, end - self.longest), end):
-            score = scores.get(prefix[begin:])
+    def _add(self, forward: float, tokens: int) -> int:
+        self.forward.append(forward)
+        self.tokens.append(tokens)
+        return len(self.forward) - 1
+
+    def _step(self, text: str, at: int, path: Sequence[int], forward: list[float], tokens: list[int]) -> tuple[float, int]:
+        """Score and tokens of the prefix that ends with the character at `at`.
+        `path` has the places of the prefixes before it, the longest one last."""
+        end, piece_score = at + 1, self.scores.get
+        character, parent = text[at], path[-1]
+        spelt = 1 if character.isascii() else len(character.encode("utf-8", "replace"))
+        best, fewest = forward[parent] + spelt * self.byte_score, tokens[parent] + spelt
+        for back in range(1, min(end, self.longest) + 1):
+            score = piece_score(text[end - back : end])
             if score is not None:
-                before = path[begin]
-                best = max(best, (forward[before] + score, -(tokens[before] + 1)))
-        node = len(forward)
-        forward.append(best[0])
-        tokens.append(-best[1])
-        self.child[parent, prefix[-1]] = node
-        return node
+                before = path[-back]
+                score += forward[before]
+                if score > best or (score == best and tokens[before] + 1 < fewest):
+                    best, fewest = score, tokens[before] + 1
+        return best, fewest
+
+    def _run_through(self, text: str) -> tuple[float, int]:
+        """Score and tokens of a long word, keeping those of its last prefixes."""
+        places = self.longest + 1
+        forward, tokens, path = [0.0] * places, [0] * places, deque([0], self.longest)
+        for at in range(len(text)):
+            place = (at + 1) % places
+            forward[place], tokens[place] = self._step(text, at, path, forward, tokens)
+            path.append(place)
+        return forward[place], tokens[place]
 
 
 def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

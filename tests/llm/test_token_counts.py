@@ -54,5 +54,25 @@ def test_prefixes_are_scored_once():
     assert trie.tokens[trie.ends[b"abc"]] == 2
 
 
+def test_long_words_are_scored_like_short_ones(monkeypatch):
+    scores = token_counts.unigram_scores(vocabulary(PIECE_VOCABULARY))
+    byte_score = min(scores.values()) - token_counts.BYTE_PENALTY
+    word = "unbreakableÜberschrift東京0123" * 30
+    whole = token_counts.Trie(scores)
+    kept = whole.insert(word.encode())
+    monkeypatch.setattr(token_counts, "LONG_WORD", 10)
+    alone = token_counts.Trie(scores)
+    end = alone.insert(word.encode())
+    assert len(alone.forward) == 2 and len(whole.forward) > 800
+    assert (alone.forward[end], alone.tokens[end]) == (whole.forward[kept], whole.tokens[kept])
+    assert (alone.forward[end], alone.tokens[end]) == brute(word, scores, byte_score)
+
+
+def test_a_word_of_a_million_characters(spark):
+    text = "abcdefghij" * 100_000
+    row = token_counts.token_counts(spark.createDataFrame([(1, text)], "doc_id long, text string"), vocabulary(PIECE_VOCABULARY)).first()
+    assert (row.doc_id, row.n_words) == (1, 1) and 100_000 <= row.n_tokens <= 1_000_000
+
+
 def test_empty_table(odd):
     assert token_counts.token_counts(odd.limit(0), vocabulary(PIECE_VOCABULARY)).collect() == []
