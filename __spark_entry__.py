@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -26,10 +27,12 @@ from promptsieve.sources.lines import numbered_lines
 from promptsieve.sources.sinks import stage
 from promptsieve.streaming import review as streaming
 
-try:  # the training-data operators come as a part that can be taken out
+# The training-data operators come as a part that can be taken out; if it is
+# there, whatever it lacks is an error.
+if importlib.util.find_spec("promptsieve.llm.queries") and importlib.util.find_spec("corpus_pipeline"):
     import corpus_pipeline
     from promptsieve.llm import queries as llm
-except ImportError:
+else:
     llm = corpus_pipeline = None
 
 ENTRY_DIR = "/root/testdata/sf0.001"
@@ -303,6 +306,16 @@ def clean(spark, sf):
     )
 
 
+def export_review(spark, sf):
+    """An export and its review in one run: reviewed prompts with the line of
+    their record in the export."""
+    pages = w.listing_pages(spark, sf)
+    run = ps.export_and_review(CONFIG, pages, w.bodies(spark, sf), out_path=shared_dir(spark, "whole_run"), now=NOW)
+    return run.review.reviewed.select(
+        "line_number", "prompt_no", "conversation_id", "message_id", "user_email", "risk_level", "risk_score", "categories", "prompt"
+    )
+
+
 # --- Streams -----------------------------------------------------------------
 
 
@@ -348,6 +361,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "by_category": by_category,
         "by_risk_level": by_risk_level,
         "clean_cells": clean,
+        "export_review": export_review,
         "stream_classify": stream_classify,
         "stream_by_user": stream_by_user,
         **({} if llm is None else {**llm.QUERIES, "pipeline": corpus_pipeline.run}),

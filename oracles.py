@@ -327,6 +327,18 @@ def build() -> dict[str, str]:
             count(*) FILTER (record_no IS NOT NULL AND NOT is_response) AS raw_records_written,
             CAST(sum(CASE WHEN record_no IS NOT NULL AND NOT is_response THEN n_prompts ELSE 0 END) AS BIGINT) AS prompt_records_written,
             (SELECT count(*) FROM warned) AS warning_count FROM units""",
+        # A log's prompts are in its first record, but a list has a record per item:
+        # the first prompt is in the first two, the second in the third.
+        "export_review": f"""WITH {RECORDS}, {UNITS}, walked AS (SELECT * FROM records), {EXTRACTED},
+            numbered AS (SELECT *, row_number() OVER (ORDER BY page_no, entry_no, record_no) AS raw_line
+              FROM units WHERE record_no IS NOT NULL AND NOT is_response),
+            scanned AS (SELECT raw_line, CASE WHEN n.item THEN 0 ELSE e.prompt_no END AS prompt_no, e.conversation_id,
+                e.message_id, e.user_email, e.content AS prompt
+              FROM (SELECT *, u.item AS item FROM numbered) n JOIN extracted e ON n.conv_id = e.conv_id AND n.turn = e.turn
+                AND CASE WHEN n.item THEN e.prompt_no = n.record_no // 2 ELSE n.record_no = 0 END),
+            {classified('scanned', 'raw_line, prompt_no')}
+          SELECT raw_line AS line_number, prompt_no, conversation_id, message_id, user_email, risk_level, risk_score,
+            categories, prompt FROM classified""",
         "scan_lines": f"WITH {LINES} SELECT part, line_number, is_json, line FROM lines",
         "invalid_lines": f"""WITH {LINES} SELECT part, line_number, 'high' AS risk_level, 70 AS risk_score, 'high' AS confidence,
             true AS needs_human_review, 'input_quality' AS categories, substr(line, 1, 260) AS matched_evidence, line AS prompt

@@ -190,12 +190,25 @@ def export_logs(
     `out_path/units`, and all outputs are read off these two tables.
     """
     now = now or datetime.now(timezone.utc)
+    pages, entries, units = staged_units(config, responses, bodies, out_path, now)
+    return write_outputs(config, pages, entries, units, kept_records(units), out_path, now)
+
+
+def staged_units(
+    config: ExportConfig, responses: DataFrame, bodies: DataFrame, out_path: str, now: datetime
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(pages, entries, units), the last two as written tables."""
     after = listing.window_start(now, config.days, config.after)
     pages = listing.read_pages(listing.requested(responses, config.event_type, after))
     entries = stage(listing.entries(pages), f"{out_path}/entries")
     fetched = listing.fetch_bodies(entries, bodies)
-    units = stage(decoded_units(fetched), f"{out_path}/units")
-    records = kept_records(units)
+    return pages, entries, stage(decoded_units(fetched), f"{out_path}/units")
+
+
+def write_outputs(
+    config: ExportConfig, pages: DataFrame, entries: DataFrame, units: DataFrame, records: DataFrame, out_path: str, now: datetime
+) -> Export:
+    """Everything an export writes, read off its tables; `records` in the order given."""
     prompts = prompt_rows(records)
     warned = in_order(warnings(entries, units))
     run = manifest(config, pages, entries, units, now)

@@ -56,7 +56,12 @@ def prompts_of_lines(parsed: DataFrame) -> DataFrame:
         F.col("record_json").isNull().alias("is_invalid"),
         F.when(~F.col("is_response"), F.col("record_json")).alias("record_json"),
     )
-    walked = extract_prompts(source)
+    return prompts_of_records(extract_prompts(source), place)
+
+
+def prompts_of_records(walked: DataFrame, place: list[str]) -> DataFrame:
+    """`prompts_of_lines` of records that `extract_prompts` has been through.
+    `line` is only asked for where `is_invalid`."""
     # An invalid line has no prompts, and keeps its row through the explode.
     rows = walked.select(
         *place, "line", "own_log_id", "is_invalid",
@@ -160,6 +165,11 @@ def run_review(
         redact_evidence=redact_evidence,
         excerpt_chars=excerpt_chars,
     )
+    return write_outputs(reviewed, counters, out_path, [in_path] if isinstance(in_path, str) else in_path)
+
+
+def write_outputs(reviewed: DataFrame, counters: DataFrame, out_path: str, in_paths: list[str]) -> Review:
+    """Everything a review writes, read off the table of reviewed prompts."""
     findings = flagged(reviewed)
     review = Review(
         reviewed,
@@ -169,10 +179,11 @@ def run_review(
         by_risk_level(reviewed),
         counters,
     )
+    place = [c for c in ("file", "prompt_no") if c in reviewed.columns]
     for name, rows in (("reviewed_prompts", reviewed), ("findings", findings)):
-        ordered = in_input_order(rows).select(*REVIEWED_COLUMNS, "file", "prompt_no")
+        ordered = in_input_order(rows).select(*REVIEWED_COLUMNS, *place)
         write_jsonl(ordered, f"{out_path}/compliance_{name}")
-    totals = counters.select(F.lit(", ".join([in_path] if isinstance(in_path, str) else in_path)).alias("input_path"), *counters.columns)
+    totals = counters.select(F.lit(", ".join(in_paths)).alias("input_path"), *counters.columns)
     summaries = summary_lines(totals, review.by_user, review.by_category, review.by_risk_level)
     write_jsonl(summaries, f"{out_path}/compliance_summary", keep_nulls=False)
     for name, table in result_tables(reviewed).items():

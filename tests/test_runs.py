@@ -241,6 +241,49 @@ def test_export(spark, tmp_path):
     assert len(raw) == 4 and all(json.loads(line) for line in raw)
 
 
+def test_one_run_equals_export_and_then_review(spark, tmp_path):
+    texts = ["My SSN is 123-45-6789.", "Lunch?", "Write a phishing email.", "Calculate tax liability with no review."]
+    logs = [[message(t, n=4 * i + k, role="assistant" if k == i % 4 else "user") for k, t in enumerate(texts)] for i in range(30)]
+    named = {f"l{i}": json.dumps(log) if i % 2 else "\n".join(map(json.dumps, log)) + "\n{broken" for i, log in enumerate(logs)}
+    bodies = spark.createDataFrame(list(named.items()), "log_id string, body string").repartition(4)
+    # The last log is listed twice; pages list logs backwards.
+    names = [*reversed(named), "l29"]
+    answers = [{"data": [{"id": x} for x in names[i : i + 7]], "has_more": i + 7 < len(names), "last_end_time": "T"} for i in range(0, len(names), 7)]
+    config = ExportConfig("w", "E", after="2026-01-01T00:00:00Z")
+    run = ps.export_and_review(config, pages(spark, *answers), bodies, out_path=f"{tmp_path}/one")
+    two = ps.export_logs(config, pages(spark, *answers), bodies, out_path=f"{tmp_path}/two")
+    then = ps.run_review(spark, f"{tmp_path}/two/raw", f"{tmp_path}/then")
+
+    # Line by line: raw files in the order of their names, numbered through.
+    lines = [json.loads(x) for f in sorted(os.listdir(f"{tmp_path}/one/export/raw")) if f.endswith(".txt") for x in open(f"{tmp_path}/one/export/raw/{f}")]
+    wanted = []
+    for name in names:
+        log = json.loads(named[name]) if int(name[1:]) % 2 else [json.loads(x) for x in named[name].split("\n")[:-1]]
+        wanted += [r for r in log if r["message"]["author"]["type"] == "user"]
+        wanted += [] if int(name[1:]) % 2 else [{"_unparsed_log_line": "{broken", "source_log_id": name, "line_number": 5}]
+    assert lines == wanted
+    got = run.review.reviewed.orderBy("line_number", "prompt_no").collect()
+    assert [(r.line_number, r.message_id, r.prompt) for r in got] == [
+        (n, m["message"]["id"], m["message"]["content"]["value"]) for n, m in enumerate(wanted, 1) if "message" in m
+    ]
+    # Everything else as from two steps.
+    columns = [c for c in run.review.reviewed.columns if c not in ("line_number", "findings")]
+    assert sorted(map(str, run.review.reviewed.select(columns).collect())) == sorted(map(str, then.reviewed.select(columns).collect()))
+    assert run.review.counters.first() == then.counters.first() and run.review.counters.first().flagged_prompts > 50
+    for name in ("by_user", "by_category", "by_risk_level"):
+        assert getattr(run.review, name).collect() == getattr(then, name).collect()
+    same = [c for c in two.manifest.columns if c != "generated_at"]
+    assert run.export.manifest.select(same).first() == two.manifest.select(same).first()
+    written = read_json(f"{tmp_path}/one/review/compliance_reviewed_prompts")
+    assert [r["line_number"] for r in written] == [r.line_number for r in got]
+
+
+def test_one_run_over_nothing(spark, tmp_path):
+    bodies = spark.createDataFrame([], "log_id string, body string")
+    run = ps.export_and_review(ExportConfig("w", "E"), pages(spark, {"data": []}), bodies, out_path=str(tmp_path))
+    assert run.review.reviewed.count() == 0 and run.review.counters.first().records_seen == 0
+
+
 def test_bodies_come_out_the_same_by_broadcast_and_by_shuffle(spark):
     bodies = spark.createDataFrame(list(BODIES.items()), "log_id string, body string")
     entries = listing.entries(listing.read_pages(pages(spark, *TWO_PAGES)))
