@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 from collections.abc import Callable
 from datetime import datetime
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, HERE)
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +29,7 @@ from promptsieve.streaming import review as streaming
 
 # The training-data operators come as a part that can be taken out; if it is
 # there, whatever it lacks is an error.
-if importlib.util.find_spec("promptsieve.llm.queries") and importlib.util.find_spec("corpus_pipeline"):
+if all(os.path.exists(os.path.join(HERE, part)) for part in ("corpus_pipeline.py", "promptsieve/llm/queries.py")):
     import corpus_pipeline
     from promptsieve.llm import queries as llm
 else:
