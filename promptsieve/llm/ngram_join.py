@@ -21,9 +21,10 @@ union`.  The join is exact, and no two documents are compared that need not be:
 * Sets that meet at a shingle are a candidate only if their sizes, the places of
   the shingle in both and their parities leave room for a link.  Of what comes
   before the shingle, only entries that some other prefix holds too can be shared:
-  prefixes that both reach the shingle hold all that comes before it.  Only the first
-  `l` shared shingles of a pair have to meet, and fewer than `l` come before those, so
-  that a set's later entries meet almost nothing.  Parities say
+  prefixes that both reach the shingle hold all that comes before it.  Across
+  components only the first `l` shared shingles of a pair have to meet, and fewer than
+  `l` come before those, so that a set's later entries meet almost nothing.  A leader
+  leads only some of the lists it shares, so that there all of them count.  Parities say
   for each of `PARITIES` bins whether an odd number of a set's shingles fall in it;
   two sets differ in at least as many shingles as they have unequal parities.  Both
   are exact, and part of the join's condition, so that texts just below the
@@ -277,14 +278,14 @@ def _labelled(postings: DataFrame, labels: DataFrame) -> DataFrame:
 ENTRY = ("set_key", "root", "size", "pos", "live", "matches", *PARITY_WORDS)
 
 
-def _may_link(x: str, y: str, num: int, den: int) -> Column:
+def _may_link(x: str, y: str, num: int, den: int, first_only: bool = False) -> Column:
     """Whether sets that meet at a shingle can be linked by their sizes, by what
-    comes before and after it in their order, and by their parities.  Of the
-    shingles that a linked pair shares, it passes at the first ones, as many as
-    have to match: no more than that less one are shared before each of them."""
+    comes before and after it in their order, and by their parities.  A linked
+    pair passes at each shingle it shares; with `first_only` at the first ones, as
+    many as have to match: no more than that less one are shared before them."""
     x_size, y_size = F.col(f"{x}.size"), F.col(f"{y}.size")
     sizes = den * F.least(x_size, y_size) >= num * F.greatest(x_size, y_size)
-    before = F.least(f"{x}.live", f"{y}.live", F.col(f"{x}.matches") - 1, F.col(f"{y}.matches") - 1)
+    before = F.least(f"{x}.live", f"{y}.live", *([F.col(f"{e}.matches") - 1 for e in (x, y)] if first_only else []))
     most = before + F.least(x_size - F.col(f"{x}.pos"), y_size - F.col(f"{y}.pos"))
     unequal = sum(F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in PARITY_WORDS)
     return sizes & ((num + den) * most >= num * (x_size + y_size)) & ((num + den) * unequal <= (den - num) * (x_size + y_size))
@@ -315,7 +316,7 @@ def _pairs_across(labelled: DataFrame, num: int, den: int) -> DataFrame:
     near = F.explode(F.array(F.struct("bucket", F.lit(True).alias("same")), F.struct((F.col("bucket") + 1).alias("bucket"), F.lit(False).alias("same"))))
     other = left.select("shingle", near.alias("at"), entry.alias("y")).select("shingle", "at.bucket", "at.same", "y")
     met = one.join(other, ["shingle", "bucket"]).where(
-        (F.col("x.root") != F.col("y.root")) & (~F.col("same") | (F.col("x.set_key") < F.col("y.set_key"))) & _may_link("x", "y", num, den)
+        (F.col("x.root") != F.col("y.root")) & (~F.col("same") | (F.col("x.set_key") < F.col("y.set_key"))) & _may_link("x", "y", num, den, first_only=True)
     )
     x, y = F.col("x.set_key"), F.col("y.set_key")
     counted = met.groupBy(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).agg(
