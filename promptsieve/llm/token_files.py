@@ -35,6 +35,8 @@ from promptsieve.llm.units import vocabulary_size, words
 from promptsieve.session import shared_dir
 
 BLOCK_IDS = 1 << 18
+# The more texts, the fewer distinct words; bytes bound a batch as well.
+TEXTS_PER_BATCH = 2048
 CHECKPOINT = 256
 RANGE_BYTES = 64 << 20
 
@@ -150,17 +152,15 @@ def unpack(bits: bytes, checkpoints: np.ndarray, n: int, table: np.ndarray, limi
 
 
 def _tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str, end_id: int, width: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
-    end = np.array([end_id], dtype="<u4").tobytes()
+    shared, size = docs.sparkSession.sparkContext.broadcast(tokenizer_json), np.dtype(width).itemsize
 
     def job(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, part, seq, before = words(shared.value), TaskContext.get().partitionId(), 0, None
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            coded = [
-                np.frombuffer(known.encode(text) + end, dtype="<u4").astype(width)
-                for text in batch.column(1).cast(pa.binary()).to_pylist()
-            ]
+            flat, ends = known.encode_all(batch.column(1))
+            raw = np.insert(flat.astype(width), ends, end_id).tobytes()
+            bounds = [0, *(ends + np.arange(1, len(ends) + 1)).tolist()]
             keys = [(-1, 0) if d is None else (0, d) for d in doc_ids]
             falls = [a is not None and a > b for a, b in zip([before, *keys], keys)]
             before = keys[-1] if keys else before
@@ -169,13 +169,14 @@ def _tokenised(docs: DataFrame, id_col: str, text_col: str, tokenizer_json: str,
                 [
                     pa.array([part] * n, pa.int32()), pa.array(range(seq, seq + n), pa.int64()),
                     pa.array(doc_ids, pa.int64()), pa.array(falls, pa.bool_()),
-                    pa.array([len(c) for c in coded], pa.int64()), pa.array([c.tobytes() for c in coded], pa.binary()),
+                    pa.array(np.diff(bounds), pa.int64()),
+                    pa.array([raw[a * size : b * size] for a, b in zip(bounds, bounds[1:])], pa.binary()),
                 ],
                 names=["part", "seq", "doc_id", "falls", "n_ids", "ids"],
             )
             seq += n
 
-    return in_arrow(docs.select(column(id_col).cast("long"), column(text_col)), job, _STAGED)
+    return in_arrow(docs.select(column(id_col).cast("long"), column(text_col)), job, _STAGED, rows=TEXTS_PER_BATCH)
 
 
 def _counts(staged: DataFrame, width: str, size: int) -> np.ndarray:

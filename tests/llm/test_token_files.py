@@ -3,6 +3,8 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -46,6 +48,42 @@ def test_words_like_the_tokenizer(text):
     assert np.frombuffer(KNOWN.encode(coded), dtype="<u4").tolist() == TOKENIZER.encode(coded.decode(), add_special_tokens=False).ids
 
 
+TEXTS = st.text(max_size=60) | st.text("abzAZ09'’.,!?<|>éÉßÀ×ª \t\n\x1c\x85\xa0́ΣİS's<|endoftext|>", max_size=60)
+
+
+@pytest.mark.parametrize("kept", [800_000, 5])
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.none() | TEXTS | st.just("ab " * 40 + "x" * 99 + " <|endoftext|>. End"), max_size=12))
+def test_batches_like_the_tokenizer(kept, texts):
+    texts = [t if t is None else t.encode("utf-8", "replace").decode() for t in texts]
+    with pytest.MonkeyPatch.context() as patch:
+        for name in ("WORDS_KEPT", "PIECES_KEPT", "LEARNT_AT_ONCE"):
+            patch.setattr(units, name, kept)
+        flat, ends = KNOWN.encode_all(pa.array(["cut off", *texts], pa.string()).slice(1))
+    want = [TOKENIZER.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert ends.tolist() == np.cumsum([len(w) for w in want], dtype=int).tolist()
+    assert flat.tolist() == [i for w in want for i in w]
+
+
+def test_a_batch_looks_up_each_distinct_word_once():
+    class Counted(units.Words):
+        looked_up = missed = 0
+
+        def __getitem__(self, word):
+            self.looked_up += 1
+            return super().__getitem__(word)
+
+        def __missing__(self, word):
+            self.missed += 1
+            return super().__missing__(word)
+
+    known = Counted(token_files.read_tokenizer(PATH))
+    flat, ends = known.encode_all(pa.array(["One two, three's größe one"] * 500))
+    assert (known.looked_up, known.missed) == (5, 0)
+    assert flat.tolist() == 500 * TOKENIZER.encode("One two, three's größe one").ids
+    assert ends.tolist() == (np.arange(1, 501) * (len(flat) // 500)).tolist()
+
+
 def brute(df):
     start, out = 0, []
     rows = sorted(((r.doc_id, r.text) for r in df.select("doc_id", "text").collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
