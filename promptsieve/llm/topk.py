@@ -13,7 +13,9 @@ rows, and their integer products are computed exactly.
 
 The queries are those rows of the table whose id is divisible by `every`.  Each
 block of them meets each block of rows once, and only k rows per query and block
-leave a task.
+leave a task.  A task holds a shelf of blocks of rows while blocks of queries pass
+by, so the number of tasks grows with the shelves, not with the pairs of blocks;
+the few queries go to every shelf, and nothing is broadcast.
 
 Defined cases: rows whose id or vector is null, or whose vector holds a null or
 a number that is not finite, take no part.  Shorter vectors count as filled up
@@ -42,6 +44,10 @@ BLOCK_QUERIES = 256
 # Queries whose bitmaps are summed together, so that they stay in the cache.
 TOGETHER = 64
 SLICES = 6
+# So many blocks of rows are on a shelf at most, and so many tasks are wanted: where
+# there are fewer blocks, each is held by several tasks, which share the queries.
+SHELF = 16
+TASKS = 48
 
 _INDEX = "block int, rows int, ids binary, values binary, low binary, shift int, slices binary"
 
@@ -123,6 +129,17 @@ def at_least(slices: list[np.ndarray], valid: np.ndarray, threshold: np.ndarray)
     return np.where((threshold >> len(slices) > 0)[:, None], 0, over | tied)
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """The values in the smallest integers that hold them all."""
+    low, high = values.min(initial=0), values.max(initial=0)
+    return values.astype(next(t for t in ("<i2", "<i4", "<i8") if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
+
+def widened(data: bytes, rows: int, width: int) -> np.ndarray:
+    """Rows of what `narrow` made, as it made them."""
+    return np.frombuffer(data, dtype=f"<i{len(data) // (rows * width)}").reshape(rows, width)
+
+
 # --- Blocks ------------------------------------------------------------------------
 
 
@@ -167,7 +184,7 @@ def search_block(query_ids, queries, ids, values, low, shift, slices, k: int) ->
         boundary = at_least(sums, valid, threshold)
         for row, q in enumerate(some_ids):
             at = np.flatnonzero(unpacked(boundary[row], n))
-            score = values[at] @ some[row]
+            score = values[at].astype(np.int64) @ some[row]
             best = np.lexsort((ids[at], -score))[:k]
             yield int(q), ids[at][best], score[best]
 
@@ -195,7 +212,7 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
         ids, filled = group.id.to_numpy()[order], filled[order]
         low, shift, slices = index_block(ids, filled)
         return pd.DataFrame({
-            "block": [key[0]], "rows": [len(ids)], "ids": [ids.astype("<i8").tobytes()], "values": [filled.astype("<i8").tobytes()],
+            "block": [key[0]], "rows": [len(ids)], "ids": [ids.astype("<i8").tobytes()], "values": [narrow(filled).tobytes()],
             "low": [low.astype("<i8").tobytes()], "shift": [shift], "slices": [slices.tobytes()],
         })
 
@@ -206,40 +223,57 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id",
     def queries_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, v in zip(*(batch.column(i).to_pylist() for i in range(2))):
-                ids, v = np.frombuffer(ids, dtype="<i8"), np.frombuffer(v, dtype="<i8").reshape(-1, width)
+                ids = np.frombuffer(ids, dtype="<i8")
+                v = widened(v, len(ids), width)
                 asked = np.flatnonzero(ids % every == 0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[asked]), pa.array([v[i].tobytes() for i in asked], pa.binary())], names=["id", "value"]
+                    [pa.array(ids[asked]), pa.array([narrow(v[i]).tobytes() for i in asked], pa.binary())], names=["id", "value"]
                 )
 
     asked = stage(in_arrow(index.select("ids", "values"), queries_of, "id long, value binary", rows=4), shared_dir(spark, "queries"))
     query_blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     gathered = asked.withColumn(
-        "query_block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(query_blocks))
+        "query_block", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(query_blocks)).cast("int")
     ).groupBy("query_block").agg(
         F.array_sort(F.collect_list(F.struct("id", "value"))).alias("queries")
     )
-    pairs = gathered.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    met = pairs.join(index, "block").repartition(blocks * query_blocks, "block", "query_block")
+    wanted = max(TASKS, 2 * spark.sparkContext.defaultParallelism)
+    shelves = -(-blocks // min(SHELF, -(-blocks // wanted)))
+    parts = min(query_blocks, max(1, wanted // shelves))
+    places = shelves * parts
+    # Place shelf * parts + part holds a shelf and meets the query blocks of a part.
+    first = F.col("block") % shelves * parts
+    shelved = index.withColumn("place", F.explode(F.sequence(first, first + (parts - 1))))
+    passing = gathered.withColumn("place", F.explode(F.sequence(F.col("query_block") % parts, F.lit(places - 1), F.lit(parts))))
+    met = (
+        shelved.unionByName(passing, allowMissingColumns=True)
+        .repartitionById(places, F.col("place"))
+        .sortWithinPartitions("place", F.col("queries").isNotNull())
+    )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, shelf = None, []
         for batch in batches:
             for row in batch.to_pylist():
+                if row["place"] != place:
+                    place, shelf = row["place"], []
+                if row["queries"] is None:
+                    ids, low = np.frombuffer(row["ids"], dtype="<i8"), np.frombuffer(row["low"], dtype="<i8")
+                    slices = np.frombuffer(row["slices"], dtype=np.uint64).reshape(width, SLICES, -1)
+                    shelf.append((ids, widened(row["values"], len(ids), width), low, row["shift"], slices))
+                    continue
                 query_ids = np.array([q["id"] for q in row["queries"]], dtype=np.int64)
-                weights = np.frombuffer(b"".join(q["value"] for q in row["queries"]), dtype="<i8").reshape(-1, width)
-                ids = np.frombuffer(row["ids"], dtype="<i8")
-                held = np.frombuffer(row["values"], dtype="<i8").reshape(-1, width)
-                low = np.frombuffer(row["low"], dtype="<i8")
-                slices = np.frombuffer(row["slices"], dtype=np.uint64).reshape(width, SLICES, -1)
-                found = list(search_block(query_ids, weights, ids, held, low, row["shift"], slices, k))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)),
-                        pa.array(np.concatenate([f[1] for f in found] or [np.zeros(0, dtype=np.int64)]).astype(np.int64)),
-                        pa.array(np.concatenate([f[2] for f in found] or [np.zeros(0, dtype=np.int64)]).astype(np.int64)),
-                    ],
-                    names=["query_id", "vec_id", "score"],
-                )
+                weights = np.concatenate([widened(q["value"], 1, width) for q in row["queries"]]).astype(np.int64)
+                for block in shelf:
+                    found = list(search_block(query_ids, weights, *block, k))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]).astype(np.int64)),
+                            pa.array(np.concatenate([f[1] for f in found] or [np.zeros(0, dtype=np.int64)]).astype(np.int64)),
+                            pa.array(np.concatenate([f[2] for f in found] or [np.zeros(0, dtype=np.int64)]).astype(np.int64)),
+                        ],
+                        names=["query_id", "vec_id", "score"],
+                    )
 
     best = in_arrow(met, search, "query_id long, vec_id long, score long", rows=1)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -1,6 +1,7 @@
 """Top-k search against all inner products."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -81,3 +82,24 @@ def test_repeated_ids_stay(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
     assert found(df) == brute(rows)
     assert [r[2] for r in brute(rows[:4])] == [1, 1, 2]
+
+
+def test_tasks_do_not_grow_with_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 2)
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.integers(-3, 4, size=3).astype(float).tolist()) for i in range(600)]
+    best = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), every=5)
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    tasks = [int(n) for n in re.findall(r"(\d+)\), REPARTITION", plan)]
+    assert "Broadcast" not in plan and tasks and max(tasks) <= 60, tasks
+    assert sorted(map(tuple, best.collect())) == brute(rows, every=5)
+
+
+def test_large_numbers(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 30)
+    rng = np.random.default_rng(3)
+    rows = [(i, (rng.normal(size=2) * 10.0 ** (i % 8)).clip(-5e6, 5e6).astype(np.float32).tolist()) for i in range(120)]
+    rows[7] = (7, [1.2e7, 0.0])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert found(df, every=3) == brute(rows, every=3)
